@@ -45,7 +45,7 @@ def _raw_files(spark: SparkSession, folder: str, **options) -> DataFrame:
 def _whole_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFrame:
     files = _raw_files(spark, folder, wholetext=True).where(F.col("file.file_size") <= limit)
     return files.select(
-        F.col("file.file_name").alias("file_name"),
+        F.col("file.file_path").alias("file_path"),
         F.lit(0).cast("long").alias("split_start"),
         F.posexplode(text.blocks(text.unix_lines("value"))).alias("block_no", "block"),
     ).withColumn("block_no", F.col("block_no").cast("long"))
@@ -63,7 +63,6 @@ def _split_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFram
         .where(F.col("file.file_size") > limit)
         .select(
             F.col("file.file_path").alias("file_path"),
-            F.col("file.file_name").alias("file_name"),
             F.col("file.file_block_start").alias("split_start"),
             F.monotonically_increasing_id().alias("seq"),
             "value",
@@ -98,7 +97,7 @@ def _split_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFram
         .where(F.col("owner").isNotNull())
     )
     piece = F.struct("split_start", "seq", "value")
-    whole = owned.groupBy("file_path", "file_name", "owner").agg(
+    whole = owned.groupBy("file_path", "owner").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["value"]), RECORD_BREAK
         ).alias("body")
@@ -106,12 +105,12 @@ def _split_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFram
     body = text.unix_lines(F.col("body"))
     block = F.when(body.rlike(r"(?U)\AQuestão\s+\d"), body).otherwise(F.concat(F.lit("Questão"), body))
     return whole.select(
-        "file_name",
+        "file_path",
         F.col("owner.split_start").alias("split_start"),
         F.col("owner.seq").alias("seq"),
         F.posexplode(text.blocks(block)).alias("part_no", "block"),
     ).select(
-        "file_name",
+        "file_path",
         "split_start",
         (F.col("seq").bitwiseAND(F.lit((1 << 33) - 1)) * 1000 + F.col("part_no")).alias("block_no"),
         "block",
@@ -119,18 +118,29 @@ def _split_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFram
 
 
 def raw_blocks(
-    spark: SparkSession, folder: str, whole_file_limit: int = 64 * 1024 * 1024
+    spark: SparkSession,
+    folder: str,
+    whole_file_limit: int = 64 * 1024 * 1024,
+    stem_from: str = "file",
 ) -> DataFrame:
     """Question blocks of the ``*.txt`` files of a folder.
 
-    ``stem, split_start, block_no, block``; within a stem, the two middle columns
-    give the order in the file. Files up to ``whole_file_limit`` bytes are read as
-    one row each, larger ones in parallel splits; the blocks are the same.
+    ``stem, file_path, split_start, block_no, block``; within a file, the columns
+    before the block give its order. Files up to ``whole_file_limit`` bytes are read
+    as one row each, larger ones in parallel splits; the blocks are the same. The
+    stem is the file's name or, with ``stem_from="folder"``, that of its folder
+    (``<stem>/`` or ``<key>=<stem>/``), as when the text was written by Spark.
     """
+    if stem_from == "file":
+        stem = names.file_stem(F.col("file_path"))
+    elif stem_from == "folder":
+        stem = F.regexp_extract("file_path", r"([^/=]+)/[^/]+\z", 1)
+    else:
+        raise ValueError(f"unknown stem source {stem_from!r}")
     small = _whole_file_blocks(spark, folder, whole_file_limit)
     large = _split_file_blocks(spark, folder, whole_file_limit)
     return small.unionByName(large).select(
-        names.file_stem(F.col("file_name")).alias("stem"), "split_start", "block_no", "block"
+        stem.alias("stem"), "file_path", "split_start", "block_no", "block"
     )
 
 
