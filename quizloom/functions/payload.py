@@ -8,6 +8,7 @@ set aside with the reason; it is never partly used.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.functions.rows import rows_where
 from quizloom.schemas import ANSWERS_IN, QUESTIONS_IN
 
 
@@ -15,34 +16,24 @@ def _field(value: Column, name: str) -> Column:
     return F.try_variant_get(value, f"$.{name}", "variant")
 
 
-def _kind(value: Column) -> Column:
-    """STRING, BIGINT, VOID, ARRAY, OBJECT, ...; null for an absent value."""
-    return F.regexp_extract(F.schema_of_variant(value), r"\A([A-Z]+)", 1)
-
-
-def _items(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "array<variant>")
-
-
 def _string(value: Column) -> Column:
-    return F.when(_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    is_string = F.schema_of_variant(value) == "STRING"
+    return F.when(is_string, F.try_variant_get(value, "$", "string"))
 
 
 def _whole_number(value: Column) -> Column:
     """An int from 7, 7.0, "7" or " 7 "; null from anything else."""
     text = F.trim(F.try_variant_get(value, "$", "string"))
+    # JSON booleans, lists and objects never look like a number as text.
     number = F.when(text.rlike(r"\A[+-]?\d+(\.0*)?\z"), F.substring_index(text, ".", 1))
-    usable = _kind(value).isin("STRING", "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
-    return F.when(usable, number.try_cast("int"))
+    return number.try_cast("int")
 
 
 def _list_field(owner: Column, name: str) -> Column:
     """Items of a list that may be absent (empty) but not null or another type."""
-    value = _field(owner, name)
-    return (
-        F.when(value.isNull(), F.array().cast("array<variant>"))
-        .when(_kind(value) == "ARRAY", _items(value))
-    )
+    items = F.try_variant_get(owner, f"$.{name}", "array<variant>")
+    absent = _field(owner, name).isNull()
+    return F.when(absent, F.array().cast("array<variant>")).otherwise(items)
 
 
 def _question(item: Column) -> Column:
@@ -81,23 +72,35 @@ def _answer_is_bad(a: Column) -> Column:
 
 
 def _decode(pages: DataFrame, name: str, convert, is_bad, item_type: str) -> DataFrame:
-    document = F.try_parse_json("payload")
-    parsed = pages.withColumn("_document", document)
-    read = parsed.withColumn(
-        "_items", F.transform(_list_field(F.col("_document"), name), convert).cast(item_type)
-    )
-    error = (
-        F.when(F.col("payload").isNull(), "missing payload")
-        .when(F.col("_document").isNull(), "not JSON")
-        .when(_kind(F.col("_document")) != "OBJECT", "not an object")
-        .when(F.col("_items").isNull(), f"{name} is not a list")
-        .when(F.exists("_items", is_bad), f"bad item in {name}")
-    )
-    return (
-        read.withColumn("error", error)
-        .withColumn(name, F.when(F.col("error").isNull(), F.col("_items")))
-        .drop("_document", "_items")
+    payload = F.col("payload")
+
+    def checked(items: Column, document: Column) -> Column:
+        # Valid JSON is an object exactly if it opens with a brace.
+        is_object = F.startswith(F.ltrim(payload, F.lit(" \t\r\n")), F.lit("{"))
+        error = (
+            F.when(payload.isNull(), "missing payload")
+            .when(document.isNull(), "not JSON")
+            .when(~is_object, "not an object")
+            .when(items.isNull(), f"{name} is not a list")
+            .when(F.exists(items, is_bad), f"bad item in {name}")
+        )
+        return F.struct(F.when(error.isNull(), items).alias(name), error.alias("error"))
+
+    # One expression per page, whose steps are bound by ``_let``: spread over columns,
+    # a pushed-down filter would repeat the parsing in each place that refers to it.
+    decoded = _let(
+        F.try_parse_json(payload),
+        lambda document: _let(
+            F.transform(_list_field(document, name), convert).cast(item_type),
+            lambda items: checked(items, document),
+        ),
     )
+    return pages.withColumn("_decoded", decoded).select(*pages.columns, "_decoded.*")
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def decode_questions(pages: DataFrame) -> DataFrame:
@@ -111,11 +114,11 @@ def decode_answers(pages: DataFrame) -> DataFrame:
 
 
 def good_pages(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col("error").isNull()).drop("error", "payload")
+    """Decoded pages; a bad one has a null list, which gives no rows when exploded."""
+    return decoded.drop("error", "payload")
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:
     """Pages set aside: key, payload and reason."""
-    return decoded.where(F.col("error").isNotNull()).select(
-        "exam", "doc_kind", "page", "payload", "error"
-    )
+    columns = ["exam", "doc_kind", "page", "payload", "error"]
+    return rows_where(decoded, F.col("error").isNotNull(), columns)

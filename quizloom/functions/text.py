@@ -7,29 +7,42 @@ are the Unicode ones. Line ends must be normalised first (``unix_lines``).
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLOCK_START = r"(?mdU)(?=^Questão\s+\d+)"
+# Blocks begin with their header, so AREA and OPTIONS lines follow a line break.
+# A literal start of the pattern lets the regex engine skip through the text.
+BLOCK_START = r"(?U)\n(?=Questão\s+\d)"
 HEADER = r"(?mdU)\A\s*Questão\s+(\d+)\s*(NULL)?\s*$"
-HEADER_AND_REST = r"(?mdsU)\A\s*Questão\s+\d+\s*(?:NULL)?\s*$(.*)"
-AREA_LINE = r"(?md)^AREA[ \t]*(.*?)[ \t]*$"
-AFTER_AREA_LINE = r"(?mds)^AREA[^\n]*$(.*)"
-OPTIONS_LINE = r"(?mdU)^OPTIONS\s*$"
-# The lazy body with a look-ahead is linear; a tempered group recurses per line.
-ALTERNATIVE = r"(?mdsU)^[A-E](?::CORRECT)?\)\s*.*?(?=\n[A-E](?::CORRECT)?\)|\z)"
-ALTERNATIVE_MARK = r"\A[A-E](?::CORRECT)?\)"
+AFTER_HEADER = r"(?mdsU)\A\s*Questão\s+\d+\s*(?:NULL)?\s*$(.*)"
+AREA_LINE = r"(?md)\nAREA[ \t]*(.*?)[ \t]*$"
+AFTER_AREA_LINE = r"(?mds)\nAREA[^\n]*$(.*)"
+OPTIONS_LINE = r"(?mdU)\nOPTIONS\s*$"
+# A marker takes the rest of its line or, if that is blank, the next line with text.
+MARKED_LINE = r"(?mdU)^([A-E])(:CORRECT)?\)\s*(.*)"
+MARKER_START = r"(?d)\n(?=[A-E](?::CORRECT)?\))"
+
+# More pieces than a text can have.
+MANY = 1 << 30
+
+# Fixed value: the characters that count as blanks when stripping.
+BLANKS = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def unix_lines(text: Column) -> Column:
-    return F.regexp_replace(text, r"\r\n?", "\n")
+    replaced = F.regexp_replace(text, r"\r\n?", "\n")
+    return F.when(F.contains(text, F.lit("\r")), replaced).otherwise(text)
 
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing Unicode blanks."""
-    return F.regexp_replace(text, r"(?U)\A\s+|\s+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def one_line(text: Column) -> Column:
     """Turn each line break with its surrounding blanks into one space, then strip."""
-    return strip(F.regexp_replace(text, r"(?U)\s*\n\s*", " "))
+    lines = F.transform(F.split(text, "\n"), strip)
+    return F.array_join(F.filter(lines, lambda line: line != ""), " ")
 
 
 def blocks(text: Column) -> Column:
@@ -51,15 +64,21 @@ def area_tag(block: Column) -> Column:
 
 
 def options_split(block: Column) -> Column:
+    """Text before the OPTIONS line, then the alternatives; one item without the line."""
     return F.split(block, OPTIONS_LINE)
 
 
-def statement(block: Column) -> Column:
-    """Text between the AREA line (the header, if there is none) and OPTIONS."""
-    before_options = F.get(options_split(block), F.lit(0))
-    text = F.when(
-        block.rlike(r"(?md)^AREA"), F.regexp_extract(before_options, AFTER_AREA_LINE, 1)
-    ).otherwise(F.regexp_extract(before_options, HEADER_AND_REST, 1))
+def statement(before_options: Column, block: Column) -> Column:
+    """Text after the AREA line of the block, or after the header if it has none.
+
+    An AREA line that only comes after OPTIONS leaves no statement.
+    """
+    area = "\nAREA"
+    text = (
+        F.when(F.contains(before_options, F.lit(area)), F.regexp_extract(before_options, AFTER_AREA_LINE, 1))
+        .when(F.contains(block, F.lit(area)), "")
+        .otherwise(F.regexp_extract(before_options, AFTER_HEADER, 1))
+    )
     return one_line(text)
 
 
@@ -68,14 +87,20 @@ def alternatives(options: Column) -> Column:
 
     An alternative without text takes the next marker line as its own text.
     """
-    return F.transform(
-        F.regexp_extract_all(options, F.lit(ALTERNATIVE), F.lit(0)),
-        lambda piece: F.struct(
+    lines = F.concat(F.lit("\n"), F.regexp_replace(options, MARKED_LINE, "$1$2) $3"))
+    # The first piece is what stands before the first marker.
+    marked = F.slice(F.split(lines, MARKER_START), F.lit(2), F.lit(MANY))
+
+    def alternative(piece: Column) -> Column:
+        tagged = F.substring(piece, 2, 9) == ":CORRECT)"
+        text = F.substring(piece, F.when(tagged, 11).otherwise(3), F.length(piece))
+        return F.struct(
             F.substring(piece, 1, 1).alias("letter"),
-            one_line(F.regexp_replace(piece, ALTERNATIVE_MARK, "")).alias("text"),
-            (F.substring(piece, 2, 9) == ":CORRECT)").alias("tagged"),
-        ),
-    )
+            one_line(text).alias("text"),
+            tagged.alias("tagged"),
+        )
+
+    return F.transform(marked, alternative)
 
 
 def tagged_letter(alts: Column) -> Column:

@@ -13,22 +13,31 @@ HOT_SHARE = 0.001
 PAGES_PER_PIECE = 1_000
 
 
+def _items(pages: DataFrame, column: str) -> DataFrame:
+    """``exam, page, pos, item`` of a list column; empty and null lists give no rows.
+
+    The outer form keeps Spark from inferring a filter on the list, which would be
+    pushed below the projection that parses it and parse each page again.
+    """
+    return pages.select(
+        "exam", "page", F.posexplode_outer(column).alias("pos", "item")
+    ).where(F.col("pos").isNotNull())
+
+
 def explode_questions(pages: DataFrame) -> DataFrame:
     """One row per question on a page; pages without questions give none."""
-    return pages.select("exam", "page", F.posexplode("questoes").alias("pos", "q")).select(
+    return _items(pages, "questoes").select(
         "exam",
         "page",
         "pos",
-        "q.numero",
-        "q.enunciado",
-        F.coalesce("q.alternativas", F.array()).alias("alternativas"),
+        "item.numero",
+        "item.enunciado",
+        F.coalesce("item.alternativas", F.array()).alias("alternativas"),
     )
 
 
 def explode_answers(pages: DataFrame) -> DataFrame:
-    return pages.select("exam", "page", F.posexplode("respostas").alias("pos", "a")).select(
-        "exam", "page", "pos", "a.numero", "a.resposta"
-    )
+    return _items(pages, "respostas").select("exam", "page", "pos", "item.numero", "item.resposta")
 
 
 def hot_questions(parts: DataFrame, min_parts: int = HOT_PARTS) -> DataFrame:

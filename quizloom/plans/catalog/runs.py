@@ -349,7 +349,7 @@ def incremental_ingest(spark, sf_dir):
         arriving.where(F.col("drop") == drop).drop("drop").write.mode("append").json(drops)
         ingest.ingest_new_pages(spark, drops, pages, f"{base}/checkpoint")
         ingest.refresh_questions(spark, pages, questions)
-    rows = spark.read.option("basePath", questions).parquet(questions)
+    rows = ingest.current_questions(spark, questions)
     return rows.select("exam_source", "question_number", "statement", "nullified")
 
 

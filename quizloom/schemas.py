@@ -8,10 +8,11 @@ QUESTIONS_IN = f"array<struct<numero:int,enunciado:string,alternativas:{ALTERNAT
 ANSWERS_IN = "array<struct<numero:int,resposta:string>>"
 
 # A finished dataset row. The metadata keys vary by series, hence VARIANT.
-EXAM_QUESTION = (
+QUESTION = (
     "id string, exam_source string, question_number int, statement string, "
-    f"alternatives {ALTERNATIVES}, correct_answer string, nullified boolean, metadata variant"
+    f"alternatives {ALTERNATIVES}, correct_answer string, nullified boolean"
 )
+EXAM_QUESTION = f"{QUESTION}, metadata variant"
 EXAM_QUESTION_COLUMNS = [
     "id",
     "exam_source",
@@ -28,3 +29,6 @@ MANIFEST_JSON = "map<string,struct<prova_url:string,gabarito_url:string>>"
 # The page table: one row per successfully extracted page.
 PAGE_KEYS = ["exam", "doc_kind", "page"]
 PAGE_TABLE = "exam string, doc_kind string, page int, payload string"
+
+# The note a build of the question table leaves on each exam it holds.
+BUILT_EXAM = "exam string, pages long"

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from quizloom.operators.resume import append_new_pages, read_page_table
 from quizloom.plans.builds import page_questions
-from quizloom.schemas import PAGE_TABLE
+from quizloom.schemas import BUILT_EXAM, PAGE_TABLE, QUESTION
+from quizloom.staging import staged
 
 
 def ingest_new_pages(
-    spark: SparkSession, drop_folder: str, page_table: str, checkpoint: str, files_per_batch: int = 1000
+    spark: SparkSession, drop_folder: str, page_table: str, checkpoint: str, files_per_batch: int = 1_000
 ) -> None:
     """Append the pages of new drop files, then stop.
 
@@ -32,21 +33,23 @@ def ingest_new_pages(
     query.awaitTermination()
 
 
-def exams_out_of_date(spark: SparkSession, page_table: str, question_table: str) -> DataFrame:
-    """Exams with more pages in the page table than when their questions were built."""
-    now = (
-        read_page_table(spark, page_table).groupBy("exam").agg(F.count(F.lit(1)).alias("pages"))
-    )
+def _builds(spark: SparkSession, question_table: str, part: str, schema: str) -> DataFrame:
+    """All builds of one part of the question table, with their number in ``build``."""
     try:
-        built = spark.read.parquet(question_table).groupBy("exam").agg(
-            F.max("built_pages").alias("built_pages")
-        )
+        return spark.read.schema(f"{schema}, build int").parquet(f"{question_table}/{part}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return now
+        return spark.createDataFrame([], f"{schema}, build int")
+
+
+def exams_out_of_date(pages: DataFrame, built: DataFrame) -> DataFrame:
+    """``exam, pages`` of exams that have other pages than at their last build."""
+    last = built.groupBy("exam").agg(F.max_by("pages", "build").alias("built_pages"))
     return (
-        now.join(built, "exam", "left")
+        pages.groupBy("exam")
+        .agg(F.count(F.lit(1)).alias("pages"))
+        .join(last, "exam", "left")
         .where(F.coalesce("built_pages", F.lit(0)) != F.col("pages"))
         .select("exam", "pages")
     )
@@ -55,20 +58,25 @@ def exams_out_of_date(spark: SparkSession, page_table: str, question_table: str)
 def refresh_questions(spark: SparkSession, page_table: str, question_table: str) -> None:
     """Rebuild the questions of exams with new pages; other exams stay as they are.
 
-    A late page can change a question stitched earlier, so an exam is rebuilt whole
-    and its partition replaced.
+    A late page can change a question stitched earlier, so an exam is rebuilt whole.
+    Each refresh writes one new build and then notes its exams. One that fails
+    before the note is made again under the same number, over what it left.
     """
     pages = read_page_table(spark, page_table)
-    stale = exams_out_of_date(spark, page_table, question_table)
-    rows = page_questions(pages.join(stale.select("exam"), "exam", "left_semi"))
-    keys = ["exam", "question_number"]
-    (
-        rows.withColumn("exam", F.col("exam_source"))
-        .join(stale.withColumnRenamed("pages", "built_pages"), "exam")
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("exam")
-        .parquet(question_table)
+    built = _builds(spark, question_table, "exams", BUILT_EXAM)
+    stale = staged(exams_out_of_date(pages, built), "stale-exams")
+    build = (built.agg(F.max("build")).first()[0] or 0) + 1
+    rows = page_questions(pages.join(stale, "exam", "left_semi"))
+    rows.write.mode("overwrite").parquet(f"{question_table}/questions/build={build}")
+    stale.write.mode("overwrite").parquet(f"{question_table}/exams/build={build}")
+
+
+def current_questions(spark: SparkSession, question_table: str) -> DataFrame:
+    """Questions of each exam's newest build."""
+    newest = (
+        _builds(spark, question_table, "exams", BUILT_EXAM)
+        .groupBy(F.col("exam").alias("exam_source"))
+        .agg(F.max("build").alias("build"))
     )
+    rows = _builds(spark, question_table, "questions", QUESTION)
+    return rows.join(newest, ["exam_source", "build"], "left_semi").drop("build")
