@@ -13,16 +13,15 @@ ANCHOR_END = r"(?i)</a\s*>"
 TAGS = r"(?:<[^>]*>)+"
 
 
-def _anchor_start(needle: str) -> str:
-    """Pattern up to the last opening anchor whose href holds ``needle``.
+def _anchor_tag(needle: str) -> str:
+    """Inside of an opening anchor tag whose href holds ``needle``.
 
-    Groups: double-quoted, single-quoted and bare href, then the text after the tag.
+    Groups: the double-quoted, single-quoted or bare href.
     """
     want = re.escape(needle)
     return (
-        r"(?is)\A.*<a\s(?:[^>]*?\s)?href\s*=\s*"
-        rf"(?:\"([^\"]*{want}[^\"]*)\"|'([^']*{want}[^']*)'|([^\s\"'>]*{want}[^\s>]*))"
-        r"[^>]*>(.*)\z"
+        r"(?:[^>]*?\s)?href\s*=\s*"
+        rf"(?:\"([^\"]*{want}[^\"]*)\"|'([^']*{want}[^']*)'|([^\s\"'>]*{want}[^\s>]*))[^>]*>"
     )
 
 
@@ -66,16 +65,20 @@ def links(page: Column, needle: str = ".pdf") -> Column:
     Each closing anchor tag ends at most one link: the last wanted opening tag
     since the closing tag before it, with all text that follows.
     """
-    pattern = _anchor_start(needle)
+    tag = _anchor_tag(needle)
     segments = F.split(F.regexp_replace(page, IGNORED_MARKUP, " "), ANCHOR_END)
     closed = F.slice(segments, F.lit(1), F.size(segments) - 1)
+    # The greedy start finds the last wanted tag; what follows "<a" is kept.
+    opened = F.transform(
+        closed, lambda segment: F.regexp_extract(segment, rf"(?is)\A.*<a\s({tag}.*)\z", 1)
+    )
 
-    def link(segment: Column) -> Column:
-        href = F.concat(*[F.regexp_extract(segment, pattern, i) for i in (1, 2, 3)])
-        text = F.regexp_replace(F.regexp_extract(segment, pattern, 4), TAGS, " ")
+    def link(anchor: Column) -> Column:
+        href = F.concat(*[F.regexp_extract(anchor, rf"(?is)\A{tag}", i) for i in (1, 2, 3)])
+        text = F.regexp_replace(F.regexp_extract(anchor, rf"(?is)\A{tag}(.*)\z", 4), TAGS, " ")
         return F.struct(strip(unescape(text)).alias("text"), unescape(href).alias("href"))
 
-    return F.filter(F.transform(closed, link), lambda a: a["href"] != "")
+    return F.transform(F.filter(opened, lambda anchor: anchor != ""), link)
 
 
 def site_root(url: Column) -> Column:

@@ -69,7 +69,8 @@ def export_per_exam(rows: DataFrame, folder: str, fmt: str = "jsonl") -> str:
     """
     wanted = formats(fmt)
     source = staged(rows, "export") if len(wanted) > 1 else rows
-    keys = ["exam_source", "question_number", "id"]
+    # Led by the partition column: the writer would else sort by it and undo the order.
+    keys = [EXAM_PARTITION, "question_number", "id"]
     spread = (
         source.withColumn(EXAM_PARTITION, F.col("exam_source"))
         .repartitionByRange(*keys)

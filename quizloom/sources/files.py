@@ -1,7 +1,7 @@
 """Scans of document folders, raw text, page payloads, datasets and manifests.
 
-Spark skips files and folders whose name starts with ``.`` or ``_``; give such a
-folder as the path itself to read it.
+Spark skips empty files, and files and folders whose name starts with ``.`` or
+``_``; give such a folder as the path itself to read it.
 """
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -36,8 +36,9 @@ def page_images(spark: SparkSession, folder: str, glob: str = "*.png") -> DataFr
 
 def _raw_files(spark: SparkSession, folder: str, **options) -> DataFrame:
     return (
-        spark.read.options(pathGlobFilter="*.txt", **options)
-        .text(folder)
+        spark.read.format("text")
+        .options(pathGlobFilter="*.txt", **options)
+        .load(folder)
         .select("value", F.col("_metadata").alias("file"))
     )
 
@@ -47,7 +48,7 @@ def _whole_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFram
     return files.select(
         F.col("file.file_path").alias("file_path"),
         F.lit(0).cast("long").alias("split_start"),
-        F.posexplode(text.blocks(text.unix_lines("value"))).alias("block_no", "block"),
+        F.posexplode(text.blocks(text.unix_lines(F.col("value")))).alias("block_no", "block"),
     ).withColumn("block_no", F.col("block_no").cast("long"))
 
 
@@ -149,10 +150,9 @@ def page_payloads(spark: SparkSession, folder: str) -> DataFrame:
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     pattern = r"([^/]+)/([^/]+)/page-(\d+)\.json\z"
     return (
-        spark.read.options(
-            wholetext=True, pathGlobFilter="page-*.json", recursiveFileLookup=True
-        )
-        .text(folder)
+        spark.read.format("text")
+        .options(wholetext=True, pathGlobFilter="page-*.json", recursiveFileLookup=True)
+        .load(folder)
         .select(
             F.regexp_extract(path, pattern, 1).alias("exam"),
             F.regexp_extract(path, pattern, 2).alias("doc_kind"),
@@ -169,7 +169,7 @@ def question_dataset(spark: SparkSession, path: str) -> DataFrame:
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """``edition, prova_url, gabarito_url`` from JSON objects keyed by edition."""
-    return explode_manifest(spark.read.option("wholetext", True).text(path), "value")
+    return explode_manifest(spark.read.text(path, wholetext=True), "value")
 
 
 def explode_manifest(documents: DataFrame, column: str) -> DataFrame:
