@@ -7,9 +7,9 @@ from quizloom.functions.names import question_id
 
 KEYS = ["exam", "numero"]
 
-# A question with more parts than this, and a thousandth of all parts, is hot.
-HOT_PARTS = 100_000
-HOT_SHARE = 0.001
+# A question with more parts than this is hot, if it also holds a millionth of all parts.
+HOT_PARTS = 10_000
+MOST_HOT = 1_000_000
 PAGES_PER_PIECE = 1_000
 
 
@@ -43,14 +43,15 @@ def explode_answers(pages: DataFrame) -> DataFrame:
 def hot_questions(parts: DataFrame, min_parts: int = HOT_PARTS) -> DataFrame:
     """Keys that hold too many parts for one group.
 
-    Each holds at least a thousandth of all parts, so there are at most a
-    thousand: safe to broadcast whatever the size of the data.
+    Each holds at least a millionth of all parts, so there are at most a million:
+    their keys, some tens of megabytes, can be broadcast whatever the size of the
+    data. At 50 billion parts every question over 50,000 parts is still hot.
     """
     total = parts.agg(F.count(F.lit(1)).alias("n")).scalar()
     return (
         parts.groupBy(*KEYS)
         .agg(F.count(F.lit(1)).alias("n"))
-        .where((F.col("n") > min_parts) & (F.col("n") >= total * HOT_SHARE))
+        .where((F.col("n") > min_parts) & (F.col("n") * MOST_HOT >= total))
         .select(*KEYS)
     )
 

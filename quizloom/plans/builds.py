@@ -7,7 +7,7 @@ from quizloom.fixed_values import DATED_SERIES, EXAM_KIND, KEY_KIND, NUMBERED_SE
 from quizloom.functions.payload import decode_answers, decode_questions, good_pages
 from quizloom.operators import assemble, enrich, ordering, rawtext
 from quizloom.schemas import EXAM_QUESTION_COLUMNS
-from quizloom.sinks.export import export, export_per_exam
+from quizloom.sinks.export import formats, write_per_exam, write_sorted
 from quizloom.staging import staged
 
 NUMBERED_KEYS = ["area", "edition", "year", "source_format"]
@@ -32,6 +32,39 @@ def page_questions(page_table: DataFrame, nullified: DataFrame | None = None) ->
     )
 
 
+def page_outcomes(page_table: DataFrame) -> DataFrame:
+    """``exam, doc_kind, page, failed, found``: did the page decode, and into how much."""
+
+    def outcome(decoded: DataFrame, name: str) -> DataFrame:
+        return decoded.select(
+            "exam",
+            "doc_kind",
+            "page",
+            F.col("error").isNotNull().alias("failed"),
+            F.coalesce(F.size(name), F.lit(0)).alias("found"),
+        )
+
+    exam_pages = page_table.where(F.col("doc_kind") == EXAM_KIND)
+    key_pages = page_table.where(F.col("doc_kind") == KEY_KIND)
+    return outcome(decode_questions(exam_pages), "questoes").unionByName(
+        outcome(decode_answers(key_pages), "respostas")
+    )
+
+
+def resumed_questions(
+    page_table: DataFrame, cached: DataFrame, force: bool = False
+) -> DataFrame:
+    """Questions of finished exams as stored, and of the others built from their pages.
+
+    The stored rows have no metadata: it is added after this union, to both alike.
+    """
+    if force:
+        return page_questions(page_table)
+    finished_exams = cached.select(F.col("exam_source").alias("exam")).distinct()
+    pending = page_table.join(finished_exams, "exam", "left_anti")
+    return cached.select(*CORE_COLUMNS).unionByName(page_questions(pending))
+
+
 def numbered_series_rows(
     blocks: DataFrame | None,
     page_rows: DataFrame | None,
@@ -96,10 +129,11 @@ def write_dataset(
     rows: DataFrame, folder: str, name: str, fmt: str = "jsonl", missing_edition=0
 ) -> str:
     """Export the dataset and its per-exam folders; returns the main path."""
-    rows = staged(rows, name)
+    formats(fmt)
+    table = staged(rows, name)
     order = ordering.dataset_order("number_first", missing_edition)
-    main = export(rows, f"{folder.rstrip('/')}/{name}", fmt, order)
-    export_per_exam(rows, folder, fmt)
+    main = write_sorted(table, f"{folder.rstrip('/')}/{name}", fmt, order)
+    write_per_exam(table, folder, fmt)
     return main
 
 

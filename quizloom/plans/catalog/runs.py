@@ -5,9 +5,11 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from quizloom.functions import payload
+from quizloom.functions.names import question_id
 from quizloom.operators import assemble, manifest, payloads, report, resume
+from quizloom.plans import builds
 from quizloom.plans.catalog.registry import query, table
-from quizloom.schemas import PAGE_TABLE
+from quizloom.schemas import ALTERNATIVES, PAGE_TABLE
 from quizloom.sources.files import explode_manifest
 from quizloom.staging import staging_path
 from quizloom.streaming import ingest
@@ -70,6 +72,20 @@ def payload_decode(spark, sf_dir):
     return rows.withColumn("alternatives", F.array_join(text, "|")).drop("alternativas")
 
 
+@query(
+    """
+    SELECT 'user-' || user_id AS exam, count(*) AS exam_pages, 0::bigint AS key_pages,
+        count_if(event_id % 12 IN (0, 2, 3, 4, 6, 7, 8))::bigint AS failed_pages,
+        sum(CASE event_id % 12 WHEN 5 THEN 1 WHEN 9 THEN 2 WHEN 10 THEN 2 WHEN 11 THEN 2 ELSE 0 END)
+            ::bigint AS questions_found
+    FROM events GROUP BY ALL
+    """
+)
+def payload_page_totals(spark, sf_dir):
+    """Pages, bad pages and questions per exam, from the decoded payloads."""
+    return report.page_totals(builds.page_outcomes(question_pages(spark, sf_dir)))
+
+
 ANSWER_PAYLOAD = """CASE event_id % 5 WHEN 0 THEN '{"respostas":[{"numero":true,"resposta":"A"}]}'
     ELSE concat('{"respostas":[{"numero":', get_json_object(props, '$.k'), ',"resposta":"',
         event_type, '"},{"numero":', get_json_object(props, '$.k'), ',"resposta":"Z"}]}') END"""
@@ -145,6 +161,51 @@ def resume_pages(spark, sf_dir):
     return resumed.select("exam", "page", F.coalesce("payload", "fresh").alias("payload"), "from_cache")
 
 
+@query(
+    """
+    SELECT printf('oab-%s-%03d', substr(source, 4), doc_id) AS id, doc_id::int AS question_number,
+        md5(CASE WHEN substr(source, 4)::int % 2 = 0 THEN 'stored' ELSE text END) AS statement_md5,
+        CASE WHEN substr(source, 4)::int % 2 = 0 THEN 'C' END AS correct_answer,
+        substr(source, 4)::int AS edition, 'pdf' AS source_format
+    FROM documents
+    """
+)
+def union_cached(spark, sf_dir):
+    """Finished exams as stored, the others from payloads, then metadata for all."""
+    documents = table(spark, sf_dir, "documents").select(
+        F.expr("concat('oab-', substr(source, 4))").alias("exam"),
+        F.expr("cast(substr(source, 4) as int) % 2 = 0").alias("stored"),
+        F.col("doc_id").cast("int").alias("numero"),
+        "text",
+    )
+    pages = documents.select(
+        "exam",
+        F.lit("prova").alias("doc_kind"),
+        F.col("numero").alias("page"),
+        F.to_json(
+            F.struct(F.array(F.struct("numero", F.col("text").alias("enunciado"))).alias("questoes"))
+        ).alias("payload"),
+    )
+    cached = documents.where("stored").select(
+        question_id(F.col("exam"), F.col("numero")).alias("id"),
+        F.col("exam").alias("exam_source"),
+        F.col("numero").alias("question_number"),
+        F.lit("stored").alias("statement"),
+        F.array().cast(ALTERNATIVES).alias("alternatives"),
+        F.lit("C").alias("correct_answer"),
+        F.lit(False).alias("nullified"),
+    )
+    rows = builds.numbered_series_rows(None, builds.resumed_questions(pages, cached))
+    return rows.select(
+        "id",
+        "question_number",
+        F.md5("statement").alias("statement_md5"),
+        "correct_answer",
+        "edition",
+        "source_format",
+    )
+
+
 def customer_statuses(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     exam = F.col("c_custkey").alias("exam")

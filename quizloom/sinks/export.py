@@ -48,31 +48,22 @@ def _write(rows: DataFrame, path: str, fmt: str, partition: list[str]) -> None:
         writer.option("ignoreNullFields", "false").json(path)
 
 
-def export(
-    rows: DataFrame, path: str, fmt: str = "jsonl", order: list[Column] | None = None
-) -> str:
-    """Write ``<path>.jsonl`` and/or ``<path>.csv``; returns the main one."""
+def write_sorted(table: DataFrame, path: str, fmt: str, order: list[Column] | None = None) -> str:
+    """``export`` for rows that are cheap to read more than once, as from a table."""
     wanted = formats(fmt)
-    source = staged(rows, "export") if len(wanted) > 1 else rows
-    ordered = source.orderBy(*(order or number_order()))
+    ordered = table.orderBy(*(order or number_order()))
     for one in wanted:
         _write(ordered, f"{path}.{one}", one, [])
     return f"{path}.{wanted[0]}"
 
 
-def export_per_exam(rows: DataFrame, folder: str, fmt: str = "jsonl") -> str:
-    """Write one subfolder per ``exam_source``, each sorted by question number.
-
-    Rows are spread by range over (exam, number, id), not by exam: an exam that
-    holds much of the data is written by many tasks. The partition column is a
-    copy, so ``exam_source`` stays in the files.
-    """
+def write_per_exam(table: DataFrame, folder: str, fmt: str) -> str:
+    """``export_per_exam`` for rows that are cheap to read more than once."""
     wanted = formats(fmt)
-    source = staged(rows, "export") if len(wanted) > 1 else rows
     # Led by the partition column: the writer would else sort by it and undo the order.
     keys = [EXAM_PARTITION, "question_number", "id"]
     spread = (
-        source.withColumn(EXAM_PARTITION, F.col("exam_source"))
+        table.withColumn(EXAM_PARTITION, F.col("exam_source"))
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
     )
@@ -80,3 +71,27 @@ def export_per_exam(rows: DataFrame, folder: str, fmt: str = "jsonl") -> str:
     for one in wanted:
         _write(spread, f"{base}/{one}", one, [EXAM_PARTITION])
     return f"{base}/{wanted[0]}"
+
+
+def export(
+    rows: DataFrame, path: str, fmt: str = "jsonl", order: list[Column] | None = None
+) -> str:
+    """Write ``<path>.jsonl`` and/or ``<path>.csv``; returns the main one.
+
+    A range sort reads its input twice, to sample and to sort, and each format once
+    more; so the rows are first written as a table, which then gives the sample
+    without being parsed and joined anew.
+    """
+    formats(fmt)
+    return write_sorted(staged(rows, "export"), path, fmt, order)
+
+
+def export_per_exam(rows: DataFrame, folder: str, fmt: str = "jsonl") -> str:
+    """Write one subfolder per ``exam_source``, each sorted by question number.
+
+    Rows are spread by range over (exam, number, id), not by exam: an exam that
+    holds much of the data is written by many tasks. The partition column is a
+    copy, so ``exam_source`` stays in the files.
+    """
+    formats(fmt)
+    return write_per_exam(staged(rows, "export"), folder, fmt)
