@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.text import strip
 
-IGNORED_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANCHOR_END = r"(?i)</a\s*>"
+IGNORED_MARKUP = r"(?is)<(?:!--.*?-->|script\b.*?</script\s*>|style\b.*?</style\s*>)"
+ANCHOR_END = r"</[aA]\s*>"
 TAGS = r"(?:<[^>]*>)+"
 
 
@@ -70,7 +70,7 @@ def links(page: Column, needle: str = ".pdf") -> Column:
     closed = F.slice(segments, F.lit(1), F.size(segments) - 1)
     # The greedy start finds the last wanted tag; what follows "<a" is kept.
     opened = F.transform(
-        closed, lambda segment: F.regexp_extract(segment, rf"(?is)\A.*<a\s({tag}.*)\z", 1)
+        closed, lambda segment: F.regexp_extract(segment, rf"(?is)\A.*<[aA]\s({tag}.*)\z", 1)
     )
 
     def link(anchor: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Row helpers."""
+"""Filters and explodes that don't make Spark compute dear columns twice."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,3 +13,14 @@ def rows_where(rows: DataFrame, condition: Column, columns: list[str]) -> DataFr
     """
     kept = F.when(condition, F.array(F.struct(*columns)))
     return rows.select(F.explode(kept).alias("row")).select("row.*")
+
+
+def rows_of_list(rows: DataFrame, keep: list[str], column: str) -> DataFrame:
+    """``keep, pos, item`` of a list column; empty and null lists give no rows.
+
+    The outer form keeps Spark from inferring a filter on the list, which would be
+    pushed below the projection that computes the list.
+    """
+    return rows.select(*keep, F.posexplode_outer(column).alias("pos", "item")).where(
+        F.col("pos").isNotNull()
+    )

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.functions.names import question_id
+from quizloom.functions.rows import rows_of_list
 
 KEYS = ["exam", "numero"]
 
@@ -13,20 +14,9 @@ MOST_HOT = 1_000_000
 PAGES_PER_PIECE = 1_000
 
 
-def _items(pages: DataFrame, column: str) -> DataFrame:
-    """``exam, page, pos, item`` of a list column; empty and null lists give no rows.
-
-    The outer form keeps Spark from inferring a filter on the list, which would be
-    pushed below the projection that parses it and parse each page again.
-    """
-    return pages.select(
-        "exam", "page", F.posexplode_outer(column).alias("pos", "item")
-    ).where(F.col("pos").isNotNull())
-
-
 def explode_questions(pages: DataFrame) -> DataFrame:
     """One row per question on a page; pages without questions give none."""
-    return _items(pages, "questoes").select(
+    return rows_of_list(pages, ["exam", "page"], "questoes").select(
         "exam",
         "page",
         "pos",
@@ -37,7 +27,8 @@ def explode_questions(pages: DataFrame) -> DataFrame:
 
 
 def explode_answers(pages: DataFrame) -> DataFrame:
-    return _items(pages, "respostas").select("exam", "page", "pos", "item.numero", "item.resposta")
+    rows = rows_of_list(pages, ["exam", "page"], "respostas")
+    return rows.select("exam", "page", "pos", "item.numero", "item.resposta")
 
 
 def hot_questions(parts: DataFrame, min_parts: int = HOT_PARTS) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quizloom import fixed_values as fixed
 from quizloom.functions import html
+from quizloom.functions.rows import rows_of_list
 
 
 def with_links(pages: DataFrame, needle: str = ".pdf") -> DataFrame:
@@ -24,9 +25,7 @@ def with_links(pages: DataFrame, needle: str = ".pdf") -> DataFrame:
 
 def link_rows(pages: DataFrame) -> DataFrame:
     """``page_id, pos, text, href, url``, one row per link."""
-    return pages.select("page_id", F.posexplode("links").alias("pos", "link")).select(
-        "page_id", "pos", "link.*"
-    )
+    return rows_of_list(pages, ["page_id"], "links").select("page_id", "pos", "item.*")
 
 
 def _has_all(text: Column, words: list[str]) -> Column:

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quizloom.functions import text
+from quizloom.functions.rows import rows_of_list
 from quizloom.operators import rawtext as parsing
 from quizloom.plans.catalog.registry import query, table
 from quizloom.sources.files import raw_blocks
@@ -121,10 +122,8 @@ def part_alternatives(spark, sf_dir):
 
 @query(OPTIONS_SQL + "SELECT * FROM a")
 def parse_alternatives(spark, sf_dir):
-    rows = part_alternatives(spark, sf_dir).select(
-        "p_partkey", F.posexplode("alts").alias("pos", "alt")
-    )
-    return rows.select("p_partkey", "pos", "alt.letter", "alt.text", "alt.tagged")
+    rows = rows_of_list(part_alternatives(spark, sf_dir), ["p_partkey"], "alts")
+    return rows.select("p_partkey", "pos", "item.letter", "item.text", "item.tagged")
 
 
 @query(
