@@ -7,6 +7,7 @@ are the Unicode ones. Line ends must be normalised first (``unix_lines``).
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Patterns of the raw-text layout.
 # Blocks begin with their header, so AREA and OPTIONS lines follow a line break.
 # A literal start of the pattern lets the regex engine skip through the text.
 BLOCK_START = r"(?U)\n(?=Questão\s+\d)"

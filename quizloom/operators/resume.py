@@ -57,10 +57,17 @@ def read_page_table(spark: SparkSession, path: str) -> DataFrame:
 def append_new_pages(fresh: DataFrame, path: str) -> None:
     """Add the successful pages that the table at ``path`` doesn't hold yet.
 
-    Running it again with the same rows adds nothing, so a retry is harmless.
+    Running it again with the same rows adds nothing, so a retry is harmless. Known
+    pages are first cut down to the exams at hand: with few exams, as in one batch
+    of a stream, that is a broadcast join and the page table isn't shuffled.
     """
     good = (
         fresh.where(~F.col("failed")).groupBy(*PAGE_KEYS).agg(F.min("payload").alias("payload"))
     )
-    known = read_page_table(fresh.sparkSession, path).select(*PAGE_KEYS)
+    exams = fresh.select("exam").distinct()
+    known = (
+        read_page_table(fresh.sparkSession, path)
+        .select(*PAGE_KEYS)
+        .join(exams, "exam", "left_semi")
+    )
     good.join(known, PAGE_KEYS, "left_anti").write.mode("append").parquet(path)

@@ -78,11 +78,16 @@ def parse_raw_text(spark, sf_dir):
     WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
     SELECT 'empty statement' AS reason, count(*) AS blocks FROM l
     WHERE regexp_replace(line, '^\\s+|\\s+$', '', 'g') = '' HAVING count(*) > 0
+    UNION ALL SELECT 'bad header', count(*) FROM documents
+    UNION ALL SELECT 'no options', count(*) FROM documents
     """
 )
 def rejected_blocks(spark, sf_dir):
-    blocks = parsing.blocks_of_texts(raw_texts(spark, sf_dir))
-    rejected = parsing.rejected_blocks(parsing.parse_blocks(blocks))
+    """Texts with a preamble, and with a last block that has no options."""
+    texts = raw_texts(spark, sf_dir).withColumn(
+        "value", F.concat(F.lit("intro\n"), "value", F.lit("\nQuestão 999\n\nsem opções\n"))
+    )
+    rejected = parsing.rejected_blocks(parsing.parse_blocks(parsing.blocks_of_texts(texts)))
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("blocks"))
 
 

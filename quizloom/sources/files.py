@@ -105,6 +105,7 @@ def _split_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFram
     )
     body = text.unix_lines(F.col("body"))
     block = F.when(body.rlike(r"(?U)\AQuestão\s+\d"), body).otherwise(F.concat(F.lit("Questão"), body))
+    in_split_no = F.col("seq").bitwiseAND(F.lit((1 << 33) - 1))
     return whole.select(
         "file_path",
         F.col("owner.split_start").alias("split_start"),
@@ -113,7 +114,7 @@ def _split_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFram
     ).select(
         "file_path",
         "split_start",
-        (F.col("seq").bitwiseAND(F.lit((1 << 33) - 1)) * 1000 + F.col("part_no")).alias("block_no"),
+        (in_split_no * 1_000_000 + F.col("part_no")).alias("block_no"),
         "block",
     )
 
