@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quizloom.staging import staged
+from quizloom.staging import ROW, staged
 
 
 def dataset_order(order: str = "number_first", missing_edition=0) -> list[Column]:
@@ -28,8 +28,9 @@ def with_position(df: DataFrame, order: list[Column], name: str = "position") ->
     sort is written once, each row with its partition and its place there; the
     offsets come from one count per partition.
     """
-    place = F.monotonically_increasing_id()
-    rows = staged(df.orderBy(*order).withColumn("_place", place), "sorted")
+    # Rows equal in all sort columns are told apart, so that they need not share a task.
+    apart = df.withColumn(ROW, F.monotonically_increasing_id()).orderBy(*order, ROW).drop(ROW)
+    rows = staged(apart.withColumn("_place", F.monotonically_increasing_id()), "sorted")
     partition = F.shiftright("_place", 33)
     # One row per sort partition: small by construction.
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)

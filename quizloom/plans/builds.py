@@ -8,7 +8,7 @@ from quizloom.functions.payload import decode_answers, decode_questions, good_pa
 from quizloom.operators import assemble, enrich, ordering, rawtext
 from quizloom.schemas import EXAM_QUESTION_COLUMNS
 from quizloom.sinks.export import formats, write_per_exam, write_sorted
-from quizloom.staging import staged
+from quizloom.staging import staged, staged_with_row
 
 NUMBERED_KEYS = ["area", "edition", "year", "source_format"]
 DATED_KEYS = ["edition", "year", "semester", "reapplication", "source_format", "subject"]
@@ -130,7 +130,7 @@ def write_dataset(
 ) -> str:
     """Export the dataset and its per-exam folders; returns the main path."""
     formats(fmt)
-    table = staged(rows, name)
+    table = staged_with_row(rows, name)
     order = ordering.dataset_order("number_first", missing_edition)
     main = write_sorted(table, f"{folder.rstrip('/')}/{name}", fmt, order)
     write_per_exam(table, folder, fmt)

@@ -322,7 +322,8 @@ def explicit_nullified(spark, sf_dir):
     SELECT 'lineitem' AS source, l_partkey AS part,
         printf('%d-%03d', l_orderkey, l_linenumber) AS id FROM lineitem
     UNION ALL SELECT 'orders', o_custkey, printf('o-%03d', o_orderkey) FROM orders
-    """
+    """,
+    name="question_id",
 )
 def make_question_id(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").select(

@@ -7,13 +7,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register the decorated function under its name, with its SQL if it has one."""
+def query(sql: str, name: str | None = None):
+    """Register the decorated function, under its own name by default, with its SQL."""
 
     def register(function):
-        QUERIES[function.__name__] = function
-        if sql is not None:
-            ORACLES[function.__name__] = sql
+        key = name or function.__name__
+        QUERIES[key] = function
+        ORACLES[key] = sql
         return function
 
     return register

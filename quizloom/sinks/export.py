@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.schemas import EXAM_QUESTION_COLUMNS
-from quizloom.staging import staged
+from quizloom.staging import ROW, staged_with_row
 
 FORMATS = {"jsonl": ["jsonl"], "csv": ["csv"], "both": ["jsonl", "csv"]}
 PER_EXAM_FOLDER = "per-edition"
@@ -49,19 +49,19 @@ def _write(rows: DataFrame, path: str, fmt: str, partition: list[str]) -> None:
 
 
 def write_sorted(table: DataFrame, path: str, fmt: str, order: list[Column] | None = None) -> str:
-    """``export`` for rows that are cheap to read more than once, as from a table."""
+    """``export`` of a table made by ``staged_with_row``."""
     wanted = formats(fmt)
-    ordered = table.orderBy(*(order or number_order()))
+    ordered = table.orderBy(*(order or number_order()), ROW)
     for one in wanted:
         _write(ordered, f"{path}.{one}", one, [])
     return f"{path}.{wanted[0]}"
 
 
 def write_per_exam(table: DataFrame, folder: str, fmt: str) -> str:
-    """``export_per_exam`` for rows that are cheap to read more than once."""
+    """``export_per_exam`` of a table made by ``staged_with_row``."""
     wanted = formats(fmt)
     # Led by the partition column: the writer would else sort by it and undo the order.
-    keys = [EXAM_PARTITION, "question_number", "id"]
+    keys = [EXAM_PARTITION, "question_number", "id", ROW]
     spread = (
         table.withColumn(EXAM_PARTITION, F.col("exam_source"))
         .repartitionByRange(*keys)
@@ -83,15 +83,15 @@ def export(
     without being parsed and joined anew.
     """
     formats(fmt)
-    return write_sorted(staged(rows, "export"), path, fmt, order)
+    return write_sorted(staged_with_row(rows, "export"), path, fmt, order)
 
 
 def export_per_exam(rows: DataFrame, folder: str, fmt: str = "jsonl") -> str:
     """Write one subfolder per ``exam_source``, each sorted by question number.
 
-    Rows are spread by range over (exam, number, id), not by exam: an exam that
+    Rows are spread by range over (exam, number, id, row), not by exam: an exam that
     holds much of the data is written by many tasks. The partition column is a
     copy, so ``exam_source`` stays in the files.
     """
     formats(fmt)
-    return write_per_exam(staged(rows, "export"), folder, fmt)
+    return write_per_exam(staged_with_row(rows, "export"), folder, fmt)

@@ -1,9 +1,19 @@
 """Tables written to the cluster's shared folder to cut lineage."""
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Tells equal rows of a staged table apart.
+ROW = "_row"
+
+
+@functools.cache
+def _temporary_root() -> str:
+    return tempfile.mkdtemp(prefix="quizloom-")
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -17,9 +27,7 @@ def staging_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
-    root = tempfile.mkdtemp(prefix="quizloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _temporary_root()
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -33,3 +41,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def staged_with_row(df: DataFrame, name: str) -> DataFrame:
+    """``staged`` with a ``ROW`` column that numbers the rows, with gaps.
+
+    As the last sort column it lets Spark split any number of rows that are equal in
+    the others; without it a range sort sends all copies of a row to one task.
+    """
+    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), name)

@@ -211,3 +211,31 @@ def test_orders(spark):
     assert ids("edition_first") == "dcbea"
     with pytest.raises(ValueError, match="unknown order"):
         ordering.dataset_order("other")
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_copies_are_spread_over_tasks(spark, tmp_path, uncoalesced):
+    """Most rows are copies of one; no file gets all of them, and none is lost."""
+    one = rows(spark, {"id": "t-005", "question_number": 5})
+    data = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n").repartition(6)
+    others = rows(spark, *[{"id": f"t-{n:03d}", "question_number": n} for n in range(100)])
+    data = data.unionByName(others)
+    export(data, str(tmp_path / "out"))
+    counts = [len(p.read_text().splitlines()) for p in sorted((tmp_path / "out.jsonl").glob("part-*"))]
+    assert sum(counts) == 3100 and max(counts) < 1500
+    export_per_exam(data, str(tmp_path))
+    folder = tmp_path / "per-edition" / "jsonl" / "source=test"
+    counts = [len(p.read_text().splitlines()) for p in folder.glob("part-*")]
+    assert sum(counts) == 3100 and max(counts) < 1500
+    numbered = ordering.with_position(
+        data.select("id", "question_number"), [F.col("question_number"), F.col("id")]
+    )
+    assert sorted(r.position for r in numbered.collect()) == list(range(1, 3101))
