@@ -19,10 +19,9 @@ def normalized_area(
 ) -> Column:
     """Known area after fixing misspellings; anything else is "not identified"."""
     clean = strip(area)
-    known = fixes | {}
-    fixed = F.coalesce(
-        F.element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), clean), clean
-    ) if known else clean
+    fixed = clean
+    for wrong, right in fixes.items():
+        fixed = F.when(clean == wrong, right).otherwise(fixed)
     return F.when(fixed.isin(*areas), fixed).otherwise(F.lit(UNKNOWN_AREA))
 
 
@@ -89,7 +88,7 @@ def label_by_range(
     stays. Spark broadcasts the table only if its measured size allows it.
     """
     lookup = ranges_by_edition(ranges).withColumnRenamed("edition", "_edition")
-    usable = F.col(edition).cast("string").isNotNull() & ~F.col(edition).cast("string").isin("", "0")
+    usable = ~F.col(edition).cast("string").isin("", "0")
     joined = rows.join(lookup, usable & (F.col(edition) == F.col("_edition")), "left")
     hits = F.filter(
         "ranges", lambda r: (r["start_q"] <= F.col(number)) & (F.col(number) <= r["end_q"])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quizloom.operators.assemble import output_alternatives
 from quizloom.operators.ordering import dataset_order, with_position
+from quizloom.plans import builds
 from quizloom.plans.builds import (
     CORE_COLUMNS,
     DATED_KEYS,
@@ -15,6 +16,7 @@ from quizloom.plans.builds import (
     finished,
     numbered_series_rows,
 )
+from quizloom.plans.catalog.assembly import benchmark_blocks
 from quizloom.plans.catalog.registry import lines_as_alternatives, query, table
 from quizloom.schemas import ALTERNATIVES, EXAM_QUESTION
 from quizloom.sinks.export import CSV_READ, export, export_per_exam
@@ -173,6 +175,71 @@ def union_products(spark, sf_dir):
     return rows.select("id", F.to_json("metadata").alias("metadata"))
 
 
+def document_pages(documents, exam):
+    """Exam pages of one question each, and key pages for a third of the documents."""
+    number = F.expr("cast(doc_id % 80 as int)").alias("numero")
+    question = F.struct(number, F.col("text").alias("enunciado"))
+    answer = F.struct(number, F.lit("A").alias("resposta"))
+
+    def pages(kind, name, item):
+        return documents.select(
+            F.expr(exam).alias("exam"),
+            F.lit(kind).alias("doc_kind"),
+            F.col("doc_id").cast("int").alias("page"),
+            F.to_json(F.struct(F.array(item).alias(name))).alias("payload"),
+        )
+
+    keys = pages("gabarito", "respostas", answer).where(F.col("page") % 3 == 0)
+    return pages("prova", "questoes", question).unionByName(keys)
+
+
+@query(
+    """
+    WITH d AS (
+        SELECT *, doc_id % 80 AS n, CASE WHEN lang = 'en' THEN 'dated' ELSE 'numbered' END AS series,
+            CASE WHEN lang = 'en' THEN 'enam-2024' || (doc_id % 2 + 1)
+                ELSE 'oab-' || (doc_id % 20 + 26) END AS exam FROM documents),
+    q AS (
+        SELECT series, exam, n, string_agg(text, ' ' ORDER BY doc_id) AS statement,
+            bool_or(doc_id % 3 = 0) AS answered FROM d GROUP BY ALL)
+    SELECT series, printf('%s-%03d', exam, n) AS id, md5(statement) AS statement_md5,
+        CASE WHEN answered THEN 'A' END AS correct_answer, NOT answered AS nullified,
+        CASE series WHEN 'dated' THEN '{"edition":"' || substr(exam, 6) || '","reapplication":false,"semester":'
+            || substr(exam, 10) || ',"source_format":"pdf","year":2024}'
+            ELSE '{"edition":' || substr(exam, 5) || ',"source_format":"pdf"}' END AS metadata
+    FROM q
+    UNION ALL
+    SELECT 'numbered', printf('oab-%d-%03d', item_id % 25 + 1, item_id),
+        md5(trim(regexp_replace(text, '\\s*\\n\\s*', ' ', 'g'))), 'B', false,
+        '{"area":"' || ['ETHICS', 'PHILOSOPHY', 'NI', 'NI'][item_id % 4 + 1] || '","edition":'
+            || (item_id % 25 + 1) || ',"source_format":"raw_text","year":2010}'
+    FROM benchmark
+    """
+)
+def build_all(spark, sf_dir):
+    """Both series from payloads and raw text, exported, and read back."""
+    documents = table(spark, sf_dir, "documents")
+    paths = builds.build_all(
+        spark,
+        document_pages(documents.where("lang = 'en'"), "concat('enam-2024', doc_id % 2 + 1)"),
+        document_pages(documents.where("lang <> 'en'"), "concat('oab-', doc_id % 20 + 26)"),
+        benchmark_blocks(spark, sf_dir),
+        staging_path(spark, "build-all"),
+    )
+    written = [
+        question_dataset(spark, path).withColumn("series", F.lit(series))
+        for series, path in zip(("dated", "numbered"), paths)
+    ]
+    return written[0].unionByName(written[1]).select(
+        "series",
+        "id",
+        F.md5("statement").alias("statement_md5"),
+        "correct_answer",
+        "nullified",
+        F.to_json("metadata").alias("metadata"),
+    )
+
+
 @query(
     """
     WITH r AS (

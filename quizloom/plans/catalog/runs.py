@@ -277,14 +277,23 @@ def manifest_upsert(spark, sf_dir):
         F.concat(F.lit("exam-"), "doc_id").alias("prova_url"),
         F.concat(F.lit("old-"), "doc_id").alias("gabarito_url"),
     )
+
+    def update(condition, edition, position, url, length):
+        entry = F.struct(
+            F.expr(edition).alias("edition"),
+            F.lit(position).alias("ord"),
+            F.lit(url).alias("gabarito_url"),
+            F.expr(length).alias("length"),
+        )
+        return F.when(F.expr(condition), entry)
+
     updates = documents.select(
         F.explode(
             F.array_compact(
-                F.expr(
-                    """array(
-                    if(doc_id % 3 = 0, struct(doc_id as edition, 1 as ord, 'first' as gabarito_url, n_chars as length), null),
-                    if(doc_id % 3 = 0, struct(doc_id as edition, 2 as ord, 'second' as gabarito_url, n_chars - 3000 as length), null),
-                    if(doc_id % 10 = 0, struct(doc_id + 1000000000 as edition, 1 as ord, 'new' as gabarito_url, n_chars as length), null))"""
+                F.array(
+                    update("doc_id % 3 = 0", "doc_id", 1, "first", "n_chars"),
+                    update("doc_id % 3 = 0", "doc_id", 2, "second", "n_chars - 3000"),
+                    update("doc_id % 10 = 0", "doc_id + 1000000000", 1, "new", "n_chars"),
                 )
             )
         ).alias("u")
