@@ -38,13 +38,10 @@ def hot_questions(parts: DataFrame, min_parts: int = HOT_PARTS) -> DataFrame:
     their keys, some tens of megabytes, can be broadcast whatever the size of the
     data. At 50 billion parts every question over 50,000 parts is still hot.
     """
-    total = parts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        parts.groupBy(*KEYS)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where((F.col("n") > min_parts) & (F.col("n") * MOST_HOT >= total))
-        .select(*KEYS)
-    )
+    counts = parts.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    is_hot = (F.col("n") > min_parts) & (F.col("n") * MOST_HOT >= total)
+    return counts.where(is_hot).select(*KEYS)
 
 
 def _stitch(parts: DataFrame, keys: list[str], n_parts) -> DataFrame:
