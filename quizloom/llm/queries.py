@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import in_fold, table
+from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.lm_scoring import score_texts
+from quizloom.llm.simhash_trie import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +26,18 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = in_fold(F.col("doc_id"), 10)
     return score_texts(docs, learn=~held_out).select("*", held_out.alias("held_out"))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 5)
+    trees = learn_trees(docs, learn=~held_out)
+    return predict_language(docs.select("doc_id", "text"), trees).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, most_bits=4)
