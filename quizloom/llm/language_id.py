@@ -58,7 +58,7 @@ def letter_grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray
     data[last], keep[last] = END, True
     kept = np.add.reduceat(keep, begins, dtype=np.int64) if len(texts) else sizes
     data = data[keep]
-    grams = gram_keys(data, order)
+    grams = gram_keys(data.tobytes(), order)
     inside = np.ones(len(data), bool)
     begins = starts_of(kept)
     for j in range(order):

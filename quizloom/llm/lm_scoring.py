@@ -58,13 +58,13 @@ ANSWER = "chunk string, shard int, logs binary, known binary, vocabulary long"
 def keys_of(texts: list[bytes], order: int) -> np.ndarray:
     """The gram of each byte of each text, one after another; what precedes a text is ``END``."""
     pad = bytes([END]) * order
-    data = np.frombuffer(pad.join([b"", *texts]), np.uint8)
     sizes = np.array([len(x) for x in texts], np.int64)
-    keep = np.ones(len(data), bool)
-    begins = starts_of(sizes + order)
+    keys = gram_keys(pad.join([b"", *texts]), order)
+    keep = np.ones(len(keys), bool)
+    begins = starts_of(sizes + order)[1:]
     for j in range(order):
-        keep[begins + j] = False
-    return gram_keys(data, order)[keep[order:]]
+        keep[begins - order + j] = False
+    return keys[keep]
 
 
 def shards_of_grams(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -140,34 +140,41 @@ def score_texts(
     return scored.withColumn("train_tokens", F.lit(train_tokens).cast("long"))
 
 
+SCORES = ("n_tokens", "n_known", "base_score", "score")
+
+
 def chunker(order: int, shards: int, chunk_bytes: int):
-    """Rows to chunks: a row with the texts, and a row for each shard that owns something of it."""
+    """Rows to chunks: a row with the texts, and a row for each shard that owns something of it.
+
+    The texts to learn from come first, so the words in the order of their first
+    appearance are those seen in training, then the others.
+    """
 
     def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw in pieces(batches, "text", chunk_bytes):
             chunk = uuid.uuid4().hex
-            learn = part.column("learn").to_pylist()
-            texts, words, trained, tokens = [], Counter(), Counter(), 0
-            for text, learns in zip(raw, learn):
-                split = text.lower().split()
-                texts.append(b" ".join(split) + bytes([END]))
-                words.update(split)
-                if learns:
-                    trained.update(split)
-                    tokens += len(split) + 1
-            grams, counts = counted(keys_of(texts, order))
-            other, other_counts = counted(
-                keys_of([t for t, learns in zip(texts, learn) if not learns], order)
+            learn = part.column("learn").to_numpy(zero_copy_only=False).astype(bool)
+            turn = np.argsort(~learn, kind="stable")
+            learned = int(learn.sum())
+            texts = [b" ".join(raw[i].lower().split()) + bytes([END]) for i in turn.tolist()]
+            raw.clear()
+            trained = Counter(b"".join(texts[:learned]).split())
+            others = dict.fromkeys(b"".join(texts[learned:]).split())
+            words = [*trained, *(w for w in others if w not in trained)]
+            grams, counts = counted(keys_of(texts[:learned], order))
+            more, _ = counted(keys_of(texts[learned:], order))
+            grams, counts = merged(
+                np.concatenate((grams, more)), np.concatenate((counts, np.zeros(len(more), np.int64)))
             )
-            counts[np.searchsorted(grams, other)] -= other_counts
+            keys = part.column("key").take(pa.array(turn))
             yield request_row(
-                part.column("key"),
+                keys,
                 chunk=chunk,
                 shard=-1,
                 sizes=packed(np.array([len(t) for t in texts], np.int64)),
                 texts=zstandard.compress(b"".join(texts), 1),
-                tokens=tokens,
-                learned=sum(learn),
+                tokens=sum(trained.values()) + learned,
+                learned=learned,
                 pairs=packed(byte_pairs(grams, counts).astype(np.int64)),
             )
             owner = shards_of_grams(grams, shards)
@@ -177,7 +184,7 @@ def chunker(order: int, shards: int, chunk_bytes: int):
                 here = at[ends[shard] : ends[shard + 1]]
                 if len(here) or mine:
                     yield request_row(
-                        part.column("key").slice(0, 0),
+                        keys.slice(0, 0),
                         chunk=chunk,
                         shard=shard,
                         grams=packed_sorted(grams[here]),
@@ -201,10 +208,10 @@ def request_row(keys: pa.Array, **values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def by_shard(words: Counter, shards: int) -> list[list[bytes]]:
-    """The distinct words of each shard, sorted."""
+def by_shard(words: list[bytes], shards: int) -> list[list[bytes]]:
+    """The words of each shard, in the order given."""
     split: list[list[bytes]] = [[] for _ in range(shards)]
-    for word in sorted(words):
+    for word in words:
         split[zlib.crc32(word) % shards].append(word)
     return split
 
@@ -308,40 +315,32 @@ def scorer(key: str, order: int, shards: int, train_tokens: int, vocabulary: int
         keys, sizes, joined = (texts.column(n)[0] for n in ("keys", "sizes", "texts"))
         sizes = unpacked(sizes.as_py(), np.int64)
         joined = zstandard.decompress(joined.as_py())
-        data = [joined[a : a + n] for a, n in zip(starts_of(sizes).tolist(), sizes.tolist())]
-        words = Counter()
-        for text in data:
-            words.update(text.split())
-        grams_at = keys_of(data, order)
+        rows = {r["shard"]: r for r in answers.select(["shard", "logs", "known"]).to_pylist()}
+        words = joined.split()
+        number = dict.fromkeys(words)
+        seen: dict[bytes, int] = {}
+        for shard, mine in enumerate(by_shard(list(number), shards)):
+            if mine:
+                seen.update(zip(mine, unpacked(rows[shard]["known"], np.int64).tolist()))
+        counts = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
+        del words, number, seen
+        # Words end at a blank or, the last of a text, at its end.
+        data = np.frombuffer(joined, np.uint8)
+        begins = starts_of(sizes)
+        lone = sizes == 1
+        in_text = np.add.reduceat(data == ord(" "), begins, dtype=np.int64) + ~lone
+        base = run_sums(np.log10(counts + 0.1), in_text) + math.log10(learned + 0.1)
+        known = run_sums(counts > 0, in_text).astype(np.int64) + (learned > 0)
+        texts_ = [joined[a : a + n] for a, n in zip(begins.tolist(), sizes.tolist())]
+        grams_at = keys_of(texts_, order)
         grams, _ = counted(grams_at)
         owner = shards_of_grams(grams, shards)
-        logs, counts = np.zeros(len(grams)), {}
-        mine = by_shard(words, shards)
-        rows = answers.select(["shard", "logs", "known"]).to_pylist()
-        for answer in rows:
-            shard = answer["shard"]
+        logs = np.zeros(len(grams))
+        for shard, answer in rows.items():
             logs[owner == shard] = unpacked(answer["logs"], np.float64)
-            counts.update(zip(mine[shard], unpacked(answer["known"], np.int64).tolist()))
         place, _ = Places(grams).find(grams_at)
-        score = run_sums(logs[place], sizes)
-        n_tokens, n_known, base = [], [], []
-        number = {w: i for i, w in enumerate(counts)}
-        seen = np.fromiter(counts.values(), np.float64, len(counts))
-        weights, hits = np.log10(seen + 0.1), seen > 0
-        for text in data:
-            at = np.fromiter(map(number.__getitem__, split := text.split()), np.int64)
-            n_tokens.append(len(split) + 1)
-            n_known.append(int(hits[at].sum()) + (learned > 0))
-            base.append(float(weights[at].sum()) + math.log10(learned + 0.1) - (len(split) + 1) * floor)
-        return pa.Table.from_arrays(
-            [
-                pa.chunked_array([keys.values]),
-                pa.array(n_tokens, pa.int64()),
-                pa.array(n_known, pa.int64()),
-                pa.array(base, pa.float64()),
-                pa.array(score, pa.float64()),
-            ],
-            names=[key, "n_tokens", "n_known", "base_score", "score"],
-        )
+        score = np.add.reduceat(logs[place], begins)
+        columns = [keys.values, in_text + 1, known, base - (in_text + 1) * floor, score]
+        return pa.table([pa.array(c) for c in columns], names=[key, *SCORES])
 
     return scores

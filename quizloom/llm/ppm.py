@@ -22,16 +22,14 @@ END = 10
 LOWEST = 2
 
 
-def gram_keys(data: np.ndarray, order: int) -> np.ndarray:
-    """The gram that ends at each byte of ``data`` from index ``order`` on."""
+def gram_keys(data: bytes, order: int) -> np.ndarray:
+    """The gram that ends at each byte of ``data`` from index ``order`` on; ``order`` is 7 at most."""
     n = len(data) - order
     if n <= 0:
         return np.empty(0, np.uint64)
-    keys = data[:n].astype(np.uint64)
-    for j in range(1, order + 1):
-        keys <<= np.uint64(8)
-        keys |= data[j : j + n]
-    return keys
+    # Eight bytes from each position on, the first one highest, cut to the gram.
+    windows = np.ndarray((n,), ">u8", data + bytes(8), strides=(1,))
+    return windows.astype(np.uint64) >> np.uint64(8 * (7 - order))
 
 
 def runs(values: np.ndarray) -> np.ndarray:
