@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.lm_scoring import score_texts
+from quizloom.llm.piece_tokenizer import encode_texts
 from quizloom.llm.simhash_trie import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_texts(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, most_bits=4)
