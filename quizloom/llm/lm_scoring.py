@@ -43,9 +43,9 @@ from quizloom.llm.ppm import END, Places, Trie, byte_pairs, counted, gram_keys,
 from quizloom.staging import staged
 
 ORDER = 5
-CHUNK = 8 * MB
+CHUNK = 6 * MB
 #: Bytes of text for each shard, and the most shards: more would leave too few grams in a packed row.
-SHARD = 32 * MB
+SHARD = 8 * MB
 MOST_SHARDS = 4096
 
 #: What a chunk asks of a shard; ``shard`` is -1 in the row that holds the chunk's texts.
@@ -113,6 +113,8 @@ def score_texts(
         x or 0 for x in chunks.agg(F.sum("tokens"), F.sum("learned")).first()
     )
     phases = asked.select(*ASKED, F.explode(F.array(F.lit(0), F.lit(1))).alias("phase"))
+    for name in ("counts", "word_counts"):
+        phases = phases.withColumn(name, F.when(F.col("phase") == 0, F.col(name)))
     answers = staged(
         # The counts of all chunks come before the first chunk to be answered.
         phases.repartition(shards, "shard")
@@ -299,7 +301,7 @@ def answerer(pairs: np.ndarray, order: int):
                     trie = Trie(*state.merge(), pairs, order)
                     state.grams, state.counts = [], []
                     yield row(None, current, None, None, len(state.words))
-                logs = trie.log_probabilities(grams) / math.log(10)
+                logs = (trie.log_probabilities(grams) / math.log(10)).astype(np.float32)
                 found = state.words.get
                 known = np.array([found(w, 0) for w in words], np.int64)
                 yield row(asked["chunk"], current, packed(logs), packed(known), None)
@@ -333,13 +335,13 @@ def scorer(key: str, order: int, shards: int, train_tokens: int, vocabulary: int
         known = run_sums(counts > 0, in_text).astype(np.int64) + (learned > 0)
         texts_ = [joined[a : a + n] for a, n in zip(begins.tolist(), sizes.tolist())]
         grams_at = keys_of(texts_, order)
-        grams, _ = counted(grams_at)
+        grams, _ = counted(grams_at.copy())
         owner = shards_of_grams(grams, shards)
-        logs = np.zeros(len(grams))
+        logs = np.zeros(len(grams), np.float32)
         for shard, answer in rows.items():
-            logs[owner == shard] = unpacked(answer["logs"], np.float64)
-        place, _ = Places(grams).find(grams_at)
-        score = np.add.reduceat(logs[place], begins)
+            logs[owner == shard] = unpacked(answer["logs"], np.float32)
+        logs_at = Places(grams).values(grams_at, logs)
+        score = np.add.reduceat(logs_at, begins, dtype=np.float64)
         columns = [keys.values, in_text + 1, known, base - (in_text + 1) * floor, score]
         return pa.table([pa.array(c) for c in columns], names=[key, *SCORES])
 

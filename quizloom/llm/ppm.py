@@ -29,7 +29,9 @@ def gram_keys(data: bytes, order: int) -> np.ndarray:
         return np.empty(0, np.uint64)
     # Eight bytes from each position on, the first one highest, cut to the gram.
     windows = np.ndarray((n,), ">u8", data + bytes(8), strides=(1,))
-    return windows.astype(np.uint64) >> np.uint64(8 * (7 - order))
+    keys = windows.astype(np.uint64)
+    keys >>= np.uint64(8 * (7 - order))
+    return keys
 
 
 def runs(values: np.ndarray) -> np.ndarray:
@@ -40,10 +42,10 @@ def runs(values: np.ndarray) -> np.ndarray:
 
 
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, and how often each occurs."""
-    ordered = np.sort(keys)
-    starts = runs(ordered)
-    return ordered[starts], np.diff(np.append(starts, len(ordered)))
+    """Distinct keys, sorted, and how often each occurs; ``keys`` is left sorted."""
+    keys.sort()
+    starts = runs(keys)
+    return keys[starts], np.diff(np.append(starts, len(keys)))
 
 
 def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,6 +73,14 @@ class Places:
             slots[(table * factor) >> self.shift] = np.arange(len(table), dtype=np.int32)
             self.slots.append(slots)
 
+    def values(self, keys: np.ndarray, values: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+        """The value of each key; every key must be there."""
+        found = np.empty(len(keys), values.dtype)
+        for at in range(0, len(keys), block):
+            place, _ = self.find(keys[at : at + block])
+            found[at : at + block] = values[place]
+        return found
+
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each key, and whether the key is there."""
         if not len(self.table):
