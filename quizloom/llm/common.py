@@ -92,3 +92,27 @@ def run_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     ends = np.concatenate(([0.0], np.cumsum(values, dtype=np.float64)))
     stops = np.cumsum(lengths)
     return ends[stops] - ends[stops - lengths]
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group in turn, from batches sorted by ``keys`` (no nulls)."""
+    held: list[pa.Table] = []
+    before = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, bool)
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        first = tuple(c[0] for c in columns)
+        starts = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        rows = pa.Table.from_batches([batch])
+        for a, b in zip(starts, starts[1:]):
+            if held and (a or first != before):
+                yield pa.concat_tables(held)
+                held = []
+            held.append(rows.slice(a, b - a))
+        before = tuple(c[-1] for c in columns)
+    if held:
+        yield pa.concat_tables(held)

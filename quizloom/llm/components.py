@@ -1,7 +1,8 @@
-"""Connected components by contraction, on tables."""
+"""Connected components: by contraction on tables, and of the rows of one task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +23,13 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         ways = links.union(links.select("b", "a"))
         ends = ways.groupBy("a").agg(F.min("b").alias("low"))
-        ends = staged(ends.select(F.col("a").alias("node"), F.least("a", "low").alias("root")), "ends")
+        low = F.least("a", "low").alias("root")
+        ends = staged(ends.select(F.col("a").alias("node"), low), "ends")
         ends = followed(ends)
         found = ends if found is None else staged(renamed(found, ends), "found")
         first, second = renaming(ends, "a"), renaming(ends, "b")
-        links = links.join(first, "a").join(second, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
-        links = staged(links.where("a <> b").distinct(), "links")
+        between = links.join(first, "a").join(second, "b").select("_a", "_b").where("_a <> _b")
+        links = staged(between.toDF("a", "b").distinct(), "links")
         if links.isEmpty():
             return found
 
@@ -46,11 +48,38 @@ def followed(ends: DataFrame) -> DataFrame:
     """Every node with the end of its chain of pointers; each step doubles what is followed."""
     while True:
         further = ends.select(F.col("node").alias("root"), F.col("root").alias("_next"))
-        step = staged(
-            ends.join(further, "root").select("node", F.col("_next").alias("root"), (F.col("_next") != F.col("root")).alias("_moved")),
-            "ends",
-        )
+        moved = (F.col("_next") != F.col("root")).alias("_moved")
+        followed_once = ends.join(further, "root").select("node", F.col("_next").alias("root"), moved)
+        step = staged(followed_once, "ends")
         moved = not step.where("_moved").isEmpty()
         ends = step.drop("_moved")
         if not moved:
             return ends
+
+
+class Forest:
+    """Components of places in sorted fingerprints, labelled with their first place."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+        self.mixed = np.arange(n)
+
+    def link(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            a, b = self.root[a], self.root[b]
+            apart = a != b
+            if not apart.any():
+                break
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+            while True:
+                further = self.root[self.root]
+                if (further == self.root).all():
+                    break
+                self.root = further
+        # Places up to each one where the label changes: a range without a change is of one component.
+        self.mixed = np.concatenate(([0], np.cumsum(self.root[1:] != self.root[:-1])))
+
+    def settled(self, lo_a, hi_a, lo_b, hi_b) -> np.ndarray:
+        whole = (self.mixed[hi_a - 1] == self.mixed[lo_a]) & (self.mixed[hi_b - 1] == self.mixed[lo_b])
+        return whole & (self.root[lo_a] == self.root[lo_b])

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import in_fold, table
+from quizloom.llm.embedding_lsh import near_vectors
 from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.lm_scoring import score_texts
 from quizloom.llm.piece_tokenizer import encode_texts
@@ -47,3 +48,34 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, most_bits=4)
+
+
+@query
+def op10_embedding_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op10_embedding_lsh"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+),
+good AS (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+part AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, p.component_id, v.vec_id = p.component_id AS kept
+FROM v LEFT JOIN degree d ON d.a = v.vec_id JOIN part p ON p.a = v.vec_id
+"""

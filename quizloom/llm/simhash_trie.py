@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import MB, pieces
-from quizloom.llm.components import components
+from quizloom.llm.components import Forest, components
 from quizloom.staging import staged
 
 WORDS = 4
@@ -75,34 +75,6 @@ def blocks_of(most_bits: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-class Forest:
-    """Components of places in sorted fingerprints, labelled with their first place."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-        self.mixed = np.arange(n)
-
-    def link(self, a: np.ndarray, b: np.ndarray) -> None:
-        while True:
-            a, b = self.root[a], self.root[b]
-            apart = a != b
-            if not apart.any():
-                break
-            a, b = a[apart], b[apart]
-            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
-            while True:
-                further = self.root[self.root]
-                if (further == self.root).all():
-                    break
-                self.root = further
-        # Places up to each one where the label changes: a range without a change is of one component.
-        self.mixed = np.concatenate(([0], np.cumsum(self.root[1:] != self.root[:-1])))
-
-    def settled(self, lo_a, hi_a, lo_b, hi_b) -> np.ndarray:
-        whole = (self.mixed[hi_a - 1] == self.mixed[lo_a]) & (self.mixed[hi_b - 1] == self.mixed[lo_b])
-        return whole & (self.root[lo_a] == self.root[lo_b])
-
-
 def self_join(values: np.ndarray, tops: np.ndarray, depth: int, budget: int, forest: Forest) -> None:
     """Link in ``forest`` all places of the sorted ``values`` within ``budget`` bits below equal tops.
 
