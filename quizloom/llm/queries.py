@@ -13,6 +13,7 @@ from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.lm_scoring import score_texts
 from quizloom.llm.piece_tokenizer import encode_texts
 from quizloom.llm.simhash_trie import near_duplicates
+from quizloom.llm.virtual_slots import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +41,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), shards=8)
+
+
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"))
