@@ -13,6 +13,7 @@ from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.lm_scoring import score_texts
 from quizloom.llm.piece_tokenizer import encode_texts
 from quizloom.llm.simhash_trie import near_duplicates
+from quizloom.llm.toxicity_kn import learn_toxicity, score_toxicity
 from quizloom.llm.virtual_slots import shard_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,19 @@ def query(function):
     return function
 
 
+def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, label: str) -> DataFrame:
+    """The labelled rows to learn from; those with ``check`` are kept for choosing thresholds.
+
+    A document with several labels takes the largest one.
+    """
+    labels = table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"), 5))
+    labels = labels.groupBy("doc_id").agg(F.max(label).cast("int").alias(label)).where(F.col(label).isNotNull())
+    check = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 4
+    return docs.join(labels, "doc_id").select(
+        F.col("doc_id").alias("key"), F.col("text").cast("binary").alias("text"), label, check.alias("check")
+    )
+
+
 @query
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +65,15 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn_toxicity(labelled(spark, sf_dir, docs, "toxic"))
+    return score_toxicity(docs, model).select(
+        "doc_id", in_fold(F.col("doc_id"), 5).alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, most_bits=4)
