@@ -12,6 +12,7 @@ from quizloom.llm.embedding_lsh import near_vectors
 from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.lm_scoring import score_texts
 from quizloom.llm.piece_tokenizer import encode_texts
+from quizloom.llm.quality_crf import learn_quality, score_quality
 from quizloom.llm.simhash_trie import near_duplicates
 from quizloom.llm.toxicity_kn import learn_toxicity, score_toxicity
 from quizloom.llm.virtual_slots import shard_documents
@@ -45,6 +46,15 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, learn=~held_out).select("*", held_out.alias("held_out"))
 
 
+@query
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = learn_quality(labelled(spark, sf_dir, docs, "quality"))
+    return score_quality(docs, field).select(
+        "doc_id", in_fold(F.col("doc_id"), 5).alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
