@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.llm.common import in_fold, table
+from quizloom.llm.decontamination import contaminated_documents
 from quizloom.llm.embedding_lsh import near_vectors
 from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.lm_scoring import score_texts
@@ -46,6 +47,12 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(docs, learn=~held_out).select("*", held_out.alias("held_out"))
 
 
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return contaminated_documents(docs, table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
