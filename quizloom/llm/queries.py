@@ -11,6 +11,7 @@ from quizloom.llm.common import in_fold, table
 from quizloom.llm.decontamination import contaminated_documents
 from quizloom.llm.embedding_lsh import near_vectors
 from quizloom.llm.language_id import learn_trees, predict_language
+from quizloom.llm.line_dedup import dedup_lines
 from quizloom.llm.lm_scoring import score_texts
 from quizloom.llm.piece_tokenizer import encode_texts
 from quizloom.llm.quality_crf import learn_quality, score_quality
@@ -72,6 +73,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs)
+
+
 @query
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=8)
