@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quizloom.llm.common import MB, packed, pieces, starts_of, unpacked
+from quizloom.llm.common import MB, packed, pieces, starts_of, text_hash, unpacked
 from quizloom.staging import staged
 
 #: The sampled positions of each mask: five tokens each.
@@ -280,11 +280,6 @@ def find_overlaps(
     )
 
 
-def text_hash(text: str) -> Column:
-    """With the key, tells documents apart also where keys are null or repeat."""
-    return F.xxhash64(F.col(text).cast("binary"))
-
-
 def overlapping(docs: DataFrame, found: DataFrame, key: str, text: str, how: str) -> DataFrame:
     """``docs`` joined with overlaps by key and text; null keys are equal."""
     mine = docs.withColumn("_hash", text_hash(text))

@@ -25,11 +25,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quizloom.llm.common import MB, pieces
+from quizloom.llm.common import MB, pieces, text_hash
 from quizloom.staging import staged
 
 LEAST_WORDS = 10
@@ -269,11 +269,6 @@ def dedup_lines(
     )
 
 
-def text_hash(text: str) -> Column:
-    """With the key, tells documents apart also where keys are null or repeat."""
-    return F.xxhash64(F.col(text).cast("binary"))
-
-
 def rewriter(columns: list[str], text: str):
     """Rows with their verdicts to rows with the lines that stay."""
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quizloom.llm.common import MB, pieces
+from quizloom.llm.common import MB, pieces, text_hash
 from quizloom.llm.components import Forest, components
 from quizloom.staging import staged
 
@@ -58,15 +58,20 @@ def fingerprint(text: bytes, words: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """``key`` and the ``fp`` (signed long) of each row's whole text; null is empty."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
+    """``key``, ``text_hash`` and ``fp`` (a signed long) of each row's whole text; null is empty."""
+    rows = docs.select(
+        F.col(key).alias("key"), text_hash(text).alias("text_hash"), F.col(text).cast("binary").alias("text")
+    )
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches, "text", 4 * MB):
             values = np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(values)], ["key", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key"), part.column("text_hash"), pa.array(values)], ["key", "text_hash", "fp"]
+            )
 
-    return rows.mapInArrow(prints, f"key {rows.schema['key'].dataType.simpleString()}, fp long")
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(prints, f"key {kind}, text_hash long, fp long")
 
 
 def blocks_of(most_bits: int) -> list[tuple[int, int]]:
@@ -178,10 +183,36 @@ def near_duplicates(
     Rows are linked if their fingerprints differ in at most ``most_bits`` bits; a
     component's id is the smallest key in it, itself included. A null or empty text has
     fingerprint zero and is linked like any other; rows with equal fingerprints are in one
-    component. A row with a null key has a component id by the others of its component,
-    or null if there are none. Repeated rows stay. An empty table gives an empty table.
-    Other columns are not read, whatever their names.
+    component. A row with a null key has the component of its fingerprint, or null if
+    no row with a key has that fingerprint. Repeated rows stay. An empty table gives an empty
+    table. Other columns are not read, whatever their names.
+    """
+    return classified(docs, key, text, words, most_bits).select(
+        F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
+def one_of_each(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, most_bits: int = MOST_BITS
+) -> DataFrame:
+    """The rows of ``docs`` but for near-duplicates: one row of each component, with all its columns.
+
+    It is the one with the smallest key; of equal keys the one with the smallest text hash,
+    and any one of equal rows. Rows with a null key stay only if no row with a key has
+    their fingerprint, one for each fingerprint.
     """
+    rows = classified(docs, key, text, words, most_bits)
+    alone = F.col("component_id").isNull().alias("alone")
+    rank = F.struct(F.col("key").isNull().alias("late"), "key", "text_hash")
+    first = rows.groupBy(alone, F.coalesce("component_id", "fp").alias("group")).agg(F.min(rank).alias("first"))
+    first = first.select(F.col("first.key").alias("_key"), F.col("first.text_hash").alias("_first"))
+    marked = docs.withColumn("_hash", text_hash(text))
+    same = marked[key].eqNullSafe(first["_key"]) & (marked["_hash"] == first["_first"])
+    return marked.join(first, same, "left_semi").dropDuplicates([key, "_hash"]).drop("_hash")
+
+
+def classified(docs: DataFrame, key: str, text: str, words: int, most_bits: int) -> DataFrame:
+    """``key``, ``text_hash``, ``fp`` and ``component_id`` of each row."""
     spark = docs.sparkSession
     prints = staged(fingerprints(docs, key, text, words), "fingerprints")
     distinct = staged(prints.groupBy("fp").agg(F.min("key").alias("low")), "distinct-fingerprints")
@@ -190,21 +221,18 @@ def near_duplicates(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         -(-known.count() * (most_bits + 1) // TASK_ROWS),
     )
-    turned = known.select(
-        F.col("low").alias("key"),
-        F.posexplode(F.array(*[turned_to(F.col("fp"), at) for at, _ in blocks_of(most_bits)])).alias("trie", "turned"),
-    )
+    blocks = blocks_of(most_bits)
+    turned = F.posexplode(F.array(*[turned_to(F.col("fp"), at) for at, _ in blocks])).alias("trie", "turned")
+    turned = known.select(F.col("low").alias("key"), turned)
     top = F.lit(None).cast("long")
-    for trie, (_, width) in enumerate(blocks_of(most_bits)):
+    for trie, (_, width) in enumerate(blocks):
         top = F.when(F.col("trie") == trie, F.shiftrightunsigned("turned", BITS - width)).otherwise(top)
     links = turned.repartition(tasks, "trie", top).mapInArrow(near_links(most_bits), "a long, b long")
     roots = components(links)
     classes = distinct.join(roots, distinct["low"] == roots["node"], "left").select(
         "fp", F.coalesce("root", "low").alias("component_id")
     )
-    return prints.join(classes, "fp").select(
-        F.col("key").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
+    return prints.join(classes, "fp")
 
 
 def turned_to(fp, first_bit: int):
