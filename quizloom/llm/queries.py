@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quizloom.llm import quality_crf, toxicity_kn
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.decontamination import contaminated_documents
 from quizloom.llm.embedding_lsh import near_vectors
@@ -18,6 +19,7 @@ from quizloom.llm.quality_crf import learn_quality, score_quality
 from quizloom.llm.simhash_trie import near_duplicates
 from quizloom.llm.toxicity_kn import learn_toxicity, score_toxicity
 from quizloom.llm.virtual_slots import shard_documents
+from quizloom.staging import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,16 +30,27 @@ def query(function):
     return function
 
 
-def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, label: str) -> DataFrame:
-    """The labelled rows to learn from; those with ``check`` are kept for choosing thresholds.
+def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, label: str, sample: int) -> DataFrame:
+    """About ``sample`` labelled rows of each class to learn from, and as many with ``check`` for thresholds.
 
-    A document with several labels takes the largest one.
+    The latter have the classes' natural mix. A document with several labels takes the
+    largest one. Labels are sampled before the texts are read: the sample is a small
+    table, so the texts needn't be shuffled to meet it.
     """
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     labels = table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"), 5))
     labels = labels.groupBy("doc_id").agg(F.max(label).cast("int").alias(label)).where(F.col(label).isNotNull())
-    check = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 4
-    return docs.join(labels, "doc_id").select(
-        F.col("doc_id").alias("key"), F.col("text").cast("binary").alias("text"), label, check.alias("check")
+    labels = labels.withColumn("check", fold == 4)
+    sizes = labels.groupBy(label, "check").count().collect()
+    checked = sum(r["count"] for r in sizes if r["check"])
+    share = F.lit(0.0)
+    for r in sizes:
+        here = (F.col(label) == r[label]) & (F.col("check") == r["check"])
+        share = F.when(here, min(1.0, sample / (checked if r["check"] else r["count"]))).otherwise(share)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
+    chosen = staged(labels.where(place < share * 1_000_000), "label-sample")
+    return docs.join(chosen, "doc_id").select(
+        F.col("doc_id").alias("key"), F.col("text").cast("binary").alias("text"), label, "check"
     )
 
 
@@ -57,7 +70,7 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    field = learn_quality(labelled(spark, sf_dir, docs, "quality"))
+    field = learn_quality(labelled(spark, sf_dir, docs, "quality", quality_crf.SAMPLE))
     return score_quality(docs, field).select(
         "doc_id", in_fold(F.col("doc_id"), 5).alias("held_out"), "score", "predicted"
     )
@@ -92,7 +105,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = learn_toxicity(labelled(spark, sf_dir, docs, "toxic"))
+    model = learn_toxicity(labelled(spark, sf_dir, docs, "toxic", toxicity_kn.SAMPLE))
     return score_toxicity(docs, model).select(
         "doc_id", in_fold(F.col("doc_id"), 5).alias("held_out"), "score", "predicted"
     )

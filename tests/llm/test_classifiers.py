@@ -1,0 +1,150 @@
+"""Language, quality and toxicity: held-out accuracy and exact small cases."""
+
+import itertools
+
+import numpy as np
+import pytest
+from conftest_llm import as_sets
+from pyspark.sql import functions as F
+
+from quizloom.llm.common import in_fold, table
+from quizloom.llm.language_id import Languages, learn_trees, letter_grams, predict_language
+from quizloom.llm.quality_crf import FEATURES, Field, forward_backward, learn_quality, score_quality, text_features
+from quizloom.llm.queries import QUERIES
+from quizloom.llm.toxicity_kn import Toxicity, learn_toxicity, score_toxicity, threshold_of
+
+SF = "/root/testdata/sf0.01"
+
+
+def held_out(spark, name, label):
+    labels = table(spark, SF, "labels").select("doc_id", F.col(label).alias("truth"))
+    return QUERIES[name](spark, SF).where("held_out").join(labels, "doc_id").collect()
+
+
+def test_language_of_held_out_texts(spark):
+    truth = table(spark, SF, "documents").select("doc_id", "lang")
+    rows = QUERIES["op4_language_id"](spark, SF).where("held_out").join(truth, "doc_id").collect()
+    assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.97 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_code_lengths_equal_those_byte_by_byte():
+    from quizloom.llm.language_id import packed_counts
+    from quizloom.llm.ppm import counted
+
+    trees = {}
+    for name, text in (("a", b"the cat sat on the mat"), ("b", b"le chat est sur le lit")):
+        trees[name] = packed_counts(name, *counted(letter_grams([text], 3)[0]))[1:]
+    languages = Languages(trees, 3)
+    texts = [b"the lit", b"chat!! chat", b"zzz", "été".encode()]
+    grams, sizes = letter_grams(texts, 3)
+    together = languages.code_lengths(grams, sizes)
+    for i, text in enumerate(texts):
+        alone, _ = letter_grams([text], 3)
+        for j, trie in enumerate(languages.tries):
+            assert together[j, i] == pytest.approx(trie.log_probabilities(alone).sum())
+    assert together[0].argmax() == 0 or together[0, 0] > together[1, 0]
+
+
+def test_language_of_odd_texts(spark, docs, crowded, no_docs):
+    trees = learn_trees(docs, learn=~in_fold(F.col("doc_id"), 5))
+    assert sorted(trees) == ["en", "fr"]
+    got = predict_language(docs, trees)
+    assert got.columns == [*docs.columns, "lang_pred", "score"]
+    rows = {r["doc_id"]: r for r in got.collect()}
+    for blank in (6, 7, 8, 9):
+        assert (rows[blank]["lang_pred"], rows[blank]["score"]) == ("und", 0.0)
+    assert rows[20]["lang_pred"] != "und"
+    assert got.count() == docs.count()
+    names = ["doc_id", "lang_pred", "score"]
+    assert as_sets(predict_language(crowded, trees), names) == as_sets(got, names)
+    assert learn_trees(no_docs, learn=F.lit(True)) == {}
+    assert {r["lang_pred"] for r in predict_language(docs, {}).collect()} == {"und"}
+    assert predict_language(no_docs, trees).count() == 0
+
+
+def test_quality_of_held_out_texts(spark):
+    rows = held_out(spark, "op3_quality_crf", "quality")
+    assert sum(r["predicted"] == r["truth"] for r in rows) >= 0.97 * len(rows)
+
+
+def test_forward_backward_equals_all_labellings():
+    draw = np.random.default_rng(4)
+    sizes = np.array([3, 0, 1, 4, 2])
+    potential, pairs = draw.normal(size=sizes.sum()), draw.normal(size=(2, 2))
+    good, expected, totals = forward_backward(potential, pairs, sizes)
+    begin, sums = 0, np.zeros((2, 2))
+    for doc, n in enumerate(sizes):
+        weights, marks, joint = [], np.zeros(n), np.zeros((2, 2))
+        for labels in itertools.product((0, 1), repeat=int(n)):
+            value = sum(potential[begin + i] * x for i, x in enumerate(labels))
+            value += sum(pairs[a, b] for a, b in zip(labels, labels[1:]))
+            weights.append(np.exp(value))
+            marks += np.array(labels) * np.exp(value)
+            for a, b in zip(labels, labels[1:]):
+                joint[a, b] += np.exp(value)
+        if n:
+            assert good[begin : begin + n] == pytest.approx(marks / sum(weights))
+            assert totals[doc] == pytest.approx(np.log(sum(weights)))
+            sums += joint / sum(weights)
+        begin += n
+    assert expected == pytest.approx(sums)
+
+
+def test_quality_of_odd_texts(spark, docs, crowded, no_docs):
+    field = learn_quality(
+        docs.select(
+            F.col("doc_id").alias("key"),
+            F.col("text").cast("binary").alias("text"),
+            F.when(F.col("doc_id") == 16, 0).otherwise(1).alias("quality"),
+        )
+    )
+    got = score_quality(docs, field)
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert rows[16]["predicted"] == 0 and rows[1]["predicted"] == 1
+    for blank in (6, 7):
+        assert rows[blank]["score"] == pytest.approx(field.prior)
+    assert all(0 <= r["score"] <= 1 for r in rows.values())
+    names = ["doc_id", "score", "predicted"]
+    assert as_sets(score_quality(crowded, field), names) == as_sets(got, names)
+    none = learn_quality(spark.createDataFrame([], "key long, text binary, quality int"))
+    assert [r["score"] for r in score_quality(docs, none).collect()] == pytest.approx([0.5] * docs.count())
+    assert score_quality(no_docs, field).count() == 0
+
+
+def test_long_lines_weigh_more():
+    weights = np.zeros(3 * FEATURES + 1)
+    weights[1] = -50.0
+    field = Field(weights, np.zeros((2, 2)), np.zeros(FEATURES), np.ones(FEATURES), 0.5)
+    few, many = field.scores([b"SHOUT\n" + b"calm words " * 20, b"SHOUTING " * 20 + b"\ncalm"])
+    assert few > 0.4 > many
+    assert text_features(b"")[0].shape == (0, FEATURES)
+
+
+def test_toxicity_of_held_out_texts(spark):
+    rows = held_out(spark, "op8_toxicity", "toxic")
+    assert sum(r["predicted"] == r["truth"] for r in rows) >= 0.9 * len(rows)
+
+
+def test_toxicity_finds_rare_words_and_spares_the_rest(spark):
+    rows = []
+    for i in range(400):
+        toxic = i % 8 == 0
+        words = ["plain", "words", f"word{i % 9}", f"rare{i}"] * 6 + ["nasty"] * (3 if toxic else 0)
+        rows.append((i, " ".join(words).encode(), int(toxic), i % 4 == 3 or i % 16 == 0))
+    model = learn_toxicity(spark.createDataFrame(rows, "key long, text binary, toxic int, check boolean"))
+    assert model.ratios[b"nasty"] > 0.3 and abs(model.ratios[b"plain"]) < 0.02
+    texts = [(1, "Nasty, plain words"), (2, "plain words word3"), (3, None), (4, ""), (5, "!!"), (5, "!!")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").withColumn("score", F.lit("x"))
+    got = {r["doc_id"]: r for r in score_toxicity(frame, model).collect()}
+    assert [got[i]["predicted"] for i in (1, 2, 3, 4, 5)] == [1, 0, 0, 0, 0]
+    assert got[3]["score"] == got[4]["score"] == got[5]["score"]
+
+
+def test_toxicity_without_labels(spark, docs, no_docs):
+    none = learn_toxicity(spark.createDataFrame([], "key long, text binary, toxic int, check boolean"))
+    assert all(r["predicted"] == 0 for r in score_toxicity(docs, none).collect())
+    assert score_toxicity(no_docs, none).count() == 0
+    threshold, _ = threshold_of(np.array([0.5, 0.4, 0.1, 0.1]), np.array([True, True, False, False]))
+    assert 0.1 < threshold < 0.4
+    assert Toxicity({}, 1.0, 1e-9).score(b"x") < 0.5
