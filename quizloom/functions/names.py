@@ -1,5 +1,7 @@
 """Column functions for ids, file names and editions."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,12 +29,12 @@ def without_suffix(text: Column, suffix: str) -> Column:
 
 def numbered_edition(name: Column, series: str = NUMBERED_SERIES) -> Column:
     """Edition number after ``<series>-`` anywhere in the name; null without a match."""
-    return F.regexp_extract(name, rf"{series}-(\d+)", 1).try_cast("int")
+    return F.regexp_extract(name, rf"{re.escape(series)}-(\d+)", 1).try_cast("int")
 
 
 def dated_edition(name: Column, series: str = DATED_SERIES) -> Column:
     """``struct<edition, year, semester, reapplication>``; null without a match."""
-    pattern = rf"{series}-(\d{{4}})(\d)(r?)"
+    pattern = rf"{re.escape(series)}-(\d{{4}})(\d)(r?)"
     year, semester, again = (F.regexp_extract(name, pattern, i) for i in (1, 2, 3))
     return F.when(
         year != "",

@@ -52,7 +52,7 @@ def blocks(text: Column) -> Column:
 
 
 def header_number(block: Column) -> Column:
-    return F.regexp_extract(block, HEADER, 1).try_cast("int")
+    return F.regexp_extract(block, HEADER, 1).try_cast("bigint")
 
 
 def header_is_null(block: Column) -> Column:

@@ -30,7 +30,7 @@ def core_rows(documents):
         {
             "id": F.expr("format_string('%s-%03d', source, doc_id)"),
             "exam_source": F.col("source"),
-            "question_number": F.expr("cast(doc_id % 80 as int)"),
+            "question_number": F.expr("doc_id % 80"),
             "statement": F.col("text"),
             "alternativas": lines_as_alternatives(),
             "correct_answer": F.expr("if(doc_id % 3 = 0, null, 'A')"),
@@ -73,7 +73,7 @@ def comparable():
 
 ROWS_SQL = """
     SELECT printf('%s-%03d', source, doc_id) AS id, source AS exam_source,
-        (doc_id % 80)::int AS question_number, md5(text) AS statement_md5,
+        doc_id % 80 AS question_number, md5(text) AS statement_md5,
         len(string_split(text, chr(10)))::int AS n_alternatives,
         CASE WHEN doc_id % 3 <> 0 THEN 'A' END AS correct_answer, doc_id % 3 = 0 AS nullified,
         CASE WHEN lang <> 'es' THEN upper(lang) END AS area,
@@ -177,7 +177,7 @@ def union_products(spark, sf_dir):
 
 def document_pages(documents, exam):
     """Exam pages of one question each, and key pages for a third of the documents."""
-    number = F.expr("cast(doc_id % 80 as int)").alias("numero")
+    number = F.expr("doc_id % 80").alias("numero")
     question = F.struct(number, F.col("text").alias("enunciado"))
     answer = F.struct(number, F.lit("A").alias("resposta"))
 

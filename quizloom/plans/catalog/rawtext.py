@@ -26,7 +26,7 @@ PARSED_SQL = """
             unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
     t AS (SELECT *, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS clean FROM l)
     SELECT {stem} AS stem, printf('oab-%d', edition) AS exam_source,
-        (i + 1)::int AS question_number, printf('oab-%d-%03d', edition, i + 1) AS id,
+        (i + 1)::bigint AS question_number, printf('oab-%d-%03d', edition, i + 1) AS id,
         md5(clean || CASE WHEN i % 3 = 0 THEN ' Questão de ordem' ELSE '' END) AS statement_md5,
         CASE WHEN i % 7 = 6 THEN 'NI' WHEN i % 2 = 0 THEN 'ETHICS' ELSE 'PHILOSOPHY' END AS area,
         CASE WHEN i % 5 = 4 THEN NULL WHEN i % 4 = 0 THEN 'B' WHEN i % 2 = 0 THEN 'A' END

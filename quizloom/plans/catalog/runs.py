@@ -15,13 +15,19 @@ from quizloom.staging import staging_path
 from quizloom.streaming import ingest
 
 # Event properties as page payloads, several of them broken in different ways.
-QUESTION_PAYLOAD = """CASE event_id % 12
+QUESTION_PAYLOAD = """CASE event_id % 18
     WHEN 0 THEN '{"questoes": [' WHEN 1 THEN '{}' WHEN 2 THEN 'null' WHEN 3 THEN '[1]'
     WHEN 4 THEN concat('{"questoes":[{"enunciado":"', event_type, '"}]}')
     WHEN 5 THEN concat('{"questoes":[{"numero":"', get_json_object(props, '$.k'), '","enunciado":"s"}]}')
     WHEN 6 THEN concat('{"questoes":[{"numero":1,"enunciado":', event_id, '}]}')
     WHEN 7 THEN '{"questoes":null}'
     WHEN 8 THEN '{"questoes":[{"numero":1,"enunciado":"s","alternativas":[{"letra":"A"}]}]}'
+    WHEN 12 THEN concat('{"questoes":[]} ', event_type)
+    WHEN 13 THEN '{"questoes":[{"numero":true,"enunciado":"s"}]}'
+    WHEN 14 THEN concat('{"questoes":[{"numero":"1_00', event_id % 10, '.0","enunciado":"s"}]}')
+    WHEN 15 THEN concat('{"questoes":[{"numero":"x","numero":', event_id, ',"enunciado":"s"}]}')
+    WHEN 16 THEN concat('{"questoes":[{"numero":', 3000000000 + event_id, ',"enunciado":"s"}]}')
+    WHEN 17 THEN '{"questoes":[{"numero":"7.","enunciado":"s"}]}'
     ELSE concat('{"questoes":[{"numero":', get_json_object(props, '$.k'), ',"enunciado":"', event_type,
         '","alternativas":[{"letra":"A","texto":"', event_id, '"}]},{"numero":', event_id,
         ',"enunciado":"', props_text, '"}]}') END"""
@@ -42,10 +48,11 @@ def question_pages(spark, sf_dir):
 
 @query(
     """
-    SELECT 'user-' || user_id AS exam, event_id AS page, CASE event_id % 12
-        WHEN 0 THEN 'not JSON' WHEN 2 THEN 'not an object' WHEN 3 THEN 'not an object'
-        WHEN 7 THEN 'questoes is not a list' ELSE 'bad item in questoes' END AS error
-    FROM events WHERE event_id % 12 IN (0, 2, 3, 4, 6, 7, 8)
+    SELECT 'user-' || user_id AS exam, event_id AS page, CASE event_id % 18
+        WHEN 0 THEN 'not JSON' WHEN 12 THEN 'not JSON' WHEN 2 THEN 'not an object'
+        WHEN 3 THEN 'not an object' WHEN 7 THEN 'questoes is not a list'
+        ELSE 'bad item in questoes' END AS error
+    FROM events WHERE event_id % 18 IN (0, 2, 3, 4, 6, 7, 8, 12, 17)
     """
 )
 def payload_quarantine(spark, sf_dir):
@@ -55,13 +62,16 @@ def payload_quarantine(spark, sf_dir):
 
 @query(
     """
-    WITH e AS (SELECT *, json_extract_string(props, '$.k')::int AS k FROM events)
-    SELECT 'user-' || user_id AS exam, event_id AS page, 0 AS pos, k AS numero,
-        CASE WHEN event_id % 12 = 5 THEN 's' ELSE event_type END AS enunciado,
-        CASE WHEN event_id % 12 = 5 THEN '' ELSE 'A:' || event_id END AS alternatives
-    FROM e WHERE event_id % 12 IN (5, 9, 10, 11)
-    UNION ALL SELECT 'user-' || user_id, event_id, 1, event_id::int, props, ''
-    FROM e WHERE event_id % 12 IN (9, 10, 11)
+    WITH e AS (
+        SELECT *, event_id % 18 AS kind, json_extract_string(props, '$.k')::bigint AS k FROM events)
+    SELECT 'user-' || user_id AS exam, event_id AS page, 0 AS pos,
+        CASE kind WHEN 13 THEN 1 WHEN 14 THEN 1000 + event_id % 10 WHEN 15 THEN event_id
+            WHEN 16 THEN 3000000000 + event_id ELSE k END::bigint AS numero,
+        CASE WHEN kind IN (9, 10, 11) THEN event_type ELSE 's' END AS enunciado,
+        CASE WHEN kind IN (9, 10, 11) THEN 'A:' || event_id ELSE '' END AS alternatives
+    FROM e WHERE kind IN (5, 9, 10, 11, 13, 14, 15, 16)
+    UNION ALL SELECT 'user-' || user_id, event_id, 1, event_id::bigint, props, ''
+    FROM e WHERE kind IN (9, 10, 11)
     """
 )
 def payload_decode(spark, sf_dir):
@@ -75,9 +85,9 @@ def payload_decode(spark, sf_dir):
 @query(
     """
     SELECT 'user-' || user_id AS exam, count(*) AS exam_pages, 0::bigint AS key_pages,
-        count_if(event_id % 12 IN (0, 2, 3, 4, 6, 7, 8))::bigint AS failed_pages,
-        sum(CASE event_id % 12 WHEN 5 THEN 1 WHEN 9 THEN 2 WHEN 10 THEN 2 WHEN 11 THEN 2 ELSE 0 END)
-            ::bigint AS questions_found
+        count_if(event_id % 18 IN (0, 2, 3, 4, 6, 7, 8, 12, 17))::bigint AS failed_pages,
+        sum(CASE WHEN event_id % 18 IN (5, 13, 14, 15, 16) THEN 1
+            WHEN event_id % 18 IN (9, 10, 11) THEN 2 ELSE 0 END)::bigint AS questions_found
     FROM events GROUP BY ALL
     """
 )
@@ -87,19 +97,23 @@ def payload_page_totals(spark, sf_dir):
 
 
 ANSWER_PAYLOAD = """CASE event_id % 5 WHEN 0 THEN '{"respostas":[{"numero":true,"resposta":"A"}]}'
+    WHEN 1 THEN '{"respostas":[{"numero":"7.","resposta":"A"}]}'
     ELSE concat('{"respostas":[{"numero":', get_json_object(props, '$.k'), ',"resposta":"',
         event_type, '"},{"numero":', get_json_object(props, '$.k'), ',"resposta":"Z"}]}') END"""
 
 
 @query(
     """
-    SELECT 'user-' || user_id AS exam, json_extract_string(props, '$.k')::int AS numero,
-        arg_min(event_type, event_id) AS resposta
-    FROM events WHERE event_id % 5 <> 0 GROUP BY ALL
+    WITH a AS (
+        SELECT 'user-' || user_id AS exam, event_id,
+            CASE event_id % 5 WHEN 0 THEN 1 ELSE json_extract_string(props, '$.k')::bigint END AS numero,
+            CASE event_id % 5 WHEN 0 THEN 'A' ELSE event_type END AS answer
+        FROM events WHERE event_id % 5 <> 1)
+    SELECT exam, numero::bigint AS numero, arg_min(answer, event_id) AS resposta FROM a GROUP BY ALL
     """
 )
 def payload_answer_key(spark, sf_dir):
-    """Answer pages decoded, then the first answer per question."""
+    """Answer pages decoded, then the first answer per question; true counts as 1, "7." as bad."""
     pages = table(spark, sf_dir, "events").select(
         F.expr("concat('user-', user_id)").alias("exam"),
         F.lit("gabarito").alias("doc_kind"),
@@ -163,7 +177,7 @@ def resume_pages(spark, sf_dir):
 
 @query(
     """
-    SELECT printf('oab-%s-%03d', substr(source, 4), doc_id) AS id, doc_id::int AS question_number,
+    SELECT printf('oab-%s-%03d', substr(source, 4), doc_id) AS id, doc_id::bigint AS question_number,
         md5(CASE WHEN substr(source, 4)::int % 2 = 0 THEN 'stored' ELSE text END) AS statement_md5,
         CASE WHEN substr(source, 4)::int % 2 = 0 THEN 'C' END AS correct_answer,
         substr(source, 4)::int AS edition, 'pdf' AS source_format
@@ -175,7 +189,7 @@ def union_cached(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select(
         F.expr("concat('oab-', substr(source, 4))").alias("exam"),
         F.expr("cast(substr(source, 4) as int) % 2 = 0").alias("stored"),
-        F.col("doc_id").cast("int").alias("numero"),
+        F.col("doc_id").alias("numero"),
         "text",
     )
     pages = documents.select(
@@ -405,7 +419,7 @@ def arriving_pages(spark, sf_dir):
 
 @query(
     """
-    SELECT 'user-' || user_id AS exam_source, json_extract_string(props, '$.k')::int AS question_number,
+    SELECT 'user-' || user_id AS exam_source, json_extract_string(props, '$.k')::bigint AS question_number,
         string_agg(event_type, ' ' ORDER BY event_id) AS statement, true AS nullified
     FROM events WHERE event_type <> 'error' GROUP BY ALL
     """

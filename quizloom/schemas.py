@@ -1,15 +1,19 @@
-"""Row shapes of the tables that move between steps."""
+"""Row shapes of the tables that move between steps.
+
+Fixed values: the column and field names are those of the files that other tools read
+and write.
+"""
 
 ALTERNATIVES_IN = "array<struct<letra:string,texto:string>>"
 ALTERNATIVES = "array<struct<letter:string,text:string>>"
 
 # One element of a page extraction, and one of an answer-key extraction.
-QUESTIONS_IN = f"array<struct<numero:int,enunciado:string,alternativas:{ALTERNATIVES_IN}>>"
-ANSWERS_IN = "array<struct<numero:int,resposta:string>>"
+QUESTIONS_IN = f"array<struct<numero:bigint,enunciado:string,alternativas:{ALTERNATIVES_IN}>>"
+ANSWERS_IN = "array<struct<numero:bigint,resposta:string>>"
 
 # A finished dataset row. The metadata keys vary by series, hence VARIANT.
 QUESTION = (
-    "id string, exam_source string, question_number int, statement string, "
+    "id string, exam_source string, question_number bigint, statement string, "
     f"alternatives {ALTERNATIVES}, correct_answer string, nullified boolean"
 )
 EXAM_QUESTION = f"{QUESTION}, metadata variant"

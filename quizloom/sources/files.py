@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quizloom import schemas
-from quizloom.functions import names, text
-
-RECORD_BREAK = "\nQuestão"
+from quizloom.fixed_values import EXAM_KIND, KEY_KIND
+from quizloom.functions import names, payload, text
 
 
 def document_listing(spark: SparkSession, folder: str) -> DataFrame:
@@ -34,104 +33,57 @@ def page_images(spark: SparkSession, folder: str, glob: str = "*.png") -> DataFr
     )
 
 
-def _raw_files(spark: SparkSession, folder: str, **options) -> DataFrame:
+def _raw_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of the ``*.txt`` files; ``\\n``, ``\\r\\n`` and ``\\r`` all end one."""
     return (
         spark.read.format("text")
-        .options(pathGlobFilter="*.txt", **options)
+        .option("pathGlobFilter", "*.txt")
         .load(folder)
-        .select("value", F.col("_metadata").alias("file"))
+        .select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("split_start"),
+            # Only the order within a split is used: splits differ in their first bits.
+            F.monotonically_increasing_id().alias("seq"),
+            "value",
+        )
     )
 
 
-def _whole_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFrame:
-    files = _raw_files(spark, folder, wholetext=True).where(F.col("file.file_size") <= limit)
-    return files.select(
-        F.col("file.file_path").alias("file_path"),
-        F.lit(0).cast("long").alias("split_start"),
-        F.posexplode(text.blocks(text.unix_lines(F.col("value")))).alias("block_no", "block"),
-    ).withColumn("block_no", F.col("block_no").cast("long"))
+SPLIT = ["file_path", "split_start"]
 
 
-def _split_file_blocks(spark: SparkSession, folder: str, limit: int) -> DataFrame:
-    """Blocks of files too large for one row.
+def _marked(lines: DataFrame) -> DataFrame:
+    """Adds ``opens``: the line begins a block.
 
-    The reader breaks the file at lines that begin with the block word, in parallel
-    over its splits. A record that doesn't go on with a number belongs to the
-    block before it, maybe one that began in an earlier split.
+    The number may come on a later line, after blank ones, maybe in the next split.
     """
-    records = (
-        _raw_files(spark, folder, lineSep=RECORD_BREAK)
-        .where(F.col("file.file_size") > limit)
-        .select(
-            F.col("file.file_path").alias("file_path"),
-            F.col("file.file_block_start").alias("split_start"),
-            F.monotonically_increasing_id().alias("seq"),
-            "value",
-        )
-        .withColumn(
-            "opens",
-            F.col("value").rlike(r"(?U)\A\s+\d")
-            | ((F.col("split_start") == 0) & F.col("value").rlike(r"(?U)\AQuestão\s+\d")),
-        )
+    after = (
+        Window.partitionBy(*SPLIT).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
     )
-    in_split = Window.partitionBy("file_path", "split_start").orderBy("seq")
-    own = F.last(F.when(F.col("opens"), F.struct("split_start", "seq")), ignorenulls=True)
-    # One row per split: where the block open at its end began.
-    before = (
-        Window.partitionBy("file_path")
-        .orderBy("split_start")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        records.groupBy("file_path", "split_start")
-        .agg(F.max(F.when(F.col("opens"), F.struct("split_start", "seq"))).alias("open_at_end"))
-        .select(
-            "file_path",
-            "split_start",
-            F.last("open_at_end", ignorenulls=True).over(before).alias("carried"),
-        )
-    )
-    owned = (
-        records.withColumn("own", own.over(in_split))
-        .join(carried, ["file_path", "split_start"])
-        .withColumn("owner", F.coalesce("own", "carried"))
-        .where(F.col("owner").isNotNull())
+    later = Window.partitionBy("file_path").orderBy("split_start").rowsBetween(1, Window.unboundedFollowing)
+    with_text = F.when(text.strip(F.col("value")) != "", F.col("value"))
+    # One row per split.
+    next_text = (
+        lines.groupBy(*SPLIT)
+        .agg(F.min_by(with_text, F.when(with_text.isNotNull(), F.col("seq"))).alias("first"))
+        .select(*SPLIT, F.first("first", ignorenulls=True).over(later).alias("next_text"))
     )
-    piece = F.struct("split_start", "seq", "value")
-    whole = owned.groupBy("file_path", "owner").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["value"]), RECORD_BREAK
-        ).alias("body")
-    )
-    body = text.unix_lines(F.col("body"))
-    block = F.when(body.rlike(r"(?U)\AQuestão\s+\d"), body).otherwise(F.concat(F.lit("Questão"), body))
-    in_split_no = F.col("seq").bitwiseAND(F.lit((1 << 33) - 1))
-    return whole.select(
-        "file_path",
-        F.col("owner.split_start").alias("split_start"),
-        F.col("owner.seq").alias("seq"),
-        F.posexplode(text.blocks(block)).alias("part_no", "block"),
-    ).select(
-        "file_path",
-        "split_start",
-        (in_split_no * 1_000_000 + F.col("part_no")).alias("block_no"),
-        "block",
+    following = F.coalesce(F.first(with_text, ignorenulls=True).over(after), F.col("next_text"))
+    opens = F.col("value").rlike(r"(?U)\AQuestão\s+\d") | (
+        F.col("value").rlike(r"(?U)\AQuestão\s*\z") & F.coalesce(following.rlike(r"(?U)\A\s*\d"), F.lit(False))
     )
+    return lines.join(next_text, SPLIT).withColumn("opens", opens).drop("next_text")
 
 
-def raw_blocks(
-    spark: SparkSession,
-    folder: str,
-    whole_file_limit: int = 64 * 1024 * 1024,
-    stem_from: str = "file",
-) -> DataFrame:
+def raw_blocks(spark: SparkSession, folder: str, stem_from: str = "file") -> DataFrame:
     """Question blocks of the ``*.txt`` files of a folder.
 
     ``stem, file_path, split_start, block_no, block``; within a file, the columns
-    before the block give its order. Files up to ``whole_file_limit`` bytes are read
-    as one row each, larger ones in parallel splits; the blocks are the same. The
-    stem is the file's name or, with ``stem_from="folder"``, that of its folder
-    (``<stem>/`` or ``<key>=<stem>/``), as when the text was written by Spark.
+    before the block give its order. Files are read in parallel splits whatever their
+    size; a block that goes on in later splits is put together again. Text before a
+    file's first header is block 0 of its split 0. The stem is the file's name or, with
+    ``stem_from="folder"``, that of its folder (``<stem>/`` or ``<key>=<stem>/``), as when
+    the text was written by Spark.
     """
     if stem_from == "file":
         stem = names.file_stem(F.col("file_path"))
@@ -139,33 +91,74 @@ def raw_blocks(
         stem = F.regexp_extract("file_path", r"([^/=]+)/[^/]+\z", 1)
     else:
         raise ValueError(f"unknown stem source {stem_from!r}")
-    small = _whole_file_blocks(spark, folder, whole_file_limit)
-    large = _split_file_blocks(spark, folder, whole_file_limit)
-    return small.unionByName(large).select(
-        stem.alias("stem"), "file_path", "split_start", "block_no", "block"
+    marked = _marked(_raw_lines(spark, folder))
+    so_far = Window.partitionBy(*SPLIT).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    before = (
+        Window.partitionBy("file_path")
+        .orderBy("split_start")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    # One row per split: the block open where it begins, by its split and number there.
+    open_block = F.when(F.col("n") > 0, F.struct("split_start", F.col("n").alias("block_no")))
+    none_yet = F.struct(F.lit(0).cast("long").alias("split_start"), F.lit(0).cast("long").alias("block_no"))
+    carried = (
+        marked.groupBy(*SPLIT)
+        .agg(F.count_if("opens").alias("n"))
+        .select(*SPLIT, F.coalesce(F.last(open_block, ignorenulls=True).over(before), none_yet).alias("carried"))
     )
+    owned = (
+        marked.withColumn("n", F.count_if("opens").over(so_far))
+        .join(carried, SPLIT)
+        .withColumn(
+            "owner",
+            F.when(F.col("n") > 0, F.struct("split_start", F.col("n").alias("block_no"))).otherwise(F.col("carried")),
+        )
+    )
+    line = F.struct("split_start", "seq", "value")
+    in_order = F.transform(F.array_sort(F.collect_list(line)), lambda x: x["value"])
+    blocks = owned.groupBy("file_path", "owner").agg(F.array_join(in_order, "\n").alias("block"))
+    return blocks.select(stem.alias("stem"), "file_path", "owner.*", "block")
 
 
-def page_payloads(spark: SparkSession, folder: str) -> DataFrame:
-    """``exam, doc_kind, page, payload`` from ``<exam>/<kind>/page-NN.json`` files."""
+PAGE_FILE = r"([^/]+)/([^/]+)/page-([0-9]+)\.json\z"
+
+
+def page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All ``page-*.json`` files below a folder: ``path, exam, doc_kind, page, payload, reason``.
+
+    ``reason`` is null for ``<exam>/<kind>/page-NN.json`` with a known kind.
+    """
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    pattern = r"([^/]+)/([^/]+)/page-(\d+)\.json\z"
-    return (
+    files = (
         spark.read.format("text")
         .options(wholetext=True, pathGlobFilter="page-*.json", recursiveFileLookup=True)
         .load(folder)
-        .select(
-            F.regexp_extract(path, pattern, 1).alias("exam"),
-            F.regexp_extract(path, pattern, 2).alias("doc_kind"),
-            F.regexp_extract(path, pattern, 3).try_cast("int").alias("page"),
-            F.col("value").alias("payload"),
-        )
+        .select(path.alias("path"), F.col("value").alias("payload"))
+    )
+    exam, kind = (F.nullif(F.regexp_extract("path", PAGE_FILE, i), F.lit("")) for i in (1, 2))
+    page = F.regexp_extract("path", PAGE_FILE, 3).try_cast("int")
+    reason = (
+        F.when(exam.isNull() | page.isNull(), "not <exam>/<kind>/page-NN.json")
+        .when(~kind.isin(EXAM_KIND, KEY_KIND), "unknown kind")
+    )
+    return files.select(
+        "path", exam.alias("exam"), kind.alias("doc_kind"), page.alias("page"), "payload", reason.alias("reason")
     )
 
 
+def page_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """``exam, doc_kind, page, payload`` of the files whose names fit; ``page_files`` has the others."""
+    return page_files(spark, folder).where("reason IS NULL").select("exam", "doc_kind", "page", "payload")
+
+
 def question_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """A JSONL dataset; blank lines are skipped, a broken line stops the read."""
-    return spark.read.schema(schemas.EXAM_QUESTION).option("mode", "FAILFAST").json(path)
+    """A JSONL dataset, checked as strictly as page payloads.
+
+    Blank lines are skipped. A line that is no object, lacks a required field or has one
+    of another type stops the read, and so does text after the object. Numbers may come as
+    text; absent alternatives are an empty list, absent metadata an empty object.
+    """
+    return payload.checked_questions(spark.read.text(path))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -174,7 +167,8 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explode_manifest(documents: DataFrame, column: str) -> DataFrame:
-    entries = documents.select(
-        F.explode(F.from_json(F.col(column), schemas.MANIFEST_JSON)).alias("key", "entry")
-    )
-    return entries.select(F.col("key").try_cast("int").alias("edition"), "entry.*")
+    """Entries of the manifests; one that is no such object, or a key that is no number, stops the job."""
+    parsed = F.from_json(F.col(column), schemas.MANIFEST_JSON, {"mode": "FAILFAST"})
+    sound = F.coalesce(parsed, F.raise_error(F.lit("a manifest is no JSON object")).cast(schemas.MANIFEST_JSON))
+    entries = documents.select(F.explode(sound).alias("key", "entry"))
+    return entries.select(F.col("key").cast("int").alias("edition"), "entry.*")

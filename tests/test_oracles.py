@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from quizloom.plans.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -45,12 +46,17 @@ def kind(name):
     return names.get(name, name)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_entry_has_all_queries():
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
-    frame = entry.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     spark_rows = [tuple(row) for row in frame.collect()]
-    sql = entry.oracle_sql().get(name)
-    assert sql is not None, "every query here has an oracle"
+    sql = ORACLES[name]
     cursor = duck.execute(sql)
     columns = [d[0] for d in cursor.description]
     expected = cursor.fetchall()

@@ -15,8 +15,30 @@ GOOD = [
     ),
     ("{}", []),
     (' {"questoes":[]}', []),
+    ('{"questoes":[]}\n\t ', []),
+    ('{"questoes":[{"numero":true,"enunciado":"s"}]}', [(1, "s", [])]),
+    ('{"questoes":[{"numero":false,"enunciado":"true"}]}', [(0, "true", [])]),
+    ('{"questoes":[{"numero":"1_000","enunciado":"12"}]}', [(1000, "12", [])]),
+    ('{"questoes":[{"numero":"1_000.0","enunciado":"[1]"}]}', [(1000, "[1]", [])]),
+    ('{"questoes":[{"numero":3000000000,"enunciado":"{}"}]}', [(3000000000, "{}", [])]),
+    ('{"questoes":[{"numero":1e2,"enunciado":"false"}]}', [(100, "false", [])]),
+    ('{"questoes":[{"numero":"007","enunciado":"-"}]}', [(7, "-", [])]),
+    ('{"questoes":[{"numero":1,"numero":2,"enunciado":"a","enunciado":"b"}]}', [(2, "b", [])]),
+    ('{"questoes":[],"questoes":[{"numero":4,"enunciado":"d"}]}', [(4, "d", [])]),
 ]
 BAD = [
+    ('{"questoes":[]} x', "not JSON"),
+    ('{"questoes":[]}{"questoes":[]}', "not JSON"),
+    ('{"questoes":[]},{"questoes":[]}', "not JSON"),
+    ('{"questoes":[]}]', "not JSON"),
+    ('{"questoes":[]}} }', "not JSON"),
+    ('{"questoes":[{"numero":"7.","enunciado":"s"}]}', "bad item in questoes"),
+    ('{"questoes":[{"numero":"_1","enunciado":"s"}]}', "bad item in questoes"),
+    ('{"questoes":[{"numero":"1__0","enunciado":"s"}]}', "bad item in questoes"),
+    ('{"questoes":[{"numero":"true","enunciado":"s"}]}', "bad item in questoes"),
+    ('{"questoes":[{"numero":99999999999999999999,"enunciado":"s"}]}', "bad item in questoes"),
+    ('{"questoes":[{"numero":1,"enunciado":true}]}', "bad item in questoes"),
+    ('{"questoes":[{"numero":1,"enunciado":["a"]}]}', "bad item in questoes"),
     ("{broken", "not JSON"),
     ("", "not JSON"),
     (None, "missing payload"),

@@ -165,36 +165,46 @@ def test_one_line(spark):
     assert found == ["a  b c", "", "x", "a b"]
 
 
-def test_split_reading_equals_whole_reading(spark, tmp_path):
-    """Small splits cut blocks anywhere; lines like "Questão de ordem" open none."""
-    for n, stem in enumerate(["2010-01", "2011-02", "2012-06", "2012-06a"]):
-        value = "preâmbulo\n" if n % 2 else ""
+def some_texts():
+    """Preambles, blocks of all kinds, headers over two lines; each line end."""
+    for n, end in enumerate(["\n", "\r\n", "\r", "\n"]):
+        value = ["", "preâmbulo\n", "\n\n", "intro\nQuestão\n\n"][n]
         for i in range(1, 40):
-            extra = "\nQuestão relativa à ética\n\nQuestão de ordem" if i % 5 == 0 else ""
-            value += block(number=str(i), statement=f"Texto {i} de {stem}.{extra}") + "\n" * (i % 3)
-        if n == 2:
-            value = value.replace("\n", "\r\n")
+            extra = "\nQuestão relativa à ética\n\nQuestão de ordem\nQuestão" if i % 5 == 0 else ""
+            value += block(number=str(i), statement=f"Texto {i}.{extra}") + "\n" * (i % 3)
+            if i % 9 == 0:
+                value += f"Questão\n\n {i + 100}\n\nAREA CIVIL\n\nT.\n\nOPTIONS\n\nA) a\n"
+            if i % 11 == 0:
+                value += f"Questão {i + 200}\n\nsem opções\n"
+        yield f"201{n}-0{n + 1}", value.replace("\n", end)
+
+
+@pytest.mark.parametrize("size", ["128m", "3000b", "777b", "64b"])
+def test_files_give_the_blocks_of_their_texts(spark, tmp_path, size):
+    """Small splits cut blocks and headers anywhere; good and rejected rows stay the same."""
+    texts = list(some_texts())
+    for stem, value in texts:
         (tmp_path / f"{stem}.txt").write_text(value, encoding="utf-8", newline="")
-    folder = str(tmp_path)
-    columns = ["stem", "id", "statement", "alternatives", "correct_answer"]
-
-    def rows(limit):
-        blocks = raw_blocks(spark, folder, whole_file_limit=limit)
-        parsed = rawtext.good_questions(rawtext.parse_blocks(blocks))
-        ordered = parsed.orderBy("stem", "split_start", "block_no").select(*columns)
-        return [tuple(r) for r in ordered.collect()]
-
-    whole = rows(1 << 30)
-    assert len(whole) == 4 * 39
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def found(blocks, order):
+        parsed = rawtext.parse_blocks(blocks)
+        good = rawtext.good_questions(parsed).orderBy("stem", *order)
+        bad = rawtext.rejected_blocks(parsed).orderBy("stem", *order)
+        columns = ["stem", "id", "statement", "alternatives", "correct_answer"]
+        return [tuple(r) for r in good.select(*columns).collect()] + [
+            tuple(r) for r in bad.select("stem", "block", "reason").collect()
+        ]
+
+    whole = spark.createDataFrame(texts, "stem string, value string")
+    want = found(rawtext.blocks_of_texts(whole), ["block_no"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", "777")
-        split = rows(0)
-    finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-    assert split == whole
-    mixed = rows((tmp_path / "2010-01.txt").stat().st_size)
-    assert sorted(mixed) == sorted(whole)
+        got = found(raw_blocks(spark, str(tmp_path)), ["split_start", "block_no"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == want
+    assert {r[-1] for r in want} >= {"bad header", "empty block", "no options"}
 
 
 def test_empty_folder(spark, tmp_path):
