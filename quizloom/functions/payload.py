@@ -8,6 +8,7 @@ that breaks one is set aside with the reason; it is never partly used.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quizloom.fixed_values import EXAM_KIND, KEY_KIND
 from quizloom.functions.rows import rows_where
 from quizloom.functions.text import strip
 from quizloom.schemas import ANSWERS_IN, QUESTIONS_IN
@@ -153,15 +154,15 @@ def checked_questions(lines: DataFrame) -> DataFrame:
     return kept.select(checked.alias("row")).select("row.*")
 
 
-def _decode(pages: DataFrame, name: str, convert, is_bad, item_type: str) -> DataFrame:
+def _decoded(pages: DataFrame, name: str, convert, is_bad, item_type: str) -> Column:
+    """``struct<name, error>`` of each page, one of them null."""
     payload = F.col("payload")
 
     def checked(items: Column, document: Column) -> Column:
-        is_object = _is_object(payload)
         error = (
             F.when(payload.isNull(), "missing payload")
             .when(document.isNull(), "not JSON")
-            .when(~is_object, "not an object")
+            .when(~_is_object(payload), "not an object")
             .when(items.isNull(), f"{name} is not a list")
             .when(F.exists(items, is_bad), f"bad item in {name}")
         )
@@ -169,14 +170,30 @@ def _decode(pages: DataFrame, name: str, convert, is_bad, item_type: str) -> Dat
 
     # One expression per page, whose steps are bound by ``_let``: spread over columns,
     # a pushed-down filter would repeat the parsing in each place that refers to it.
-    decoded = _let(
+    return _let(
         whole_json(pages, payload),
         lambda document: _let(
             F.transform(_list_field(document, name), convert).cast(item_type),
             lambda items: checked(items, document),
         ),
     )
-    return pages.withColumn("_decoded", decoded).select(*pages.columns, "_decoded.*")
+
+
+def _decoded_questions(pages: DataFrame) -> Column:
+    return _decoded(pages, "questoes", _question, _question_is_bad, QUESTIONS_IN)
+
+
+def _decoded_answers(pages: DataFrame) -> Column:
+    return _decoded(pages, "respostas", _answer, _answer_is_bad, ANSWERS_IN)
+
+
+def page_error(pages: DataFrame) -> Column:
+    """What is wrong with each page by its kind; null if nothing is."""
+    return (
+        F.when(F.col("doc_kind") == EXAM_KIND, _decoded_questions(pages)["error"])
+        .when(F.col("doc_kind") == KEY_KIND, _decoded_answers(pages)["error"])
+        .otherwise("unknown kind")
+    )
 
 
 def _let(value: Column, body) -> Column:
@@ -186,12 +203,12 @@ def _let(value: Column, body) -> Column:
 
 def decode_questions(pages: DataFrame) -> DataFrame:
     """Add ``questoes`` (null on a bad page) and ``error`` (null on a good one)."""
-    return _decode(pages, "questoes", _question, _question_is_bad, QUESTIONS_IN)
+    return pages.withColumn("_decoded", _decoded_questions(pages)).select(*pages.columns, "_decoded.*")
 
 
 def decode_answers(pages: DataFrame) -> DataFrame:
     """Add ``respostas`` (null on a bad page) and ``error`` (null on a good one)."""
-    return _decode(pages, "respostas", _answer, _answer_is_bad, ANSWERS_IN)
+    return pages.withColumn("_decoded", _decoded_answers(pages)).select(*pages.columns, "_decoded.*")
 
 
 def good_pages(decoded: DataFrame) -> DataFrame:

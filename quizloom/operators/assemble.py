@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.names import question_id
 from quizloom.functions.rows import rows_of_list
+from quizloom.operators.ordering import with_position
+from quizloom.staging import staged
 
 KEYS = ["exam", "numero"]
 
-# A question with more parts than this is hot, if it also holds a millionth of all parts.
+# A question with more parts than this is stitched in pieces of this many parts.
 HOT_PARTS = 10_000
-MOST_HOT = 1_000_000
-PAGES_PER_PIECE = 1_000
 
 
 def explode_questions(pages: DataFrame) -> DataFrame:
@@ -32,64 +32,68 @@ def explode_answers(pages: DataFrame) -> DataFrame:
 
 
 def hot_questions(parts: DataFrame, min_parts: int = HOT_PARTS) -> DataFrame:
-    """Keys that hold too many parts for one group.
-
-    Each holds at least a millionth of all parts, so there are at most a million:
-    their keys, some tens of megabytes, can be broadcast whatever the size of the
-    data. At 50 billion parts every question over 50,000 parts is still hot.
-    """
+    """Keys that hold too many parts for one group: a count over the key columns."""
     counts = parts.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    is_hot = (F.col("n") > min_parts) & (F.col("n") * MOST_HOT >= total)
-    return counts.where(is_hot).select(*KEYS)
+    return counts.where(F.col("n") > min_parts).select(*KEYS)
+
 
+def _stitch(parts: DataFrame, keys: list[str], n_parts, place=None) -> DataFrame:
+    """Join texts in (page, pos) order; of the longest option lists keep the last.
 
-def _stitch(parts: DataFrame, keys: list[str], n_parts) -> DataFrame:
-    """Join texts in (page, pos) order; of the longest option lists keep the last."""
-    piece = F.struct("page", "pos", "enunciado")
+    ``place`` tells parts of equal page and position apart.
+    """
+    at = ["page", "pos", (F.lit(0).cast("long") if place is None else place).alias("place")]
+    piece = F.struct(*at, "enunciado")
     in_order = F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["enunciado"])
     return parts.groupBy(*keys).agg(
         F.array_join(in_order, " ").alias("enunciado"),
-        F.max_by("alternativas", F.struct(F.size("alternativas"), "page", "pos")).alias(
-            "alternativas"
-        ),
-        F.max(F.struct("page", "pos")).alias("last"),
+        F.max_by("alternativas", F.struct(F.size("alternativas"), *at)).alias("alternativas"),
+        F.max(F.struct(*at)).alias("last"),
         F.sum(n_parts).alias("parts"),
     )
 
 
-def question_pieces(parts: DataFrame, pages_per_piece: int = PAGES_PER_PIECE) -> DataFrame:
-    """Stitch within runs of pages: one row per question and run.
+def question_pieces(parts: DataFrame, parts_per_piece: int = HOT_PARTS) -> DataFrame:
+    """Stitch within runs of a question's parts: one row per question and run.
 
-    In ``piece`` order the rows spell out the whole question. This is also the
-    form in which to keep a question too large for one cell.
+    Parts are numbered in the order of all (question, page, pos) by a range sort, which no
+    question or page is too large for; a run has ``parts_per_piece`` of them at most. In
+    ``piece`` order the rows spell out the whole question. This is also the form in which
+    to keep a question too large for one cell.
     """
-    run = F.floor(F.col("page") / pages_per_piece).cast("long")
-    return _stitch(parts.withColumn("piece", run), [*KEYS, "piece"], F.lit(1))
+    order = [F.col(name) for name in (*KEYS, "page", "pos")]
+    numbered = with_position(parts, order, "_nth")
+    piece = F.floor((F.col("_nth") - 1) / parts_per_piece)
+    return _stitch(numbered.withColumn("piece", piece), [*KEYS, "piece"], F.lit(1), F.col("_nth"))
 
 
-def merge_split_questions(parts: DataFrame, min_hot_parts: int = HOT_PARTS) -> DataFrame:
+def merge_split_questions(
+    parts: DataFrame, min_hot_parts: int = HOT_PARTS, parts_per_piece: int = HOT_PARTS
+) -> DataFrame:
     """One row per question: ``exam, numero, enunciado, alternativas, parts``.
 
     Texts are joined by a space in page order. The longest option list wins, the
     later one on a tie. Hot questions are stitched in two steps, so that no task
-    sorts all their parts; with no hot question that branch is empty, and adaptive
-    execution drops it before it scans anything.
+    sorts all their parts.
     """
-    hot = F.broadcast(hot_questions(parts, min_hot_parts))
+    hot = staged(hot_questions(parts, min_hot_parts), "hot-questions")
+    if hot.isEmpty():
+        return _stitch(parts, KEYS, F.lit(1)).drop("last")
     usual = _stitch(parts.join(hot, KEYS, "left_anti"), KEYS, F.lit(1))
-    pieces = question_pieces(parts.join(hot, KEYS, "left_semi"))
+    pieces = question_pieces(parts.join(hot, KEYS, "left_semi"), parts_per_piece)
     joined = _stitch(
         pieces.select(
             *KEYS,
             F.col("last.page").alias("page"),
             F.col("last.pos").alias("pos"),
+            F.col("last.place").alias("_nth"),
             "enunciado",
             "alternativas",
             F.col("parts").alias("n"),
         ),
         KEYS,
         F.col("n"),
+        F.col("_nth"),
     )
     return usual.unionByName(joined).drop("last")
 

@@ -1,10 +1,15 @@
 """Skip what is done: whole exams, and single pages."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quizloom.functions.payload import page_error
 from quizloom.schemas import PAGE_KEYS, PAGE_TABLE
+from quizloom.staging import scratch, staged
+
+# Parts of the page and question tables. It must not change once they are written.
+BUCKETS = 64
 
 
 def finished_exams(outputs: DataFrame, fmt: str) -> DataFrame:
@@ -33,41 +38,72 @@ def pending_exams(
 
 
 def with_cached_payload(pages: DataFrame, page_table: DataFrame) -> DataFrame:
-    """Add ``payload`` and ``from_cache`` in one pass over both tables.
+    """Add ``payload`` and ``from_cache`` in one join of both tables.
 
-    Pages without a hit are the ones to process. The page table has one row per
-    key; the aggregate guards against a page that was written twice.
+    Pages without a hit are the ones to process. The page table has one row per key:
+    ``append_new_pages`` sees to that, so no payload is grouped or sorted here.
     """
-    cached = page_table.groupBy(*PAGE_KEYS).agg(F.min("payload").alias("payload"))
+    cached = page_table.select(*PAGE_KEYS, "payload")
     return pages.join(cached, PAGE_KEYS, "left").withColumn(
         "from_cache", F.col("payload").isNotNull()
     )
 
 
-def read_page_table(spark: SparkSession, path: str) -> DataFrame:
-    """The page table at ``path``; empty before the first append."""
+def bucket_of(exam: Column) -> Column:
+    """The part of the page and question tables that holds an exam."""
+    return F.pmod(F.xxhash64(exam), F.lit(BUCKETS)).cast("int")
+
+
+def read_page_table(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """The page table at ``path`` or some of its buckets; empty before the first append."""
     try:
-        return spark.read.schema(PAGE_TABLE).parquet(path)
+        rows = spark.read.schema(f"{PAGE_TABLE}, bucket int").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], PAGE_TABLE)
+        return spark.createDataFrame([], f"{PAGE_TABLE}, bucket int")
+    return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
 
 
-def append_new_pages(fresh: DataFrame, path: str) -> None:
-    """Add the successful pages that the table at ``path`` doesn't hold yet.
+def judged_pages(fresh: DataFrame) -> DataFrame:
+    """Adds ``reason``: why an arrived row can't be stored; null for good and for failed pages.
 
-    Running it again with the same rows adds nothing, so a retry is harmless. Known
-    pages are first cut down to the exams at hand: with few exams, as in one batch
-    of a stream, that is a broadcast join and the page table isn't shuffled.
+    A ``_corrupt_record`` column, if there is one, holds lines that could not be read.
+    A row without a flag hasn't failed.
     """
-    good = (
-        fresh.where(~F.col("failed")).groupBy(*PAGE_KEYS).agg(F.min("payload").alias("payload"))
-    )
-    exams = fresh.select("exam").distinct()
-    known = (
-        read_page_table(fresh.sparkSession, path)
-        .select(*PAGE_KEYS)
-        .join(exams, "exam", "left_semi")
-    )
-    good.join(known, PAGE_KEYS, "left_anti").write.mode("append").parquet(path)
+    failed = F.coalesce("failed", F.lit(False))
+    missing = F.lit(False)
+    for name in PAGE_KEYS:
+        missing = missing | F.col(name).isNull()
+    reason = F.when(missing, "missing key").when(~failed, page_error(fresh))
+    if "_corrupt_record" in fresh.columns:
+        reason = F.when(F.col("_corrupt_record").isNotNull(), "malformed line").otherwise(reason)
+    return fresh.withColumns({"failed": failed, "reason": reason})
+
+
+def append_new_pages(
+    fresh: DataFrame, path: str, quarantine: str | None = None, batch: int | str = 0
+) -> None:
+    """Add the good pages that the table at ``path`` doesn't hold yet; set aside what can't be stored.
+
+    Only pages that decode are stored, so a later good page takes the place of a bad one.
+    Rows with a reason go to ``<quarantine>/batch=<batch>`` as they came, with it; failed
+    pages go nowhere. The table is divided by ``bucket_of(exam)``, and only buckets that the
+    rows belong to are read. Running it again with the same rows and batch changes nothing.
+    """
+    spark = fresh.sparkSession
+    with scratch(spark):
+        judged = staged(judged_pages(fresh), "arrived")
+        good = (
+            judged.where("reason IS NULL AND NOT failed")
+            .groupBy(*PAGE_KEYS)
+            .agg(F.min("payload").alias("payload"))
+            .withColumn("bucket", bucket_of(F.col("exam")))
+        )
+        buckets = [r[0] for r in good.select("bucket").distinct().collect()]
+        known = read_page_table(spark, path, buckets).select(*PAGE_KEYS, "bucket")
+        new = good.join(known, [*PAGE_KEYS, "bucket"], "left_anti")
+        new.write.mode("append").partitionBy("bucket").parquet(path)
+        bad = judged.where("reason IS NOT NULL")
+        if quarantine is not None:
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch}")

@@ -8,7 +8,7 @@ from quizloom.functions.payload import decode_answers, decode_questions, good_pa
 from quizloom.operators import assemble, enrich, ordering, rawtext
 from quizloom.schemas import EXAM_QUESTION_COLUMNS
 from quizloom.sinks.export import formats, write_per_exam, write_sorted
-from quizloom.staging import staged, staged_with_row
+from quizloom.staging import scratch, staged, staged_with_row
 
 NUMBERED_KEYS = ["area", "edition", "year", "source_format"]
 DATED_KEYS = ["edition", "year", "semester", "reapplication", "source_format", "subject"]
@@ -130,10 +130,11 @@ def write_dataset(
 ) -> str:
     """Export the dataset and its per-exam folders; returns the main path."""
     formats(fmt)
-    table = staged_with_row(rows, name)
-    order = ordering.dataset_order("number_first", missing_edition)
-    main = write_sorted(table, f"{folder.rstrip('/')}/{name}", fmt, order)
-    write_per_exam(table, folder, fmt)
+    with scratch(rows.sparkSession):
+        table = staged_with_row(rows, name)
+        order = ordering.dataset_order("number_first", missing_edition)
+        main = write_sorted(table, f"{folder.rstrip('/')}/{name}", fmt, order)
+        write_per_exam(table, folder, fmt)
     return main
 
 
@@ -145,14 +146,16 @@ def build_all(
     folder: str,
     fmt: str = "jsonl",
 ) -> tuple[str, str]:
-    """Both series as separate outputs, the dated one first."""
-    dated = finished(dated_series_rows(page_questions(dated_pages)), DATED_KEYS)
-    numbered = finished(
-        numbered_series_rows(raw_blocks, page_questions(numbered_pages)), NUMBERED_KEYS
-    )
+    """Both series as separate outputs, the dated one first. What they staged is deleted."""
     base = folder.rstrip("/")
-    first = write_dataset(dated, f"{base}/{DATED_SERIES}", f"{DATED_SERIES}-exams", fmt, "")
-    second = write_dataset(
-        numbered, f"{base}/{NUMBERED_SERIES}", f"{NUMBERED_SERIES}-exams", fmt
-    )
+    with scratch(spark):
+        dated = finished(dated_series_rows(page_questions(dated_pages)), DATED_KEYS)
+        first = write_dataset(dated, f"{base}/{DATED_SERIES}", f"{DATED_SERIES}-exams", fmt, "")
+    with scratch(spark):
+        numbered = finished(
+            numbered_series_rows(raw_blocks, page_questions(numbered_pages)), NUMBERED_KEYS
+        )
+        second = write_dataset(
+            numbered, f"{base}/{NUMBERED_SERIES}", f"{NUMBERED_SERIES}-exams", fmt
+        )
     return first, second

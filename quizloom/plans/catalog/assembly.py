@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quizloom.functions.names import question_id
 from quizloom.operators import assemble, enrich, pairing, rawtext
+from quizloom.operators.ordering import with_position
 from quizloom.plans.catalog.registry import (
     JOINED_SQL,
     joined,
@@ -12,6 +13,7 @@ from quizloom.plans.catalog.registry import (
     table,
 )
 from quizloom.sinks.export import tabular
+from quizloom.staging import staged
 
 DOCUMENT_KEY = "concat('set-', doc_id % 16)"
 
@@ -74,6 +76,7 @@ def benchmark_blocks(spark, sf_dir):
 
 @query(
     f"""
+    SELECT *, row_number() OVER (ORDER BY question_number, exam_source, id, branch) AS position FROM (
     WITH parts AS (
         SELECT source AS exam, doc_id // 40 AS numero, doc_id AS page, lang, text,
             string_split(text, chr(10)) AS alts FROM documents),
@@ -103,12 +106,12 @@ def benchmark_blocks(spark, sf_dir):
         md5(trim(regexp_replace(text, '\\s*\\n\\s*', ' ', 'g'))),
         md5('A:' || length(text) || '|B:' || md5(text)), 2, 'B', false,
         ['ETHICS', 'PHILOSOPHY', 'NI', 'NI'][item_id % 4 + 1]
-    FROM benchmark
+    FROM benchmark)
     """
 )
 def build_dataset(spark, sf_dir):
     """Both branches: stitched, answered, labelled by range, united, in dataset order."""
-    parts = document_parts(spark, sf_dir)
+    parts = staged(document_parts(spark, sf_dir), "document-parts")
     labels = table(spark, sf_dir, "labels")
     sources = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("exam"))
     answered = labels.join(sources, "doc_id").select(
@@ -142,11 +145,10 @@ def build_dataset(spark, sf_dir):
         "nullified",
         "area",
     ]
-    return (
-        page_rows.select(F.lit("page").alias("branch"), *columns)
-        .unionByName(text_rows.select(F.lit("text").alias("branch"), *columns))
-        .orderBy("question_number", "exam_source", "id")
+    rows = page_rows.select(F.lit("page").alias("branch"), *columns).unionByName(
+        text_rows.select(F.lit("text").alias("branch"), *columns)
     )
+    return with_position(rows, [F.col(name) for name in ("question_number", "exam_source", "id", "branch")])
 
 
 PAIRING_SQL = """
@@ -165,9 +167,15 @@ def conversation_files(spark, sf_dir):
     return pairing.documents_by_base(listing, "-user", "-system")
 
 
-@query(PAIRING_SQL + "SELECT exam_name, exam_path, key_path FROM e JOIN k USING (exam_name)")
+@query(
+    PAIRING_SQL
+    + """SELECT exam_name, exam_path, key_path, row_number() OVER (ORDER BY exam_path) AS position
+    FROM e JOIN k USING (exam_name)"""
+)
 def pair_documents(spark, sf_dir):
-    return pairing.pairs(conversation_files(spark, sf_dir)).orderBy("exam_path")
+    """Pairs with their place in path order."""
+    found = pairing.pairs(conversation_files(spark, sf_dir))
+    return with_position(found, [F.col("exam_path")])
 
 
 @query(PAIRING_SQL + "SELECT exam_name, exam_path FROM e ANTI JOIN k USING (exam_name)")
@@ -177,22 +185,18 @@ def orphan_documents(spark, sf_dir):
 
 @query(
     """
-    WITH pages AS (
-        SELECT source, doc_id,
-            list_filter(string_split(text, chr(10)), lambda x: length(x) >= 60) AS ls
-        FROM documents),
-    rows AS (
-        SELECT source, doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line FROM pages)
+    WITH rows AS (
+        SELECT source, doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos,
+            unnest(string_split(text, chr(10))) AS line FROM documents)
     SELECT source AS exam, doc_id AS page, pos::int AS pos, pos::int + 1 AS numero,
         md5(line) AS statement_md5
     FROM rows
     """
 )
 def explode_pages(spark, sf_dir):
-    """Long lines of a document as its questions; some documents have none."""
-    long_lines = F.filter(F.split("text", "\n"), lambda line: F.length(line) >= 60)
+    """Every line of a document as its questions; benchmark items as pages without any, or with null."""
     questions = F.transform(
-        long_lines,
+        F.split("text", "\n"),
         lambda line, i: F.struct(
             (i + 1).alias("numero"),
             line.alias("enunciado"),
@@ -202,7 +206,11 @@ def explode_pages(spark, sf_dir):
     pages = table(spark, sf_dir, "documents").select(
         F.col("source").alias("exam"), F.col("doc_id").alias("page"), questions.alias("questoes")
     )
-    return assemble.explode_questions(pages).select(
+    none = F.when(F.col("item_id") % 2 == 0, F.array().cast(pages.schema["questoes"].dataType))
+    empty = table(spark, sf_dir, "benchmark").select(
+        F.lit("empty").alias("exam"), F.col("item_id").alias("page"), none.alias("questoes")
+    )
+    return assemble.explode_questions(pages.unionByName(empty)).select(
         "exam", "page", "pos", "numero", F.md5("enunciado").alias("statement_md5")
     )
 
@@ -236,18 +244,46 @@ def merge_split_questions(spark, sf_dir):
 
 @query(
     """
-    SELECT source AS exam, doc_id // 40 AS numero, doc_id // 1000 AS piece,
-        md5(string_agg(text, ' ' ORDER BY doc_id)) AS statement_md5, count(*) AS parts
-    FROM documents GROUP BY ALL
+    WITH p AS (
+        SELECT source AS exam, doc_id // 40 AS numero, doc_id, text,
+            (row_number() OVER (ORDER BY source, doc_id // 40, doc_id) - 1) // 7 AS piece
+        FROM documents)
+    SELECT exam, numero, piece, md5(string_agg(text, ' ' ORDER BY doc_id)) AS statement_md5,
+        count(*) AS parts
+    FROM p GROUP BY ALL
     """
 )
 def question_pieces(spark, sf_dir):
-    """The long form of a question, one row per run of pages."""
-    return assemble.question_pieces(document_parts(spark, sf_dir)).select(
+    """The long form of a question, one row per run of parts."""
+    return assemble.question_pieces(document_parts(spark, sf_dir), parts_per_piece=7).select(
         "exam", "numero", "piece", F.md5("enunciado").alias("statement_md5"), "parts"
     )
 
 
+@query(
+    f"""
+    WITH p AS (
+        SELECT source AS exam, doc_id // 4000 AS numero, doc_id AS page, text,
+            string_split(text, chr(10)) AS alts FROM documents),
+    m AS (
+        SELECT exam, numero, string_agg(text, ' ' ORDER BY page) AS statement,
+            arg_max(alts, {{'s': len(alts), 'p': page}}) AS alts, count(*) AS parts FROM p GROUP BY ALL)
+    SELECT exam, numero, md5(statement) AS statement_md5, md5({JOINED_SQL}) AS alternatives_md5, parts FROM m
+    """
+)
+def merge_hot_questions(spark, sf_dir):
+    """Questions of many parts, stitched in two steps of several pieces each."""
+    parts = document_parts(spark, sf_dir).withColumn("numero", F.expr("page div 4000"))
+    merged = assemble.merge_split_questions(parts, min_hot_parts=5, parts_per_piece=3)
+    return merged.select(
+        "exam",
+        "numero",
+        F.md5("enunciado").alias("statement_md5"),
+        F.md5(joined("alternativas", "letra", "texto")).alias("alternatives_md5"),
+        "parts",
+    )
+
+
 @query(TURNS_SQL + "SELECT exam, sum(parts - 1)::bigint AS splits FROM merged GROUP BY exam")
 def split_count(spark, sf_dir):
     return assemble.split_count(assemble.merge_split_questions(turn_parts(spark, sf_dir)))

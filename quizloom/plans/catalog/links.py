@@ -27,9 +27,28 @@ def link_extract(spark, sf_dir):
     return links.link_rows(page_links(spark, sf_dir)).drop("url")
 
 
-@query(LINKS_SQL + "SELECT page_id, pos, root || href AS url FROM l")
+@query(
+    LINKS_SQL
+    + """SELECT page_id, pos, root || href AS url FROM l
+    UNION ALL
+    SELECT page_id, unnest(range(6))::int - 6, unnest(['https://other.org/' || page_id || '.pdf',
+        root || '/docs/' || page_id || '.pdf', root || '/b/' || page_id || '.pdf?x=1#f',
+        split_part(root, '//', 1) || '//cdn.org/' || page_id || '.pdf', root || '/?f=' || page_id || '.pdf',
+        root || '/up.pdf'])
+    FROM (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS root FROM pages)"""
+)
 def link_resolve(spark, sf_dir):
-    return links.link_rows(page_links(spark, sf_dir)).select("page_id", "pos", "url")
+    """The pages' links, and six made from each page: absolute, relative, dots, other host, query, above the root.
+
+    Those are picked by the default needle; the seventh isn't.
+    """
+    made = """concat('<a href="https://other.org/', page_id, '.pdf">1</a><a href="docs/', page_id, '.pdf">2</a>',
+        '<a href="/a/../b/./', page_id, '.pdf?x=1#f">3</a><a href="//cdn.org/', page_id, '.pdf">4</a>',
+        '<a href="?f=', page_id, '.pdf">5</a><a href="/../up.pdf">6</a><a href="/x.html">7</a>')"""
+    own = links.link_rows(page_links(spark, sf_dir)).select("page_id", "pos", "url")
+    crafted = table(spark, sf_dir, "pages").withColumn("html", F.expr(made))
+    rows = links.link_rows(links.with_links(crafted))
+    return own.unionByName(rows.select("page_id", (F.col("pos") - 6).alias("pos"), "url"))
 
 
 @query(

@@ -126,19 +126,22 @@ def export_per_edition(spark, sf_dir):
 
 @query(
     """
-    SELECT printf('%s-%03d', source, doc_id) AS id, lang AS branch, md5(text) AS statement_md5
+    SELECT printf('%s-%03d', source, doc_id) AS id,
+        CASE WHEN lang IN ('de', 'en') THEN lang ELSE 'rest' END AS branch, md5(text) AS statement_md5
     FROM documents
     UNION ALL SELECT printf('%s-%03d', source, doc_id), 'again', md5(text) FROM documents
     WHERE lang = 'en'
     """
 )
 def union_branches(spark, sf_dir):
-    """One branch per language and one twice: equal ids are all kept."""
+    """Two languages, all other rows, and one language again: equal ids are all kept."""
     documents = table(spark, sf_dir, "documents")
+    named = F.coalesce(F.col("lang").isin("de", "en"), F.lit(False))
     branches = [
         core_rows(documents.where(F.col("lang") == lang)).withColumn("branch", F.lit(lang))
-        for lang in ("de", "en", "es", "fr")
+        for lang in ("de", "en")
     ]
+    branches.append(core_rows(documents.where(~named)).withColumn("branch", F.lit("rest")))
     again = core_rows(documents.where("lang = 'en'")).withColumn("branch", F.lit("again"))
     rows = reduce(lambda a, b: a.unionByName(b), [*branches, again])
     return rows.select("id", "branch", F.md5("statement").alias("statement_md5"))

@@ -75,33 +75,66 @@ def parse_raw_text(spark, sf_dir):
 
 @query(
     """
-    WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
-    SELECT 'empty statement' AS reason, count(*) AS blocks FROM l
-    WHERE regexp_replace(line, '^\\s+|\\s+$', '', 'g') = '' HAVING count(*) > 0
-    UNION ALL SELECT 'bad header', count(*) FROM documents
-    UNION ALL SELECT 'no options', count(*) FROM documents
+    WITH l AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+    t AS (SELECT doc_id, regexp_replace(line, '^\\s+|\\s+$', '', 'g') = '' AS blank FROM l),
+    r AS (
+        SELECT CASE WHEN doc_id % 2 = 0 THEN 'bad header' ELSE 'empty block' END AS reason FROM documents
+        UNION ALL SELECT 'no options' FROM documents
+        UNION ALL SELECT 'empty statement' FROM documents WHERE doc_id % 3 = 0
+        UNION ALL SELECT CASE WHEN blank THEN 'empty statement' ELSE 'bad file name' END
+        FROM t WHERE blank OR doc_id % 7 = 0)
+    SELECT reason, count(*) AS blocks FROM r GROUP BY reason
     """
 )
 def rejected_blocks(spark, sf_dir):
-    """Texts with a preamble, and with a last block that has no options."""
-    texts = raw_texts(spark, sf_dir).withColumn(
-        "value", F.concat(F.lit("intro\n"), "value", F.lit("\nQuestão 999\n\nsem opções\n"))
+    """Every reason: a preamble, blank or not, blocks without options or statement, names without a year."""
+    value = """concat(if(doc_id % 2 = 0, 'intro', ''), '\n', {text}, '\nQuestão 999\n\nsem opções\n',
+        if(doc_id % 3 = 0, 'Questão 998\n\nAREA ETHICS\n\nOPTIONS\n\nA) x\n', ''))"""
+    texts = table(spark, sf_dir, "documents").select(
+        F.expr(f"if(doc_id % 7 = 0, 'notes', {STEM})").alias("stem"),
+        F.expr(value.format(text=FILE_TEXT)).alias("value"),
     )
     rejected = parsing.rejected_blocks(parsing.parse_blocks(parsing.blocks_of_texts(texts)))
     return rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("blocks"))
 
 
-@query(PARSED_SQL.format(stem="printf('2010-%02d', doc_id % 20 + 1)", edition="doc_id % 20 + 1"))
+FILES_SQL = """
+    SELECT *, NULL::varchar AS reason FROM ({good})
+    UNION ALL BY NAME
+    SELECT printf('%d-%02d', 2000 + g, g % 25 + 1) AS stem, unnest(['bad header', 'no options']) AS reason,
+        unnest([md5('intro ' || g), md5('Questão 999' || chr(10) || chr(10) || 'sem opções')]) AS statement_md5
+    FROM (SELECT DISTINCT doc_id // 50 AS g FROM documents)
+"""
+
+
+@query(
+    FILES_SQL.format(
+        good=PARSED_SQL.format(
+            stem="printf('%d-%02d', 2000 + doc_id // 50, doc_id // 50 % 25 + 1)",
+            edition="doc_id // 50 % 25 + 1",
+        )
+    )
+)
 def raw_text_files(spark, sf_dir):
-    """The same texts written to files, then read in parallel splits."""
+    """The same texts, fifty to a file, with preambles and all line ends, read in splits that cut blocks."""
     folder = staging_path(spark, "raw-text")
     texts = table(spark, sf_dir, "documents").select(
-        F.expr("format_string('2010-%02d', doc_id % 20 + 1)").alias("stem"),
-        F.expr(FILE_TEXT).alias("value"),
+        F.expr("doc_id div 50").alias("g"), "doc_id", F.expr(FILE_TEXT).alias("value")
     )
-    texts.write.partitionBy("stem").text(folder)
-    blocks = raw_blocks(spark, folder, whole_file_limit=0, stem_from="folder")
-    return parsed_columns(parsing.good_questions(parsing.parse_blocks(blocks)))
+    joined = texts.groupBy("g").agg(F.expr("array_join(transform(array_sort(collect_list(struct(doc_id, value))), x -> x.value), '\n')").alias("value"))
+    whole = F.expr("concat('intro ', g, '\n', value, '\nQuestão 999\n\nsem opções')")
+    end = F.expr("element_at(array('\n', '\r\n', '\r'), cast(g % 3 + 1 as int))")
+    stem = F.expr("format_string('%d-%02d', 2000 + g, g % 25 + 1)").alias("stem")
+    joined.select(stem, F.replace(whole, F.lit("\n"), end).alias("value")).write.partitionBy("stem").text(folder)
+    # A session of its own, for splits far smaller than the files.
+    small = spark.newSession()
+    small.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    small.conf.set("spark.sql.files.openCostInBytes", "0")
+    parsed = parsing.parse_blocks(raw_blocks(small, folder, stem_from="folder"))
+    good = parsed_columns(parsing.good_questions(parsed))
+    bad = parsing.rejected_blocks(parsed).select("stem", "reason", F.md5("block").alias("statement_md5"))
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 OPTIONS_TEXT = """concat('A) ', p_name, '\nB', if(p_size % 2 = 0, ':CORRECT', ''), ')\t', p_brand,

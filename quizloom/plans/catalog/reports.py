@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quizloom.operators import report, usage
+from quizloom.operators.ordering import with_position
 from quizloom.plans.catalog.registry import query, table
 
 USAGE_SQL = """
@@ -79,12 +80,14 @@ def event_pages(spark, sf_dir):
 @query(
     PAGES_SQL
     + """SELECT exam, (doc_kind = 'gabarito')::int AS kind_rank, page,
-        CASE WHEN doc_kind = 'gabarito' THEN 'gab-' ELSE '' END || page AS label
+        CASE WHEN doc_kind = 'gabarito' THEN 'gab-' ELSE '' END || page AS label,
+        row_number() OVER (ORDER BY exam, doc_kind = 'gabarito', page) AS position
     FROM p WHERE failed"""
 )
 def failed_pages(spark, sf_dir):
-    """Failed pages per exam, exam pages before key pages, each by number."""
-    return report.failed_pages(event_pages(spark, sf_dir)).orderBy("exam", "kind_rank", "page")
+    """Failed pages in order: by exam, exam pages before key pages, each by number."""
+    found = report.failed_pages(event_pages(spark, sf_dir))
+    return with_position(found, [F.col(name) for name in ("exam", "kind_rank", "page")])
 
 
 @query(

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from quizloom.functions import payload
 from quizloom.functions.names import question_id
-from quizloom.operators import assemble, manifest, payloads, report, resume
+from quizloom.operators import assemble, manifest, pairing, payloads, report, resume
 from quizloom.plans import builds
 from quizloom.plans.catalog.registry import query, table
-from quizloom.schemas import ALTERNATIVES, PAGE_TABLE
-from quizloom.sources.files import explode_manifest
+from quizloom.schemas import ALTERNATIVES
+from quizloom.sources.files import document_listing, explode_manifest, page_files, page_images
+from quizloom.sources.files import manifest as scan_manifest_files
 from quizloom.staging import staging_path
 from quizloom.streaming import ingest
 
@@ -375,7 +376,7 @@ def completeness_totals(spark, sf_dir):
 @query(
     "SELECT source AS exam, doc_id AS page, md5(to_base64(encode(text))) AS data_md5 FROM documents"
 )
-def page_payloads(spark, sf_dir):
+def page_base64(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         F.col("source").alias("exam"),
         F.col("doc_id").alias("page"),
@@ -405,55 +406,165 @@ def request_table(spark, sf_dir):
 
 
 def arriving_pages(spark, sf_dir):
-    """Events as page payloads of one question each, in two drops."""
-    text = """concat('{"questoes":[{"numero":', get_json_object(props, '$.k'), ',"enunciado":"', event_type, '"}]}')"""
-    return table(spark, sf_dir, "events").select(
-        F.expr("concat('user-', user_id)").alias("exam"),
+    """Events as page payloads of one question each, in two drops.
+
+    Some pages are broken; of those, some arrive again in the second drop and are good.
+    Without an error the flag is often left out.
+    """
+    good = """concat('{"questoes":[{"numero":', get_json_object(props, '$.k'), ',"enunciado":"', event_type, '"}]}')"""
+    events = table(spark, sf_dir, "events")
+    columns = [
+        F.expr("if(event_id % 11 = 8, null, concat('user-', user_id))").alias("exam"),
         F.lit("prova").alias("doc_kind"),
         F.col("event_id").cast("int").alias("page"),
-        F.expr(text).alias("payload"),
-        F.expr("event_type = 'error'").alias("failed"),
-        (F.col("event_id") % 2).alias("drop"),
+        F.expr("if(event_type = 'error', true, if(event_id % 3 = 0, null, false))").alias("failed"),
+    ]
+    broken = F.when(F.col("event_id") % 11 == 5, F.lit("{broken")).otherwise(F.expr(good))
+    once = events.select(*columns, broken.alias("payload"), (F.col("event_id") % 2).alias("drop"))
+    again = events.where("event_id % 22 = 16").select(
+        *columns, F.expr(good).alias("payload"), F.lit(1).cast("long").alias("drop")
     )
+    return once.unionByName(again)
+
+
+STORED_SQL = "event_type <> 'error' AND (event_id % 11 NOT IN (5, 8) OR event_id % 22 = 16)"
+
+
+def ingested(spark, sf_dir):
+    """Two drops, each taken in twice, as JSON lines of which some can't be read; the folder it all is in."""
+    base = staging_path(spark, "ingest")
+    line = F.to_json(F.struct("exam", "doc_kind", "page", "payload", "failed"))
+    line = (
+        F.when(F.col("page") % 11 == 6, F.replace(line, F.lit('"page":'), F.lit('"page":"x",:')))
+        .when(F.col("page") % 11 == 7, F.replace(line, F.lit('"page":'), F.lit('"page":"3x","was":')))
+        .otherwise(line)
+    )
+    lines = arriving_pages(spark, sf_dir).select("drop", line.alias("value"))
+    for drop in (0, 1):
+        lines.where(F.col("drop") == drop).select("value").write.mode("append").text(f"{base}/drops")
+        for _ in range(2):
+            ingest.ingest_new_pages(spark, f"{base}/drops", f"{base}/pages", f"{base}/checkpoint")
+            ingest.refresh_questions(spark, f"{base}/pages", f"{base}/questions")
+    ingest.drop_superseded(spark, f"{base}/questions")
+    return base
 
 
 @query(
-    """
+    f"""
     SELECT 'user-' || user_id AS exam_source, json_extract_string(props, '$.k')::bigint AS question_number,
         string_agg(event_type, ' ' ORDER BY event_id) AS statement, true AS nullified
-    FROM events WHERE event_type <> 'error' GROUP BY ALL
+    FROM events WHERE {STORED_SQL} AND event_id % 11 NOT IN (6, 7) GROUP BY ALL
     """
 )
 def incremental_ingest(spark, sf_dir):
-    """Two drops, each taken in once; the second rebuilds the exams it touches."""
-    base = staging_path(spark, "ingest")
-    drops, pages, questions = f"{base}/drops", f"{base}/pages", f"{base}/questions"
-    arriving = arriving_pages(spark, sf_dir)
-    for drop in (0, 1):
-        arriving.where(F.col("drop") == drop).drop("drop").write.mode("append").json(drops)
-        ingest.ingest_new_pages(spark, drops, pages, f"{base}/checkpoint")
-        ingest.refresh_questions(spark, pages, questions)
-    rows = ingest.current_questions(spark, questions)
+    """The second drop rebuilds what it touches; bad lines and pages are set aside."""
+    rows = ingest.current_questions(spark, f"{ingested(spark, sf_dir)}/questions")
     return rows.select("exam_source", "question_number", "statement", "nullified")
 
 
 @query(
     """
-    SELECT 'user-' || user_id AS exam, 'prova' AS doc_kind, event_id::int AS page, event_type AS payload
-    FROM events WHERE event_type <> 'error'
+    SELECT CASE WHEN event_id % 11 IN (6, 7) THEN 'malformed line' WHEN event_id % 11 = 8 THEN 'missing key'
+        ELSE 'not JSON' END AS reason, count(*) AS lines
+    FROM events WHERE event_id % 11 IN (6, 7, 8) OR (event_id % 11 = 5 AND event_type <> 'error') GROUP BY ALL
+    """
+)
+def ingest_quarantine(spark, sf_dir):
+    """What the ingest could not store, each line once."""
+    aside = spark.read.parquet(f"{ingested(spark, sf_dir)}/pages-quarantine")
+    return aside.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query(
+    f"""
+    SELECT 'user-' || user_id AS exam, 'prova' AS doc_kind, event_id::int AS page, event_type AS statement
+    FROM events WHERE {STORED_SQL}
     """
 )
 def append_pages(spark, sf_dir):
-    """Successful pages are added once, however often the run is repeated."""
+    """Good pages are added once, however often the run is repeated; a bad one can be mended later."""
     path = staging_path(spark, "page-table")
-    fresh = arriving_pages(spark, sf_dir).select(
-        "exam",
-        "doc_kind",
-        "page",
-        F.regexp_extract("payload", '"enunciado":"(.*)"}]}', 1).alias("payload"),
-        "failed",
-        "drop",
-    )
+    fresh = arriving_pages(spark, sf_dir)
     resume.append_new_pages(fresh.where(F.col("drop") == 0), path)
     resume.append_new_pages(fresh, path)
-    return spark.read.schema(PAGE_TABLE).parquet(path)
+    resume.append_new_pages(fresh, path)
+    statement = F.get_json_object("payload", "$.questoes[0].enunciado").alias("statement")
+    return resume.read_page_table(spark, path).select("exam", "doc_kind", "page", statement)
+
+
+def write_files(rows):
+    """Write each row's ``content`` to its ``path``, from the executors."""
+
+    def write(part):
+        from pyarrow import fs
+
+        for row in part:
+            system, path = fs.FileSystem.from_uri(row["path"])
+            system.create_dir(path.rsplit("/", 1)[0])
+            with system.open_output_stream(path) as file:
+                file.write(bytes(row["content"]))
+
+    rows.select("path", F.col("content").cast("binary").alias("content")).foreachPartition(write)
+
+
+def item_files(spark, sf_dir, name, path, content="text"):
+    """One file per benchmark item below a new folder, which is returned."""
+    base = staging_path(spark, name)
+    items = table(spark, sf_dir, "benchmark")
+    write_files(items.select(F.concat(F.lit(f"{base}/"), F.expr(path)).alias("path"), F.expr(content).alias("content")))
+    return base
+
+
+@query(
+    """
+    SELECT CASE WHEN item_id % 10 <> 7 THEN 'exam-' || item_id % 5 END AS exam,
+        CASE WHEN item_id % 10 = 7 THEN NULL WHEN item_id % 10 = 8 THEN 'other'
+            WHEN item_id % 2 = 0 THEN 'prova' ELSE 'gabarito' END AS doc_kind,
+        CASE WHEN item_id % 10 <> 7 THEN item_id::int END AS page, md5(text) AS payload_md5,
+        CASE item_id % 10 WHEN 7 THEN 'not <exam>/<kind>/page-NN.json' WHEN 8 THEN 'unknown kind' END AS reason
+    FROM benchmark
+    """
+)
+def scan_payloads(spark, sf_dir):
+    """Page files by name; some have another name or lie below an unknown kind."""
+    path = """concat('exam-', item_id % 5, '/', if(item_id % 10 = 8, 'other', if(item_id % 2 = 0, 'prova', 'gabarito')),
+        '/page-', if(item_id % 10 = 7, 'x', ''), item_id, '.json')"""
+    files = page_files(spark, item_files(spark, sf_dir, "page-files", path))
+    return files.select("exam", "doc_kind", "page", F.md5("payload").alias("payload_md5"), "reason")
+
+
+@query(
+    """
+    SELECT 'd' || item_id // 2 AS name, max(strlen(text)) FILTER (WHERE item_id % 2 = 0) AS exam_bytes,
+        max(strlen(text)) FILTER (WHERE item_id % 2 = 1 AND item_id % 3 > 0) AS key_bytes
+    FROM benchmark WHERE item_id % 2 = 0 OR item_id % 3 > 0 GROUP BY ALL HAVING exam_bytes IS NOT NULL
+    """
+)
+def scan_documents(spark, sf_dir):
+    """Documents of a folder by pairs, with sizes; some keys are no PDF, so their exams stay alone."""
+    path = """concat('d', item_id div 2, if(item_id % 2 = 0, '-prova', '-gabarito'),
+        if(item_id % 2 = 1 and item_id % 3 = 0, '.txt', '.pdf'))"""
+    listing = document_listing(spark, item_files(spark, sf_dir, "documents", path))
+    documents = pairing.documents_by_base(listing).where("exam_path IS NOT NULL")
+    sizes = [listing.select(F.col("path").alias(f"{k}_path"), F.col("length").alias(f"{k}_bytes")) for k in ("exam", "key")]
+    found = documents.join(sizes[0], "exam_path").join(sizes[1], "key_path", "left")
+    return found.select(F.col("exam_name").alias("name"), "exam_bytes", "key_bytes")
+
+
+@query("SELECT item_id AS page, md5(to_base64(encode(text))) AS data_md5 FROM benchmark WHERE item_id % 9 <> 4")
+def scan_images(spark, sf_dir):
+    """Page images below a folder, of one kind of file only."""
+    path = "concat('p/', item_id % 3, '/page-', item_id, if(item_id % 9 = 4, '.jpg', '.png'))"
+    images = page_images(spark, item_files(spark, sf_dir, "images", path))
+    return images.select(
+        F.regexp_extract("path", r"page-(\d+)\.png", 1).cast("long").alias("page"),
+        F.md5(payloads.base64_text(F.col("content"))).alias("data_md5"),
+    )
+
+
+@query("SELECT item_id::int AS edition, 'p' || length(text) AS prova_url, CASE WHEN item_id % 4 > 0 THEN 'k' END AS gabarito_url FROM benchmark")
+def scan_manifest(spark, sf_dir):
+    """A folder of manifests."""
+    content = """concat('{"', item_id, '": {"prova_url": "p', length(text), '"',
+        if(item_id % 4 > 0, ', "gabarito_url": "k"', ''), '}}')"""
+    return scan_manifest_files(spark, item_files(spark, sf_dir, "manifests", "concat('m', item_id, '.json')", content))

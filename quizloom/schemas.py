@@ -34,5 +34,5 @@ MANIFEST_JSON = "map<string,struct<prova_url:string,gabarito_url:string>>"
 PAGE_KEYS = ["exam", "doc_kind", "page"]
 PAGE_TABLE = "exam string, doc_kind string, page int, payload string"
 
-# The note a build of the question table leaves on each exam it holds.
-BUILT_EXAM = "exam string, pages long"
+# The note a build of the question table leaves on each bucket it holds.
+BUILT_BUCKET = "bucket int, pages long"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quizloom.schemas import EXAM_QUESTION_COLUMNS
-from quizloom.staging import ROW, staged_with_row
+from quizloom.staging import ROW, scratch, staged_with_row
 
 FORMATS = {"jsonl": ["jsonl"], "csv": ["csv"], "both": ["jsonl", "csv"]}
 PER_EXAM_FOLDER = "per-edition"
@@ -83,7 +83,8 @@ def export(
     without being parsed and joined anew.
     """
     formats(fmt)
-    return write_sorted(staged_with_row(rows, "export"), path, fmt, order)
+    with scratch(rows.sparkSession):
+        return write_sorted(staged_with_row(rows, "export"), path, fmt, order)
 
 
 def export_per_exam(rows: DataFrame, folder: str, fmt: str = "jsonl") -> str:
@@ -94,4 +95,5 @@ def export_per_exam(rows: DataFrame, folder: str, fmt: str = "jsonl") -> str:
     copy, so ``exam_source`` stays in the files.
     """
     formats(fmt)
-    return write_per_exam(staged_with_row(rows, "export"), folder, fmt)
+    with scratch(rows.sparkSession):
+        return write_per_exam(staged_with_row(rows, "export"), folder, fmt)

@@ -1,8 +1,10 @@
 """Tables written to the cluster's shared folder to cut lineage."""
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +37,37 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark writes to; one that isn't there is no error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(folder, True)
+
+
+# The tables that each open ``scratch`` block has staged.
+_open: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged within the block when it ends.
+
+    For steps that write their result themselves: nothing may read the staged tables later.
+    """
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            removed(spark, path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back."""
     spark = df.sparkSession
     path = staging_path(spark, name)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,31 +1,38 @@
-"""Take in new page payloads as they arrive and rebuild the exams they touch."""
+"""Take in new page payloads as they arrive and rebuild the questions of the buckets they touch."""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quizloom.operators.resume import append_new_pages, read_page_table
+from quizloom.operators.resume import append_new_pages, bucket_of, read_page_table
 from quizloom.plans.builds import page_questions
-from quizloom.schemas import BUILT_EXAM, PAGE_TABLE, QUESTION
-from quizloom.staging import staged
+from quizloom.schemas import BUILT_BUCKET, PAGE_TABLE, QUESTION
+from quizloom.staging import removed, scratch
 
 
 def ingest_new_pages(
-    spark: SparkSession, drop_folder: str, page_table: str, checkpoint: str, files_per_batch: int = 1_000
+    spark: SparkSession,
+    drop_folder: str,
+    page_table: str,
+    checkpoint: str,
+    files_per_batch: int = 1_000,
+    quarantine: str | None = None,
 ) -> None:
     """Append the pages of new drop files, then stop.
 
     Drop files hold JSON lines ``exam, doc_kind, page, payload, failed``. The
     checkpoint remembers the files taken; a batch that is repeated after a failure
-    adds nothing twice, since known pages are left out.
+    adds nothing twice. Lines that can't be read or stored go, with the reason, to the
+    table at ``quarantine``, by default ``<page_table>-quarantine``.
     """
     arriving = (
-        spark.readStream.schema(f"{PAGE_TABLE}, failed boolean")
+        spark.readStream.schema(f"{PAGE_TABLE}, failed boolean, _corrupt_record string")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(drop_folder)
     )
+    aside = quarantine or f"{page_table}-quarantine"
     query = (
-        arriving.writeStream.foreachBatch(lambda batch, _: append_new_pages(batch, page_table))
+        arriving.writeStream.foreachBatch(lambda batch, n: append_new_pages(batch, page_table, aside, n))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -43,40 +50,53 @@ def _builds(spark: SparkSession, question_table: str, part: str, schema: str) ->
         return spark.createDataFrame([], f"{schema}, build int")
 
 
-def exams_out_of_date(pages: DataFrame, built: DataFrame) -> DataFrame:
-    """``exam, pages`` of exams that have other pages than at their last build."""
-    last = built.groupBy("exam").agg(F.max_by("pages", "build").alias("built_pages"))
-    return (
-        pages.groupBy("exam")
-        .agg(F.count(F.lit(1)).alias("pages"))
-        .join(last, "exam", "left")
-        .where(F.coalesce("built_pages", F.lit(0)) != F.col("pages"))
-        .select("exam", "pages")
-    )
+def _newest(spark: SparkSession, question_table: str) -> dict[int, tuple[int, int]]:
+    """The newest build of each bucket, and its pages then: a row per bucket at most."""
+    notes = _builds(spark, question_table, "buckets", BUILT_BUCKET)
+    newest = notes.groupBy("bucket").agg(F.max(F.struct("build", "pages")).alias("last")).collect()
+    return {r["bucket"]: (r["last"]["build"], r["last"]["pages"]) for r in newest}
 
 
 def refresh_questions(spark: SparkSession, page_table: str, question_table: str) -> None:
-    """Rebuild the questions of exams with new pages; other exams stay as they are.
+    """Rebuild the questions of buckets with new pages; the others aren't read.
 
-    A late page can change a question stitched earlier, so an exam is rebuilt whole.
-    Each refresh writes one new build and then notes its exams. One that fails
-    before the note is made again under the same number, over what it left.
+    A late page can change a question stitched earlier, so a bucket is rebuilt whole.
+    Pages are counted by bucket, which takes no column of the table. Each refresh writes
+    one new build and then notes its buckets. One that fails before the note is made again
+    under the same number, over what it left.
     """
+    newest = _newest(spark, question_table)
     pages = read_page_table(spark, page_table)
-    built = _builds(spark, question_table, "exams", BUILT_EXAM)
-    stale = staged(exams_out_of_date(pages, built), "stale-exams")
-    build = (built.agg(F.max("build")).first()[0] or 0) + 1
-    rows = page_questions(pages.join(stale, "exam", "left_semi"))
-    rows.write.mode("overwrite").parquet(f"{question_table}/questions/build={build}")
-    stale.write.mode("overwrite").parquet(f"{question_table}/exams/build={build}")
+    counts = {r["bucket"]: r["count"] for r in pages.groupBy("bucket").count().collect()}
+    stale = {b: n for b, n in counts.items() if newest.get(b, (0, 0))[1] != n}
+    if not stale:
+        return
+    build = max((b for b, _ in newest.values()), default=0) + 1
+    with scratch(spark):
+        rows = page_questions(read_page_table(spark, page_table, sorted(stale)))
+        (
+            rows.withColumn("bucket", bucket_of(F.col("exam_source")))
+            .write.mode("overwrite")
+            .partitionBy("bucket")
+            .parquet(f"{question_table}/questions/build={build}")
+        )
+    notes = spark.createDataFrame(sorted(stale.items()), BUILT_BUCKET).coalesce(1)
+    notes.write.mode("overwrite").parquet(f"{question_table}/buckets/build={build}")
 
 
 def current_questions(spark: SparkSession, question_table: str) -> DataFrame:
-    """Questions of each exam's newest build."""
-    newest = (
-        _builds(spark, question_table, "exams", BUILT_EXAM)
-        .groupBy(F.col("exam").alias("exam_source"))
-        .agg(F.max("build").alias("build"))
-    )
-    rows = _builds(spark, question_table, "questions", QUESTION)
-    return rows.join(newest, ["exam_source", "build"], "left_semi").drop("build")
+    """Questions of each bucket's newest build; no older build is read."""
+    current = F.lit(False)
+    for bucket, (build, _) in sorted(_newest(spark, question_table).items()):
+        current = current | ((F.col("build") == build) & (F.col("bucket") == bucket))
+    rows = _builds(spark, question_table, "questions", f"{QUESTION}, bucket int")
+    return rows.where(current).drop("build", "bucket")
+
+
+def drop_superseded(spark: SparkSession, question_table: str) -> None:
+    """Delete the builds of buckets that have a newer one. No reader may be at work on them."""
+    newest = _newest(spark, question_table)
+    builds = _builds(spark, question_table, "questions", f"{QUESTION}, bucket int")
+    for row in builds.select("bucket", "build").distinct().collect():
+        if row["build"] < newest.get(row["bucket"], (0, 0))[0]:
+            removed(spark, f"{question_table}/questions/build={row['build']}/bucket={row['bucket']}")

@@ -95,27 +95,30 @@ def test_skewed_parts_equal_brute_force(spark, min_hot_parts):
     assert got == brute_force(parts)
 
 
-def test_pieces_spell_out_the_question(spark):
-    parts = [("e", 1, page, 0, f"p{page}", []) for page in range(2500)]
+@pytest.mark.parametrize("pages", [lambda i: 1, lambda i: i, lambda i: i * 1000, lambda i: i % 3])
+def test_pieces_are_bounded_and_spell_out_the_question(spark, pages):
+    """All parts on one page, dense and sparse pages; positions tell parts of a page apart."""
+    parts = [("e", 1, pages(i), i, f"p{i}", []) for i in range(2500)] + [("f", 1, 1, 0, "x", [])]
     schema = (
         "exam string, numero int, page int, pos int, enunciado string, "
         f"alternativas {ALTERNATIVES_IN}"
     )
-    pieces = assemble.question_pieces(spark.createDataFrame(parts, schema)).orderBy("piece")
-    texts = [r.enunciado for r in pieces.collect()]
-    assert len(texts) == 3
-    assert " ".join(texts) == " ".join(f"p{page}" for page in range(2500))
+    frame = spark.createDataFrame(parts, schema).repartition(5)
+    pieces = assemble.question_pieces(frame, parts_per_piece=100).orderBy("exam", "piece").collect()
+    assert max(r.parts for r in pieces) <= 100 and len(pieces) <= 28
+    text = " ".join(p[4] for p in sorted(parts[:-1], key=lambda p: (p[2], p[3])))
+    assert " ".join(r.enunciado for r in pieces if r.exam == "e") == text
+    merged = assemble.merge_split_questions(frame, min_hot_parts=50, parts_per_piece=100).collect()
+    assert {r.exam: r.enunciado for r in merged} == {"e": text, "f": "x"}
 
 
 def test_no_hot_question_leaves_no_hot_branch(spark):
-    """Adaptive execution drops the two-step branch when no question is hot."""
     pages = spark.createDataFrame(
         [("e", n, [question(n % 7, f"t{n}", "AB")]) for n in range(50)], PAGES
     )
     rows = assemble.merge_split_questions(assemble.explode_questions(pages))
-    rows.collect()
-    final = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert "Union" not in final and "piece" not in final
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "piece" not in plan and "Join" not in plan
 
 
 def test_split_count(spark):

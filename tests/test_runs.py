@@ -7,6 +7,7 @@ from quizloom.operators import manifest, report, resume, usage
 from quizloom.plans import builds
 from quizloom.schemas import PAGE_TABLE
 from quizloom.sources.files import question_dataset, raw_blocks
+from quizloom.staging import staging_root
 from quizloom.streaming import ingest
 
 OUTPUTS = [("a", "jsonl"), ("b", "csv"), ("c", "jsonl"), ("c", "csv"), ("c", "csv")]
@@ -37,23 +38,51 @@ def fresh(spark, *pages):
     return spark.createDataFrame(list(pages), f"{PAGE_TABLE}, failed boolean")
 
 
+def keyed(rows):
+    return {(r.exam, r.doc_kind, r.page, r.payload) for r in rows.collect()}
+
+
 def test_page_table(spark, tmp_path):
-    path = str(tmp_path / "pages")
+    path, aside = str(tmp_path / "pages"), str(tmp_path / "aside")
     assert resume.read_page_table(spark, path).collect() == []
-    resume.append_new_pages(fresh(spark, page("a", 1, "x"), page("a", 2, "y", failed=True)), path)
-    resume.append_new_pages(fresh(spark, page("a", 1, "z"), page("a", 2, "y"), page("a", 2, "y")), path)
+    one, two = question_page((1, "x")), question_page((2, "y"))
+    first = fresh(
+        spark,
+        page("a", 1, one, failed=None),
+        page("a", 2, two, failed=True),
+        page("a", 4, "{broken"),
+        page("a", 5, '{"questoes":[]} x'),
+        page("a", None, one),
+        page("a", 6, one, kind="other"),
+    )
+    for _ in range(2):
+        resume.append_new_pages(first, path, aside, 1)
+    bad = {(r.page, r.reason) for r in spark.read.parquet(aside).collect()}
+    assert bad == {(4, "not JSON"), (5, "not JSON"), (None, "missing key"), (6, "unknown kind")}
+    assert spark.read.parquet(aside).count() == 4
+    later = fresh(spark, page("a", 1, two), page("a", 2, two), page("a", 2, two), page("a", 4, one))
+    resume.append_new_pages(later, path, aside, 2)
     table = resume.read_page_table(spark, path)
-    assert {tuple(r) for r in table.collect()} == {("a", "prova", 1, "x"), ("a", "prova", 2, "y")}
+    assert keyed(table) == {("a", "prova", 1, one), ("a", "prova", 2, two), ("a", "prova", 4, one)}
+    assert table.count() == 3
     pages = spark.createDataFrame(
         [("a", "prova", 1), ("a", "gabarito", 1), ("a", "prova", 3)],
         "exam string, doc_kind string, page int",
     )
-    found = {tuple(r) for r in resume.with_cached_payload(pages, table).collect()}
-    assert found == {
-        ("a", "prova", 1, "x", True),
+    cached = resume.with_cached_payload(pages, table)
+    assert {tuple(r) for r in cached.collect()} == {
+        ("a", "prova", 1, one, True),
         ("a", "gabarito", 1, None, False),
         ("a", "prova", 3, None, False),
     }
+    assert "Aggregate" not in cached._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_buckets_at_hand_are_read(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    resume.append_new_pages(fresh(spark, *[page(f"e{n}", 1, question_page((1, "x"))) for n in range(40)]), path)
+    plan = resume.read_page_table(spark, path, [3, 5])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def question_page(*questions):
@@ -71,6 +100,8 @@ def test_ingest(spark, tmp_path):
         ingest.ingest_new_pages(spark, drops, pages, checkpoint)
         ingest.refresh_questions(spark, pages, questions)
         current = ingest.current_questions(spark, questions).collect()
+        ingest.drop_superseded(spark, questions)
+        assert sorted(map(tuple, ingest.current_questions(spark, questions).collect())) == sorted(map(tuple, current))
         return {r.id: r.statement for r in current}, spark.read.parquet(pages).count()
 
     first = step(
@@ -82,9 +113,24 @@ def test_ingest(spark, tmp_path):
     assert step() == first
     later = step(page("a", 3, question_page((2, "new"))), page("a", 2, question_page((1, "end"))))
     assert later == ({"a-001": "start end", "a-002": "new", "b-001": "only"}, 4)
-    # The step without news left an empty build, whose number is used again.
-    built = spark.read.parquet(f"{questions}/exams").where("build = 2")
-    assert [r.exam for r in built.select("exam").collect()] == ["a"]
+    # The step without news made no build; the last one only the bucket of "a".
+    built = spark.read.parquet(f"{questions}/buckets").where("build = 2")
+    a_bucket = spark.range(1).select(resume.bucket_of(F.lit("a"))).first()[0]
+    assert [r.bucket for r in built.collect()] == [a_bucket]
+
+
+def test_bad_lines_are_set_aside(spark, tmp_path):
+    drops, pages, checkpoint = (str(tmp_path / n) for n in ("drops", "pages", "checkpoint"))
+    good = {"exam": "a", "doc_kind": "prova", "page": 1, "payload": question_page((1, "x"))}
+    lines = [json.dumps(good), "{cut", json.dumps(good | {"page": "3x"}), json.dumps(good | {"exam": None})]
+    (tmp_path / "drops").mkdir()
+    (tmp_path / "drops" / "one.json").write_text("\n".join(lines) + "\n")
+    for _ in range(2):
+        ingest.ingest_new_pages(spark, drops, pages, checkpoint)
+    assert resume.read_page_table(spark, pages).count() == 1
+    bad = spark.read.parquet(f"{pages}-quarantine").collect()
+    assert sorted(r.reason for r in bad) == ["malformed line", "malformed line", "missing key"]
+    assert {r._corrupt_record for r in bad} == {lines[1], lines[2], None}
 
 
 USAGE = "exam string, model string, input_tokens long, output_tokens long, total_tokens long"
@@ -182,12 +228,19 @@ def page_table(spark, series_names):
     return spark.createDataFrame(rows, PAGE_TABLE)
 
 
+def staged_tables(spark):
+    import os
+
+    return sorted(os.listdir(staging_root(spark)))
+
+
 def test_build_all(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     block = "Questão 2\n\nAREA CIVIL\n\nTexto.\n\nOPTIONS\n\nA) a\n\nB:CORRECT) b\n"
     for stem in ("2012-06", "2012-06a"):
         (raw / f"{stem}.txt").write_text(block, encoding="utf-8")
+    before = staged_tables(spark)
     dated, numbered = builds.build_all(
         spark,
         page_table(spark, ["enam-20242r"]),
@@ -221,6 +274,7 @@ def test_build_all(spark, tmp_path):
     assert written[0]["metadata"] == {"edition": 26, "source_format": "pdf"}
     folders = {p.name for p in (tmp_path / "out" / "oab" / "per-edition" / "csv").iterdir() if p.is_dir()}
     assert folders == {"source=oab-26", "source=oab-27", "source=oab-6"}
+    assert not [p for p in staged_tables(spark) if p not in before]
     united = builds.combined(question_dataset(spark, dated), question_dataset(spark, numbered))
     assert united.count() == 11
 
