@@ -57,7 +57,8 @@ def seeds_at(tokens: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarr
     if n <= 0:
         return np.empty(0, np.uint64)
     factors = np.random.default_rng(number).integers(0, 1 << 63, len(mask), np.uint64) | np.uint64(1)
-    total = np.full(n, np.uint64(number + 1) * np.uint64(0xD6E8FEB86659FD93), np.uint64)
+    # Seeds of different masks start apart.
+    total = np.full(n, (number + 1) * 0xD6E8FEB86659FD93 % (1 << 64), np.uint64)
     for at, factor in zip(mask, factors):
         total += tokens[at : at + n] * factor
     total ^= total >> np.uint64(32)
