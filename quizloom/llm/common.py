@@ -46,6 +46,17 @@ def unpacked(data: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(data), dtype)
 
 
+def packed_ints(values: np.ndarray) -> bytes:
+    """Non-negative numbers, mostly small, byte by byte."""
+    wide = np.ascontiguousarray(values, np.int64)
+    return packed(wide.view(np.uint8).reshape(-1, 8).T)
+
+
+def unpacked_ints(data: bytes) -> np.ndarray:
+    planes = unpacked(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(np.int64).ravel()
+
+
 def packed_sorted(keys: np.ndarray) -> bytes:
     """Sorted ``uint64`` keys as the bytes of their differences, byte by byte."""
     steps = np.diff(keys, prepend=np.uint64(0))

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from quizloom.llm.common import (
     MB,
     packed,
+    packed_ints,
     packed_sorted,
     parts_for,
     pieces,
@@ -37,9 +38,10 @@ from quizloom.llm.common import (
     starts_of,
     text_bytes,
     unpacked,
+    unpacked_ints,
     unpacked_sorted,
 )
-from quizloom.llm.ppm import END, Places, Trie, byte_pairs, counted, gram_keys, merged
+from quizloom.llm.ppm import END, ESCAPE, Places, Trie, byte_pairs, counted, gram_keys, merged, runs
 from quizloom.staging import staged
 
 ORDER = 5
@@ -52,7 +54,8 @@ MOST_SHARDS = 4096
 REQUEST = "chunk string, shard int, grams binary, counts binary, words binary, word_counts binary"
 ASKED = ("chunk", "shard", "grams", "counts", "words", "word_counts")
 #: ``chunk`` is null in the row that holds the number of distinct words of a shard.
-ANSWER = "chunk string, shard int, logs binary, known binary, vocabulary long"
+ANSWER = "chunk string, shard int, counts binary, totals binary, escaped binary, known binary, vocabulary long"
+ANSWERED = ("counts", "totals", "escaped", "known")
 
 
 def keys_of(texts: list[bytes], order: int) -> np.ndarray:
@@ -190,9 +193,9 @@ def chunker(order: int, shards: int, chunk_bytes: int):
                         chunk=chunk,
                         shard=shard,
                         grams=packed_sorted(grams[here]),
-                        counts=packed(counts[here].astype(np.uint32)),
+                        counts=packed_ints(counts[here]),
                         words=zstandard.compress(b"\n".join(mine), 1),
-                        word_counts=packed(np.array([trained[w] for w in mine], np.uint32)),
+                        word_counts=packed_ints(np.array([trained[w] for w in mine], np.int64)),
                     )
 
     return chunk_rows
@@ -259,7 +262,7 @@ class Shard:
     def add(self, grams: np.ndarray, counts: np.ndarray, words: list[bytes], word_counts) -> None:
         seen = counts > 0
         self.grams.append(grams[seen])
-        self.counts.append(counts[seen].astype(np.int64))
+        self.counts.append(counts[seen])
         self.held += int(seen.sum())
         if self.held > 2 * self.distinct + (1 << 20):
             self.merge()
@@ -279,8 +282,8 @@ class Shard:
 
 def answerer(pairs: np.ndarray, order: int):
     """Sorted rows of a shard, counts first, to answers for its chunks."""
-    kinds = [pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.int64()]
-    names = ["chunk", "shard", "logs", "known", "vocabulary"]
+    kinds = [pa.string(), pa.int32(), *[pa.binary()] * 4, pa.int64()]
+    names = ["chunk", "shard", *ANSWERED, "vocabulary"]
 
     def row(*values) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
@@ -294,21 +297,35 @@ def answerer(pairs: np.ndarray, order: int):
                     current, state, trie = asked["shard"], Shard(), None
                 grams, words = unpacked_sorted(asked["grams"]), split_words(asked["words"])
                 if asked["phase"] == 0:
-                    counts = unpacked(asked["counts"], np.uint32)
-                    state.add(grams, counts, words, unpacked(asked["word_counts"], np.uint32))
+                    counts = unpacked_ints(asked["counts"])
+                    state.add(grams, counts, words, unpacked_ints(asked["word_counts"]))
                     continue
                 if trie is None:
                     trie = Trie(*state.merge(), pairs, order)
                     state.grams, state.counts = [], []
-                    yield row(None, current, None, None, len(state.words))
-                logs = (trie.log_probabilities(grams) / math.log(10)).astype(np.float32)
+                    yield row(None, current, None, None, None, None, len(state.words))
+                counts, totals = trie.visits(grams)
+                escaped = trie.log_probabilities(grams[counts == 0])
                 found = state.words.get
                 known = np.array([found(w, 0) for w in words], np.int64)
-                yield row(asked["chunk"], current, packed(logs), packed(known), None)
+                parts = packed_ints(counts), packed_ints(totals), packed(escaped), packed_ints(known)
+                yield row(asked["chunk"], current, *parts, None)
 
     return answers
 
 
+def log10_of(grams: np.ndarray, answer: dict) -> np.ndarray:
+    """The log10 probability of each gram that a shard was asked for."""
+    counts = unpacked_ints(answer["counts"])
+    starts = runs(grams >> np.uint64(8))
+    totals = np.repeat(unpacked_ints(answer["totals"]), np.diff(np.append(starts, len(grams))))
+    logs = np.empty(len(grams))
+    seen = counts > 0
+    logs[seen] = np.log((counts[seen] - ESCAPE) / totals[seen])
+    logs[~seen] = unpacked(answer["escaped"], np.float64)
+    return logs / math.log(10)
+
+
 def scorer(key: str, order: int, shards: int, train_tokens: int, vocabulary: int, learned: int):
     """A chunk's texts and its answers to scores. Each of the ``learned`` texts had an end."""
     floor = math.log10(train_tokens + 0.1 * (vocabulary + (learned > 0) + 1))
@@ -317,13 +334,13 @@ def scorer(key: str, order: int, shards: int, train_tokens: int, vocabulary: int
         keys, sizes, joined = (texts.column(n)[0] for n in ("keys", "sizes", "texts"))
         sizes = unpacked(sizes.as_py(), np.int64)
         joined = zstandard.decompress(joined.as_py())
-        rows = {r["shard"]: r for r in answers.select(["shard", "logs", "known"]).to_pylist()}
+        rows = {r["shard"]: r for r in answers.select(["shard", *ANSWERED]).to_pylist()}
         words = joined.split()
         number = dict.fromkeys(words)
         seen: dict[bytes, int] = {}
         for shard, mine in enumerate(by_shard(list(number), shards)):
             if mine:
-                seen.update(zip(mine, unpacked(rows[shard]["known"], np.int64).tolist()))
+                seen.update(zip(mine, unpacked_ints(rows[shard]["known"]).tolist()))
         counts = np.fromiter(map(seen.__getitem__, words), np.int64, len(words))
         del words, number, seen
         # Words end at a blank or, the last of a text, at its end.
@@ -337,9 +354,10 @@ def scorer(key: str, order: int, shards: int, train_tokens: int, vocabulary: int
         grams_at = keys_of(texts_, order)
         grams, _ = counted(grams_at.copy())
         owner = shards_of_grams(grams, shards)
-        logs = np.zeros(len(grams), np.float32)
+        logs = np.zeros(len(grams))
         for shard, answer in rows.items():
-            logs[owner == shard] = unpacked(answer["logs"], np.float32)
+            mine = np.flatnonzero(owner == shard)
+            logs[mine] = log10_of(grams[mine], answer)
         logs_at = Places(grams).values(grams_at, logs)
         score = np.add.reduceat(logs_at, begins, dtype=np.float64)
         columns = [keys.values, in_text + 1, known, base - (in_text + 1) * floor, score]

@@ -5,8 +5,8 @@ A gram is ``order`` context bytes and the byte that follows them, packed into on
 grams for each order; a context's node is the run of grams that share it. Orders 1
 and 0 come from one 256 x 256 table of counts.
 
-Escape estimation is method D: in a node with ``t`` visits and ``q`` distinct bytes
-a byte seen ``c`` times has (c - 1/2) / t, the escape q / 2t. Symbol exclusion: what
+Escape estimation: in a node with ``t`` visits and ``q`` distinct bytes a byte seen ``c``
+times has (c - e) / t and the escape e q / t, with ``e`` = ``ESCAPE``. Symbol exclusion: what
 a longer context could have predicted is taken out of the shorter one's counts.
 Below order 0 all 256 bytes that are left are equally likely. The probabilities of
 all bytes after any context sum to 1.
@@ -18,6 +18,8 @@ import numpy as np
 
 #: Ends each text, and stands for what precedes it.
 END = 10
+#: What every byte of a node gives to the escape. Held-out texts are coded shorter than with 1/2.
+ESCAPE = 0.3
 #: Orders below this come from the table of byte pairs.
 LOWEST = 2
 
@@ -150,6 +152,21 @@ class Trie:
                 counts_below = self.pairs.reshape(-1)[(level.grams & mask(2)).astype(np.int64)]
             level.shared = level.sums(counts_below)
 
+    def visits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each of the sorted grams was seen, and the visits of each context among them.
+
+        A gram that was seen ``c`` times in a context of ``t`` visits has probability (c - ESCAPE) / t.
+        """
+        level = self.levels[self.order]
+        contexts = keys >> np.uint64(8)
+        contexts = contexts[runs(contexts)]
+        if not len(level.grams):
+            return np.zeros(len(keys), np.int64), np.zeros(len(contexts), np.int64)
+        place, found = level.gram_places.find(keys)
+        node, exists = level.node_places.find(contexts)
+        counts, totals = np.where(found, level.counts[place], 0), np.where(exists, level.total[node], 0)
+        return counts.astype(np.int64), totals.astype(np.int64)
+
     def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
         """The natural log of the probability of each gram's last byte after its context."""
         result = np.zeros(len(keys))
@@ -187,7 +204,7 @@ class Trie:
             q = np.where(exists, distinct - gone, 0.0)
             hit = found & exists
             with np.errstate(divide="ignore", invalid="ignore"):
-                step = np.log(np.where(hit, count - 0.5, q / 2) / t)
+                step = np.log(np.where(hit, count - ESCAPE, q * ESCAPE) / t)
             # A node whose bytes are all taken out is left with certainty.
             result[open_] += np.where(hit | (q > 0), step, 0.0)
             # A context that was never seen takes nothing out of the next one.

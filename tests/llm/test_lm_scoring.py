@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import in_fold
 from quizloom.llm.lm_scoring import score_texts
+from quizloom.llm.ppm import ESCAPE
 
 ORDER = 3
 
@@ -43,9 +44,9 @@ class Model:
             left = {s: c for s, c in node.items() if s not in excluded}
             total = sum(left.values())
             if symbol in left:
-                return result * (left[symbol] - 0.5) / total
+                return result * (left[symbol] - ESCAPE) / total
             if left:
-                result *= len(left) / 2 / total
+                result *= len(left) * ESCAPE / total
             excluded = set(node)
         return result / (256 - len(excluded))
 
