@@ -251,11 +251,15 @@ def dedup_lines(
         .groupBy("doc")
         .agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
     )
+    # A table of its own: joined with it alone, the rows of a much copied text can be split among tasks.
+    by_doc = staged(
+        originals.select("doc", F.col("rank.key").alias("first")).join(deleted, "doc", "left"),
+        "line-verdicts",
+    )
     verdicts = (
         signatures.select("key", "text_hash", "doc")
         .distinct()
-        .join(originals.select("doc", F.col("rank.key").alias("first")), "doc")
-        .join(deleted, "doc", "left")
+        .join(by_doc, "doc")
         .withColumn("copy", ~F.col("key").eqNullSafe(F.col("first")))
         .where("copy OR places IS NOT NULL")
         .select(F.col("key").alias("_key"), "text_hash", F.col("copy").alias("_copy"), F.col("places").alias("_places"))
