@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 # Blocks begin with their header, so AREA and OPTIONS lines follow a line break.
 # A literal start of the pattern lets the regex engine skip through the text.
 BLOCK_START = r"(?U)\n(?=Questão\s+\d)"
-HEADER = r"(?mdU)\A\s*Questão\s+(\d+)\s*(NULL)?\s*$"
+HEADER = r"(?mdU)\A\s*Questão\s+(\d+(?:\s*NULL)?)\s*$"
 AFTER_HEADER = r"(?mdsU)\A\s*Questão\s+\d+\s*(?:NULL)?\s*$(.*)"
-AREA_LINE = r"(?md)\nAREA[ \t]*(.*?)[ \t]*$"
-AFTER_AREA_LINE = r"(?mds)\nAREA[^\n]*$(.*)"
+AREA = "\nAREA"
 OPTIONS_LINE = r"(?mdU)\nOPTIONS\s*$"
 # A marker takes the rest of its line or, if that is blank, the next line with text.
 MARKED_LINE = r"(?mdU)^([A-E])(:CORRECT)?\)\s*(.*)"
@@ -51,17 +50,28 @@ def blocks(text: Column) -> Column:
     return F.split(text, BLOCK_START)
 
 
-def header_number(block: Column) -> Column:
-    return F.regexp_extract(block, HEADER, 1).try_cast("bigint")
+def header(block: Column) -> Column:
+    """The header at the start of a block, from its number on: ``12`` or ``12 NULL``; else empty."""
+    return F.regexp_extract(block, HEADER, 1)
 
 
-def header_is_null(block: Column) -> Column:
-    return F.regexp_extract(block, HEADER, 2) != ""
+def header_number(head: Column) -> Column:
+    return F.regexp_extract(head, r"\A\d+", 0).try_cast("bigint")
+
+
+def header_is_null(head: Column) -> Column:
+    return F.endswith(head, F.lit("NULL"))
+
+
+def _after_area(text: Column) -> Column:
+    """What follows the first AREA word at the start of a line."""
+    return F.substring(text, F.instr(text, AREA) + F.lit(len(AREA)), F.length(text))
 
 
 def area_tag(block: Column) -> Column:
     """Rest of the first AREA line; empty when there is no such line."""
-    return F.regexp_extract(block, AREA_LINE, 1)
+    tag = F.btrim(F.substring_index(_after_area(block), "\n", 1), F.lit(" \t"))
+    return F.when(F.contains(block, F.lit(AREA)), tag).otherwise("")
 
 
 def options_split(block: Column) -> Column:
@@ -74,10 +84,11 @@ def statement(before_options: Column, block: Column) -> Column:
 
     An AREA line that only comes after OPTIONS leaves no statement.
     """
-    area = "\nAREA"
+    rest = _after_area(before_options)
+    below = F.substring(rest, F.length(F.substring_index(rest, "\n", 1)) + 1, F.length(rest))
     text = (
-        F.when(F.contains(before_options, F.lit(area)), F.regexp_extract(before_options, AFTER_AREA_LINE, 1))
-        .when(F.contains(block, F.lit(area)), "")
+        F.when(F.contains(before_options, F.lit(AREA)), below)
+        .when(F.contains(block, F.lit(AREA)), "")
         .otherwise(F.regexp_extract(before_options, AFTER_HEADER, 1))
     )
     return one_line(text)

@@ -20,14 +20,14 @@ def blocks_of_texts(texts: DataFrame) -> DataFrame:
 def parse_blocks(blocks: DataFrame, series: str = NUMBERED_SERIES) -> DataFrame:
     """Parse each block; ``reason`` is null on a good one and says what is wrong else."""
     block = F.col("block")
-    sides = blocks.withColumn("block", text.strip(block)).withColumn(
-        "_sides", text.options_split(block)
+    sides = blocks.withColumn("block", text.strip(block)).withColumns(
+        {"_sides": text.options_split(block), "_head": text.header(block)}
     )
     before, options = (F.get("_sides", F.lit(i)) for i in (0, 1))
     parsed = sides.withColumns(
         {
-            "question_number": text.header_number(block),
-            "nullified": text.header_is_null(block),
+            "question_number": text.header_number(F.col("_head")),
+            "nullified": text.header_is_null(F.col("_head")),
             "statement": text.statement(before, block),
             "has_options": options.isNotNull(),
             "_alts": text.alternatives(options),
@@ -54,7 +54,7 @@ def parse_blocks(blocks: DataFrame, series: str = NUMBERED_SERIES) -> DataFrame:
             "alternatives": text.plain_alternatives(F.col("_alts")),
             "correct_answer": F.when(~F.col("nullified"), text.tagged_letter(F.col("_alts"))),
         }
-    ).drop("_sides", "_alts", "_tag")
+    ).drop("_sides", "_head", "_alts", "_tag")
 
 
 def good_questions(parsed: DataFrame) -> DataFrame:
