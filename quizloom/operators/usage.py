@@ -11,7 +11,7 @@ COUNTERS = ["input_tokens", "output_tokens", "total_tokens"]
 def usage_by_exam(usage: DataFrame) -> DataFrame:
     """Counter sums per exam and for the run; the run's row has a null exam."""
     totals = [F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in COUNTERS]
-    return usage.rollup("exam").agg(*totals, F.grouping("exam").alias("is_total"))
+    return usage.rollup("exam").agg(*totals, (F.grouping("exam") == 1).alias("is_total"))
 
 
 def model_class(model: Column) -> Column:
@@ -37,5 +37,5 @@ def cost_by_exam(usage: DataFrame) -> DataFrame:
     )
     return by_model.rollup("exam").agg(
         F.sum(token_cost(F.col("model"))).alias("cost_usd"),
-        F.grouping("exam").alias("is_total"),
+        (F.grouping("exam") == 1).alias("is_total"),
     )

@@ -8,7 +8,7 @@ from quizloom.plans.catalog.registry import query, table
 
 USAGE_SQL = """
     WITH u AS (
-        SELECT 'conv-' || conv_id % 100 AS exam,
+        SELECT CASE WHEN conv_id % 100 > 0 THEN 'conv-' || conv_id % 100 END AS exam,
             CASE WHEN turn % 2 = 1 THEN 'Model-FLASH-1' ELSE 'model-1' END AS model,
             CASE WHEN role <> 'assistant' THEN length(text) END AS input_tokens,
             CASE WHEN role = 'assistant' THEN length(text) END AS output_tokens,
@@ -18,7 +18,7 @@ USAGE_SQL = """
 
 def turn_usage(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select(
-        F.expr("concat('conv-', conv_id % 100)").alias("exam"),
+        F.expr("if(conv_id % 100 > 0, concat('conv-', conv_id % 100), null)").alias("exam"),
         F.expr("if(turn % 2 = 1, 'Model-FLASH-1', 'model-1')").alias("model"),
         F.expr("if(role <> 'assistant', cast(length(text) as bigint), null)").alias("input_tokens"),
         F.expr("if(role = 'assistant', cast(length(text) as bigint), null)").alias("output_tokens"),
@@ -28,21 +28,20 @@ def turn_usage(spark, sf_dir):
 
 @query(
     USAGE_SQL
-    + """SELECT coalesce(exam, '(run)') AS exam,
+    + """SELECT CASE WHEN grouping(exam) = 0 THEN exam END AS exam, grouping(exam) = 1 AS is_total,
         sum(coalesce(input_tokens, 0))::bigint AS input_tokens,
         sum(coalesce(output_tokens, 0))::bigint AS output_tokens,
         sum(total_tokens)::bigint AS total_tokens
     FROM u GROUP BY ROLLUP (exam)"""
 )
 def token_usage(spark, sf_dir):
-    """Sums per exam and, as one more row, for the run."""
-    totals = usage.usage_by_exam(turn_usage(spark, sf_dir))
-    return totals.withColumn("exam", F.coalesce("exam", F.lit("(run)"))).drop("is_total")
+    """Sums per exam, unknown exams as one, and, as one more row, for the run."""
+    return usage.usage_by_exam(turn_usage(spark, sf_dir))
 
 
 @query(
     USAGE_SQL
-    + """SELECT coalesce(exam, '(run)') AS exam, round(sum(
+    + """SELECT CASE WHEN grouping(exam) = 0 THEN exam END AS exam, grouping(exam) = 1 AS is_total, round(sum(
         coalesce(input_tokens, 0) / 1e6 * CASE WHEN model LIKE '%FLASH%' THEN 0.5 ELSE 2 END
         + coalesce(output_tokens, 0) / 1e6 * CASE WHEN model LIKE '%FLASH%' THEN 3 ELSE 12 END),
         8)::double AS cost_usd
@@ -50,9 +49,7 @@ def token_usage(spark, sf_dir):
 )
 def token_cost(spark, sf_dir):
     costs = usage.cost_by_exam(turn_usage(spark, sf_dir))
-    return costs.select(
-        F.coalesce("exam", F.lit("(run)")).alias("exam"), F.round("cost_usd", 8).alias("cost_usd")
-    )
+    return costs.select("exam", "is_total", F.round("cost_usd", 8).alias("cost_usd"))
 
 
 PAGES_SQL = """
