@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from quizloom.fixed_values import DATED_SERIES, EXAM_KIND, KEY_KIND, NUMBERED_SERIES
 from quizloom.functions.payload import decode_answers, decode_questions, good_pages
-from quizloom.operators import assemble, enrich, ordering, rawtext
+from quizloom.operators import assemble, enrich, ordering, rawtext, report, resume
 from quizloom.schemas import EXAM_QUESTION_COLUMNS
-from quizloom.sinks.export import formats, write_per_exam, write_sorted
+from quizloom.sinks.export import export_per_exam, formats, write_per_exam, write_sorted
 from quizloom.staging import scratch, staged, staged_with_row
 
 NUMBERED_KEYS = ["area", "edition", "year", "source_format"]
@@ -159,3 +159,33 @@ def build_all(
             numbered, f"{base}/{NUMBERED_SERIES}", f"{NUMBERED_SERIES}-exams", fmt
         )
     return first, second
+
+
+def run_exams(
+    pairs: DataFrame,
+    page_table: DataFrame,
+    outputs: DataFrame,
+    folder: str,
+    fmt: str = "jsonl",
+    force: bool = False,
+) -> DataFrame:
+    """Build and export the exams that are still to do, one folder each; the status of every exam of ``pairs``.
+
+    ``outputs`` (``exam, fmt``) are the finished ones, which are skipped unless forced. An
+    exam without pages or without a readable exam page fails with that error and doesn't
+    stop the others. Statuses are those of ``report.run_status``.
+    """
+    spark = pairs.sparkSession
+    formats(fmt)
+    exams = pairs.select("exam").distinct()
+    pending = staged(resume.pending_exams(exams, outputs, fmt, force), "pending-exams")
+    pages = page_table.join(pending, "exam", "left_semi")
+    readable = page_outcomes(pages.where(F.col("doc_kind") == EXAM_KIND))
+    readable = readable.groupBy("exam").agg(F.count_if(~F.col("failed")).alias("good"))
+    error = F.when(F.col("good").isNull(), "no pages").when(F.col("good") == 0, "no readable page")
+    judged = staged(pending.join(readable, "exam", "left").select("exam", error.alias("error")), "run-errors")
+    failed = judged.where("error IS NOT NULL")
+    with scratch(spark):
+        rows = page_questions(pages.join(failed, "exam", "left_anti"))
+        export_per_exam(finished(numbered_series_rows(None, rows), NUMBERED_KEYS), folder, fmt)
+    return report.run_status(exams, exams.join(pending, "exam", "left_anti"), failed)

@@ -10,7 +10,13 @@ from quizloom.operators import assemble, manifest, pairing, payloads, report, re
 from quizloom.plans import builds
 from quizloom.plans.catalog.registry import query, table
 from quizloom.schemas import ALTERNATIVES
-from quizloom.sources.files import document_listing, explode_manifest, page_files, page_images
+from quizloom.sources.files import (
+    document_listing,
+    explode_manifest,
+    page_files,
+    page_images,
+    question_dataset,
+)
 from quizloom.sources.files import manifest as scan_manifest_files
 from quizloom.staging import staging_path
 from quizloom.streaming import ingest
@@ -405,6 +411,47 @@ def request_table(spark, sf_dir):
     return requests.withColumn("data_md5", F.md5("data")).drop("data")
 
 
+@query(
+    """
+    WITH e AS (
+        SELECT event_id // 200 AS n, event_id % 18 AS kind, event_id,
+            json_extract_string(props, '$.k')::bigint AS k FROM events),
+    q AS (
+        SELECT n, CASE kind WHEN 13 THEN 1 WHEN 14 THEN 1000 + event_id % 10 WHEN 15 THEN event_id
+            WHEN 16 THEN 3000000000 + event_id ELSE k END::bigint AS numero
+        FROM e WHERE kind IN (5, 9, 10, 11, 13, 14, 15, 16)
+        UNION ALL SELECT n, event_id FROM e WHERE kind IN (9, 10, 11)),
+    x AS (
+        SELECT n, CASE WHEN n % 5 = 0 THEN 'skipped' WHEN n % 7 = 3 OR n % 11 = 4 THEN 'failed'
+            ELSE 'successful' END AS status FROM (SELECT DISTINCT n FROM e))
+    SELECT 'exam-' || n AS exam, status, CASE WHEN status <> 'failed' THEN NULL
+        WHEN n % 11 = 4 THEN 'no pages' ELSE 'no readable page' END AS error,
+        CASE WHEN status = 'successful' THEN (SELECT count(DISTINCT numero) FROM q WHERE q.n = x.n) ELSE 0 END
+            ::bigint AS questions
+    FROM x
+    """
+)
+def run_report(spark, sf_dir):
+    """A whole run: finished exams skipped, bad ones reported, the others built and exported, then counted."""
+    number = F.expr("page div 200")
+    pages = question_pages(spark, sf_dir).withColumns(
+        {
+            "exam": F.concat(F.lit("exam-"), number),
+            "payload": F.when(number % 7 == 3, F.lit("{broken")).otherwise(F.col("payload")),
+            "n": number,
+        }
+    )
+    pairs = pages.select("exam", "n").distinct()
+    outputs = pairs.where("n % 5 = 0").select("exam", F.lit("jsonl").alias("fmt"))
+    folder = staging_path(spark, "run")
+    statuses = builds.run_exams(pairs, pages.where("n % 11 <> 4").drop("n"), outputs, folder)
+    written = question_dataset(spark, f"{folder}/per-edition/jsonl").groupBy(F.col("exam_source").alias("exam"))
+    counts = written.agg(F.count(F.lit(1)).alias("found"))
+    return statuses.join(counts, "exam", "left").select(
+        "exam", "status", "error", F.coalesce("found", F.lit(0)).cast("long").alias("questions")
+    )
+
+
 def arriving_pages(spark, sf_dir):
     """Events as page payloads of one question each, in two drops.
 
