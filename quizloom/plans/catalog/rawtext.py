@@ -122,7 +122,8 @@ def raw_text_files(spark, sf_dir):
     texts = table(spark, sf_dir, "documents").select(
         F.expr("doc_id div 50").alias("g"), "doc_id", F.expr(FILE_TEXT).alias("value")
     )
-    joined = texts.groupBy("g").agg(F.expr("array_join(transform(array_sort(collect_list(struct(doc_id, value))), x -> x.value), '\n')").alias("value"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "value"))), lambda x: x["value"])
+    joined = texts.groupBy("g").agg(F.array_join(in_order, "\n").alias("value"))
     whole = F.expr("concat('intro ', g, '\n', value, '\nQuestão 999\n\nsem opções')")
     end = F.expr("element_at(array('\n', '\r\n', '\r'), cast(g % 3 + 1 as int))")
     stem = F.expr("format_string('%d-%02d', 2000 + g, g % 25 + 1)").alias("stem")

@@ -593,7 +593,10 @@ def scan_documents(spark, sf_dir):
         if(item_id % 2 = 1 and item_id % 3 = 0, '.txt', '.pdf'))"""
     listing = document_listing(spark, item_files(spark, sf_dir, "documents", path))
     documents = pairing.documents_by_base(listing).where("exam_path IS NOT NULL")
-    sizes = [listing.select(F.col("path").alias(f"{k}_path"), F.col("length").alias(f"{k}_bytes")) for k in ("exam", "key")]
+    sizes = [
+        listing.select(F.col("path").alias(f"{k}_path"), F.col("length").alias(f"{k}_bytes"))
+        for k in ("exam", "key")
+    ]
     found = documents.join(sizes[0], "exam_path").join(sizes[1], "key_path", "left")
     return found.select(F.col("exam_name").alias("name"), "exam_bytes", "key_bytes")
 
@@ -609,7 +612,12 @@ def scan_images(spark, sf_dir):
     )
 
 
-@query("SELECT item_id::int AS edition, 'p' || length(text) AS prova_url, CASE WHEN item_id % 4 > 0 THEN 'k' END AS gabarito_url FROM benchmark")
+@query(
+    """
+    SELECT item_id::int AS edition, 'p' || length(text) AS prova_url,
+        CASE WHEN item_id % 4 > 0 THEN 'k' END AS gabarito_url FROM benchmark
+    """
+)
 def scan_manifest(spark, sf_dir):
     """A folder of manifests."""
     content = """concat('{"', item_id, '": {"prova_url": "p', length(text), '"',
