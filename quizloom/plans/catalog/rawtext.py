@@ -104,23 +104,23 @@ FILES_SQL = """
     UNION ALL BY NAME
     SELECT printf('%d-%02d', 2000 + g, g % 25 + 1) AS stem, unnest(['bad header', 'no options']) AS reason,
         unnest([md5('intro ' || g), md5('Questão 999' || chr(10) || chr(10) || 'sem opções')]) AS statement_md5
-    FROM (SELECT DISTINCT doc_id // 50 AS g FROM documents)
+    FROM (SELECT DISTINCT doc_id // 500 AS g FROM documents)
 """
 
 
 @query(
     FILES_SQL.format(
         good=PARSED_SQL.format(
-            stem="printf('%d-%02d', 2000 + doc_id // 50, doc_id // 50 % 25 + 1)",
-            edition="doc_id // 50 % 25 + 1",
+            stem="printf('%d-%02d', 2000 + doc_id // 500, doc_id // 500 % 25 + 1)",
+            edition="doc_id // 500 % 25 + 1",
         )
     )
 )
 def raw_text_files(spark, sf_dir):
-    """The same texts, fifty to a file, with preambles and all line ends, read in splits that cut blocks."""
+    """The same texts, five hundred to a file, with preambles and all line ends, read in splits that cut blocks."""
     folder = staging_path(spark, "raw-text")
     texts = table(spark, sf_dir, "documents").select(
-        F.expr("doc_id div 50").alias("g"), "doc_id", F.expr(FILE_TEXT).alias("value")
+        F.expr("doc_id div 500").alias("g"), "doc_id", F.expr(FILE_TEXT).alias("value")
     )
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "value"))), lambda x: x["value"])
     joined = texts.groupBy("g").agg(F.array_join(in_order, "\n").alias("value"))
@@ -130,7 +130,7 @@ def raw_text_files(spark, sf_dir):
     joined.select(stem, F.replace(whole, F.lit("\n"), end).alias("value")).write.partitionBy("stem").text(folder)
     # A session of its own, for splits far smaller than the files.
     small = spark.newSession()
-    small.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    small.conf.set("spark.sql.files.maxPartitionBytes", "500k")
     small.conf.set("spark.sql.files.openCostInBytes", "0")
     parsed = parsing.parse_blocks(raw_blocks(small, folder, stem_from="folder"))
     good = parsed_columns(parsing.good_questions(parsed))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quizloom import schemas
 from quizloom.fixed_values import EXAM_KIND, KEY_KIND
 from quizloom.functions import names, payload, text
+from quizloom.staging import staged
 
 
 def document_listing(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,27 +53,32 @@ def _raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 SPLIT = ["file_path", "split_start"]
 
 
+def _after():
+    """The lines of a split after each one, the next one last."""
+    return Window.partitionBy(*SPLIT).orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _marked(lines: DataFrame) -> DataFrame:
     """Adds ``opens``: the line begins a block.
 
     The number may come on a later line, after blank ones, maybe in the next split.
     """
-    after = (
-        Window.partitionBy(*SPLIT).orderBy("seq").rowsBetween(1, Window.unboundedFollowing)
-    )
-    later = Window.partitionBy("file_path").orderBy("split_start").rowsBetween(1, Window.unboundedFollowing)
-    with_text = F.when(text.strip(F.col("value")) != "", F.col("value"))
+    # Backwards, so that a frame grows row by row; one that shrinks is computed anew for each row.
+    later = Window.partitionBy("file_path").orderBy(F.desc("split_start")).rowsBetween(Window.unboundedPreceding, -1)
+    # Of lines with text, whether they begin with a number.
+    numbered = F.when(F.col("value").rlike(r"(?U)\S"), F.col("value").rlike(r"(?U)\A\s*\d"))
+    lines = lines.withColumn("numbered", numbered)
     # One row per split.
     next_text = (
         lines.groupBy(*SPLIT)
-        .agg(F.min_by(with_text, F.when(with_text.isNotNull(), F.col("seq"))).alias("first"))
-        .select(*SPLIT, F.first("first", ignorenulls=True).over(later).alias("next_text"))
+        .agg(F.min_by("numbered", F.when(F.col("numbered").isNotNull(), F.col("seq"))).alias("first"))
+        .select(*SPLIT, F.last("first", ignorenulls=True).over(later).alias("next_text"))
     )
-    following = F.coalesce(F.first(with_text, ignorenulls=True).over(after), F.col("next_text"))
+    following = F.coalesce(F.last("numbered", ignorenulls=True).over(_after()), F.col("next_text"), F.lit(False))
     opens = F.col("value").rlike(r"(?U)\AQuestão\s+\d") | (
-        F.col("value").rlike(r"(?U)\AQuestão\s*\z") & F.coalesce(following.rlike(r"(?U)\A\s*\d"), F.lit(False))
+        F.col("value").rlike(r"(?U)\AQuestão\s*\z") & following
     )
-    return lines.join(next_text, SPLIT).withColumn("opens", opens).drop("next_text")
+    return lines.join(next_text, SPLIT).withColumn("opens", opens).drop("next_text", "numbered")
 
 
 def raw_blocks(spark: SparkSession, folder: str, stem_from: str = "file") -> DataFrame:
@@ -91,8 +97,8 @@ def raw_blocks(spark: SparkSession, folder: str, stem_from: str = "file") -> Dat
         stem = F.regexp_extract("file_path", r"([^/=]+)/[^/]+\z", 1)
     else:
         raise ValueError(f"unknown stem source {stem_from!r}")
-    marked = _marked(_raw_lines(spark, folder))
-    so_far = Window.partitionBy(*SPLIT).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    # Read twice below.
+    marked = staged(_marked(_raw_lines(spark, folder)), "raw-lines")
     before = (
         Window.partitionBy("file_path")
         .orderBy("split_start")
@@ -104,11 +110,16 @@ def raw_blocks(spark: SparkSession, folder: str, stem_from: str = "file") -> Dat
     carried = (
         marked.groupBy(*SPLIT)
         .agg(F.count_if("opens").alias("n"))
-        .select(*SPLIT, F.coalesce(F.last(open_block, ignorenulls=True).over(before), none_yet).alias("carried"))
+        .select(
+            *SPLIT,
+            F.col("n").alias("opened"),
+            F.coalesce(F.last(open_block, ignorenulls=True).over(before), none_yet).alias("carried"),
+        )
     )
     owned = (
-        marked.withColumn("n", F.count_if("opens").over(so_far))
+        marked.withColumn("opened_after", F.count_if("opens").over(_after()))
         .join(carried, SPLIT)
+        .withColumn("n", F.col("opened") - F.col("opened_after"))
         .withColumn(
             "owner",
             F.when(F.col("n") > 0, F.struct("split_start", F.col("n").alias("block_no"))).otherwise(F.col("carried")),
