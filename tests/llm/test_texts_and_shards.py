@@ -60,6 +60,15 @@ def test_random_texts_equal_the_library(model):
         assert ids_of(encoder, " " * n + "x") == library.encode(" " * n + "x")
 
 
+def test_very_long_words(model):
+    library = sentencepiece.SentencePieceProcessor(model_file=VOCABULARY)
+    encoder, draw = Encoder(model), random.Random(8)
+    text = "".join(draw.choices("abcdefghijklmnopqrstuvwxyzé0123456789", k=50_000))
+    assert ids_of(encoder, text) == library.encode(text)
+    assert ids_of(encoder, "a" * 9_999) == library.encode("a" * 9_999)
+    assert len(encoder) == 0
+
+
 def test_a_unigram_model_gets_the_best_sum(model):
     other = Model.__new__(Model)
     other.__dict__ = {k: v for k, v in model.__dict__.items() if k != "_encoder"} | {"kind": UNIGRAM, "halves": {}}
