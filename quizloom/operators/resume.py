@@ -103,7 +103,8 @@ def append_new_pages(
         buckets = [r[0] for r in good.select("bucket").distinct().collect()]
         known = read_page_table(spark, path, buckets).select(*PAGE_KEYS, "bucket")
         new = good.join(known, [*PAGE_KEYS, "bucket"], "left_anti")
-        new.write.mode("append").partitionBy("bucket").parquet(path)
+        # Few files: a bucket's rows come together, but for those of a bucket too large for one task.
+        new.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
         bad = judged.where("reason IS NOT NULL")
         if quarantine is not None:
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch}")

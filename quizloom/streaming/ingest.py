@@ -76,6 +76,7 @@ def refresh_questions(spark: SparkSession, page_table: str, question_table: str)
         rows = page_questions(read_page_table(spark, page_table, sorted(stale)))
         (
             rows.withColumn("bucket", bucket_of(F.col("exam_source")))
+            .hint("rebalance", "bucket")
             .write.mode("overwrite")
             .partitionBy("bucket")
             .parquet(f"{question_table}/questions/build={build}")

@@ -240,12 +240,13 @@ def test_build_all(spark, tmp_path):
     block = "Questão 2\n\nAREA CIVIL\n\nTexto.\n\nOPTIONS\n\nA) a\n\nB:CORRECT) b\n"
     for stem in ("2012-06", "2012-06a"):
         (raw / f"{stem}.txt").write_text(block, encoding="utf-8")
+    blocks = raw_blocks(spark, str(raw))
     before = staged_tables(spark)
     dated, numbered = builds.build_all(
         spark,
         page_table(spark, ["enam-20242r"]),
         page_table(spark, ["oab-26", "oab-27"]),
-        raw_blocks(spark, str(raw)),
+        blocks,
         str(tmp_path / "out"),
         "both",
     )
