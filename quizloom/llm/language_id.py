@@ -2,7 +2,8 @@
 
 The trees learn from a bounded sample of the labelled rows, about ``SAMPLE`` bytes for
 each language, so a tree has at most that many grams and all of them can be sent to
-every task. The languages are the distinct labels: a closed set, a few hundred at most.
+every task. Long texts are sampled by the block, so one of them neither fills the sample
+nor keeps its language out of it. The languages are the distinct labels: a closed set, a few hundred at most.
 Prediction is one pass over the texts without a shuffle.
 """
 
@@ -22,6 +23,8 @@ from quizloom.llm.ppm import END, Places, Trie, byte_pairs, counted, gram_keys,
 ORDER = 3
 #: Bytes of text to learn from, for each language.
 SAMPLE = 4 * MB
+#: Longer texts are cut into blocks of so many bytes, each in the sample or not.
+BLOCK = MB // 16
 CHUNK = 4 * MB
 UNKNOWN = "und"
 TREE = ["lang", "grams", "counts"]
@@ -83,22 +86,30 @@ def learn_trees(
 ) -> dict[str, tuple[bytes, bytes]]:
     """The packed grams and counts of each language, from rows for which ``learn`` holds.
 
-    Rows with a null text or label teach nothing. A row's place in the sample depends on
-    its key and text only. Without such rows the model has no language.
+    Rows with a null text or label teach nothing. A block's place in the sample depends on
+    the row's key and text and its number there only; the first block of each language by
+    place is always taken, so every label has a tree. Without such rows the model has no
+    language.
     """
     rows = docs.where(learn).select(
         F.col(lang).cast("string").alias("lang"),
         F.col(text).cast("binary").alias("text"),
-        F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1_000_000)).alias("place"),
+        F.xxhash64(F.col(key), F.col(text)).alias("row"),
     )
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
+    last = F.greatest(F.lit(0), F.floor((F.octet_length("text") - 1) / BLOCK).cast("int"))
+    blocks = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("block"))
+    blocks = blocks.withColumn("place", F.pmod(F.xxhash64("row", "block"), F.lit(1_000_000)))
+    size = F.least(F.lit(BLOCK), F.octet_length("text") - F.col("block") * BLOCK)
+    sizes = blocks.groupBy("lang").agg(F.sum(size).alias("bytes"), F.min("place").alias("first")).collect()
     if not sizes:
         return {}
-    share = F.create_map(
-        *[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, sample_bytes / max(1, r["bytes"])))]
+    # Places below the limit are taken.
+    limits = [(r["lang"], max(r["first"] + 1.0, 1e6 * sample_bytes / max(1, r["bytes"]))) for r in sizes]
+    limit = F.create_map(*[F.lit(x) for pair in limits for x in pair])
+    sample = blocks.where(F.col("place") < limit[F.col("lang")]).select(
+        "lang", F.substring("text", F.col("block") * BLOCK + 1, F.lit(BLOCK)).alias("text")
     )
-    sample = rows.where(F.col("place") < share[F.col("lang")] * 1_000_000).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches, "text", CHUNK):

@@ -63,6 +63,24 @@ def test_language_of_odd_texts(spark, docs, crowded, no_docs):
     assert predict_language(no_docs, trees).count() == 0
 
 
+def test_languages_of_few_long_texts_are_learned(spark):
+    rows = [(i, f"lang{i} words of this language ".replace("i", "aeiou"[i % 5]) * 9000, f"l{i}") for i in range(8)]
+    rows += [(100, "", "empty"), (101, None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trees = learn_trees(docs, learn=F.lit(True), sample_bytes=1000)
+    assert sorted(trees) == ["empty", *[f"l{i}" for i in range(8)]]
+    # A block of each, not the whole text; all of it if it fits.
+    assert {len(letter_grams([rows[0][1].encode()], 3)[0]) > learned(trees[f"l{i}"]) for i in range(8)} == {True}
+    whole = learn_trees(docs, learn=F.lit(True))
+    assert learned(whole["l0"]) >= len(letter_grams([rows[0][1].encode()], 3)[0])
+
+
+def learned(tree):
+    from quizloom.llm.common import unpacked
+
+    return int(unpacked(tree[1], np.int64).sum())
+
+
 def test_quality_of_held_out_texts(spark):
     rows = held_out(spark, "op3_quality_crf", "quality")
     assert sum(r["predicted"] == r["truth"] for r in rows) >= 0.97 * len(rows)
