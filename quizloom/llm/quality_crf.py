@@ -6,8 +6,9 @@ Forward-backward gives the probability that each line is good, and their mean we
 by length is the document's score.
 
 Labels are known for documents only, so in training every line has its document's
-label. The field learns on the driver from at most ``SAMPLE`` documents of each class of
-at most ``MOST_LINES`` lines; scoring is one pass over whole texts without a shuffle.
+label. The field learns on the driver from at most ``SAMPLE`` documents of each class, of
+a longer one from ``MOST_LINES`` lines in a row from a place that its hash names; scoring
+is one pass over whole texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quizloom.llm.common import MB, packed, pieces, starts_of, unpacked
 
-#: Labelled documents to learn from, of each class, and the most lines such a one may have.
+#: Labelled documents to learn from, of each class, and the most lines of each.
 SAMPLE = 1500
 MOST_LINES = 300
 ROUNDS = 150
@@ -60,12 +62,16 @@ def line_features(line: bytes, before: bytes | None) -> tuple[float, ...]:
     )
 
 
-def text_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The features of each line, and the lines' lengths."""
+def text_features(text: bytes, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The features of each line, and the lines' lengths; of ``most`` lines in a row if there are more."""
     if not text:
         return np.empty((0, FEATURES)), np.empty(0, np.int64)
     lines = text.split(b"\n")
-    rows = [line_features(line, before) for line, before in zip(lines, [None, *lines])]
+    befores = [None, *lines]
+    if most and len(lines) > most:
+        first = xxhash.xxh64_intdigest(text) % (len(lines) - most + 1)
+        lines, befores = lines[first : first + most], befores[first : first + most]
+    rows = [line_features(line, before) for line, before in zip(lines, befores)]
     return np.array(rows), np.array([len(line) for line in lines], np.int64)
 
 
@@ -173,10 +179,10 @@ def learn_quality(rows: DataFrame, sample: int = SAMPLE, most_lines: int = MOST_
     """A field from labelled rows: ``key``, ``text`` (binary), ``quality`` (0 or 1).
 
     Rows with a null text or label teach nothing, nor do empty texts. Which rows are
-    taken depends on the rows alone. Without any, every score is 0.5.
+    taken depends on the rows alone, and so does which stretch of a text with more than
+    ``most_lines`` lines. Without any, every score is 0.5.
     """
     rows = rows.where("text IS NOT NULL AND octet_length(text) > 0 AND quality IN (0, 1)")
-    rows = rows.where(F.size(F.split(F.col("text").cast("string"), "\n")) <= most_lines)
     sizes = {r[0]: r[1] for r in rows.groupBy("quality").count().collect()}
     share = F.lit(0.0)
     for label, n in sizes.items():
@@ -186,7 +192,7 @@ def learn_quality(rows: DataFrame, sample: int = SAMPLE, most_lines: int = MOST_
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches, "text", CHUNK):
-            found = [packed(text_features(t)[0]) for t in texts]
+            found = [packed(text_features(t, most_lines)[0]) for t in texts]
             yield pa.RecordBatch.from_arrays([part.column("quality"), pa.array(found)], ["quality", "rows"])
 
     found = taken.mapInArrow(features, "quality int, rows binary").orderBy("quality", "rows").collect()

@@ -130,6 +130,18 @@ def test_quality_of_odd_texts(spark, docs, crowded, no_docs):
     assert score_quality(no_docs, field).count() == 0
 
 
+def test_quality_of_a_class_of_long_documents_only(spark):
+    calm = [(i, f"the {i} words of this document\nare calm and in order\n" * 3, 1) for i in range(20)]
+    junk = [(100 + i, f"BUY {i}!! $$$ ### |\n" * 400, 0) for i in range(20)]
+    docs = spark.createDataFrame(calm + junk, "key long, text string, quality int")
+    field = learn_quality(docs.withColumn("text", F.col("text").cast("binary")))
+    assert field.prior == 0.5
+    assert all(r["predicted"] == r["quality"] for r in score_quality(docs, field).collect())
+    lines = [b"x" * (i + 1) for i in range(50)]
+    rows, sizes = text_features(b"\n".join(lines), 7)
+    assert len(rows) == 7 and (np.diff(sizes) == 1).all()
+
+
 def test_long_lines_weigh_more():
     weights = np.zeros(3 * FEATURES + 1)
     weights[1] = -50.0
