@@ -175,12 +175,15 @@ def fitted(rows: np.ndarray, sizes: np.ndarray, labels: np.ndarray, rounds: int
     return field
 
 
-def learn_quality(rows: DataFrame, sample: int = SAMPLE, most_lines: int = MOST_LINES) -> Field:
+def learn_quality(
+    rows: DataFrame, sample: int = SAMPLE, most_lines: int = MOST_LINES, prior: float | None = None
+) -> Field:
     """A field from labelled rows: ``key``, ``text`` (binary), ``quality`` (0 or 1).
 
     Rows with a null text or label teach nothing, nor do empty texts. Which rows are
     taken depends on the rows alone, and so does which stretch of a text with more than
-    ``most_lines`` lines. Without any, every score is 0.5.
+    ``most_lines`` lines. Without any, every score is 0.5. ``prior`` is the share of good
+    documents if ``rows`` are a sample that changes it.
     """
     rows = rows.where("text IS NOT NULL AND octet_length(text) > 0 AND quality IN (0, 1)")
     sizes = {r[0]: r[1] for r in rows.groupBy("quality").count().collect()}
@@ -201,7 +204,7 @@ def learn_quality(rows: DataFrame, sample: int = SAMPLE, most_lines: int = MOST_
     lines = [unpacked(bytes(r["rows"]), np.float64).reshape(-1, FEATURES) for r in found]
     labels = np.array([r["quality"] for r in found], bool)
     field = fitted(np.concatenate(lines), np.array([len(x) for x in lines], np.int64), labels)
-    field.prior = sizes.get(1, 0) / sum(sizes.values())
+    field.prior = sizes.get(1, 0) / sum(sizes.values()) if prior is None else prior
     return field
 
 

@@ -30,17 +30,20 @@ def query(function):
     return function
 
 
+def training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
+    """``doc_id`` and ``label`` of the training fold; a document with several labels takes the largest one."""
+    labels = table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"), 5))
+    return labels.groupBy("doc_id").agg(F.max(label).cast("int").alias(label)).where(F.col(label).isNotNull())
+
+
 def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, label: str, sample: int) -> DataFrame:
     """About ``sample`` labelled rows of each class to learn from, and as many with ``check`` for thresholds.
 
-    The latter have the classes' natural mix. A document with several labels takes the
-    largest one. Labels are sampled before the texts are read: the sample is a small
-    table, so the texts needn't be shuffled to meet it.
+    The latter have the classes' natural mix. Labels are sampled before the texts are
+    read: the sample is a small table, so the texts needn't be shuffled to meet it.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    labels = table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"), 5))
-    labels = labels.groupBy("doc_id").agg(F.max(label).cast("int").alias(label)).where(F.col(label).isNotNull())
-    labels = labels.withColumn("check", fold == 4)
+    labels = training_labels(spark, sf_dir, label).withColumn("check", fold == 4)
     sizes = labels.groupBy(label, "check").count().collect()
     checked = sum(r["count"] for r in sizes if r["check"])
     share = F.lit(0.0)
@@ -70,7 +73,9 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    field = learn_quality(labelled(spark, sf_dir, docs, "quality", quality_crf.SAMPLE))
+    rows = labelled(spark, sf_dir, docs, "quality", quality_crf.SAMPLE)
+    labels = training_labels(spark, sf_dir, "quality").where("quality IN (0, 1)")
+    field = learn_quality(rows, prior=labels.agg(F.avg("quality")).first()[0])
     return score_quality(docs, field).select(
         "doc_id", in_fold(F.col("doc_id"), 5).alias("held_out"), "score", "predicted"
     )

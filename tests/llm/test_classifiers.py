@@ -1,12 +1,14 @@
 """Language, quality and toxicity: held-out accuracy and exact small cases."""
 
 import itertools
+import zlib
 
 import numpy as np
 import pytest
 from conftest_llm import as_sets
 from pyspark.sql import functions as F
 
+from quizloom.llm import quality_crf
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.language_id import Languages, learn_trees, letter_grams, predict_language
 from quizloom.llm.quality_crf import FEATURES, Field, forward_backward, learn_quality, score_quality, text_features
@@ -142,6 +144,21 @@ def test_quality_of_a_class_of_long_documents_only(spark):
     assert len(rows) == 7 and (np.diff(sizes) == 1).all()
 
 
+def test_score_of_empty_texts_is_the_share_of_all_labels(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quality_crf, "SAMPLE", 20)
+    rows = [(i, "" if i == 0 else f"the {i} words\nof it", int(i % 10 != 0)) for i in range(600)]
+    write_tables(spark, tmp_path, rows, "quality")
+    got = QUERIES["op3_quality_crf"](spark, str(tmp_path)).where("doc_id = 0").first()
+    training = [q for i, _, q in rows if zlib.crc32(str(i).encode()) % 5]
+    assert got["score"] == pytest.approx(sum(training) / len(training))
+
+
+def write_tables(spark, folder, rows, label):
+    table = spark.createDataFrame(rows, f"doc_id long, text string, {label} int")
+    table.drop(label).write.parquet(f"{folder}/documents.parquet")
+    table.drop("text").write.parquet(f"{folder}/labels.parquet")
+
+
 def test_long_lines_weigh_more():
     weights = np.zeros(3 * FEATURES + 1)
     weights[1] = -50.0
