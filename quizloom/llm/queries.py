@@ -39,21 +39,21 @@ def training_labels(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
 def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, label: str, sample: int) -> DataFrame:
     """About ``sample`` labelled rows of each class to learn from, and as many with ``check`` for thresholds.
 
-    The latter have the classes' natural mix. Labels are sampled before the texts are
+    ``weight`` is the number of rows that each one stands for. Labels are sampled before the texts are
     read: the sample is a small table, so the texts needn't be shuffled to meet it.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     labels = training_labels(spark, sf_dir, label).withColumn("check", fold == 4)
     sizes = labels.groupBy(label, "check").count().collect()
-    checked = sum(r["count"] for r in sizes if r["check"])
-    share = F.lit(0.0)
+    share = F.lit(1.0)
     for r in sizes:
         here = (F.col(label) == r[label]) & (F.col("check") == r["check"])
-        share = F.when(here, min(1.0, sample / (checked if r["check"] else r["count"]))).otherwise(share)
+        share = F.when(here, min(1.0, sample / r["count"])).otherwise(share)
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    chosen = staged(labels.where(place < share * 1_000_000), "label-sample")
+    labels = labels.where(place < share * 1_000_000).withColumn("weight", 1 / share)
+    chosen = staged(labels, "label-sample")
     return docs.join(chosen, "doc_id").select(
-        F.col("doc_id").alias("key"), F.col("text").cast("binary").alias("text"), label, "check"
+        F.col("doc_id").alias("key"), F.col("text").cast("binary").alias("text"), label, "check", "weight"
     )
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from quizloom.llm.common import MB, pieces
 from quizloom.staging import staged
 
-#: Labelled texts to learn from, of each class; to find the threshold, half as many.
+#: Labelled texts to learn from, of each class; to find the threshold, as many again.
 SAMPLE = 8000
 #: Discounts of ordinary and toxic word counts, and of continuation counts.
 ORDINARY_DISCOUNT, TOXIC_DISCOUNT, SHARED_DISCOUNT = 0.75, 2.0, 0.5
@@ -62,13 +62,16 @@ class Toxicity:
 
 
 def sampled(rows: DataFrame, most: int) -> DataFrame:
-    """About ``most`` rows of each class at most; which ones depends on the rows alone."""
+    """About ``most`` rows of each class at most, ``weight`` raised by what is left out.
+
+    Which rows are taken depends on the rows alone.
+    """
     sizes = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
-    share = F.lit(0.0)
+    share = F.lit(1.0)
     for toxic, n in sizes.items():
         share = F.when(F.col("toxic") == toxic, min(1.0, most / n)).otherwise(share)
     place = F.pmod(F.xxhash64("key", "text"), F.lit(1_000_000))
-    return rows.where(place < share * 1_000_000)
+    return rows.where(place < share * 1_000_000).withColumn("weight", F.col("weight") / share)
 
 
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,12 +127,16 @@ def word_ratios(sample: DataFrame, toxic_share: float, least_count: int) -> dict
     return {bytes(r[0]): r[1] for r in known.select("word", ratio).collect()}
 
 
-def threshold_of(means: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """The mean ratio that parts the classes with the best F1, and the scale to score by."""
-    order = np.argsort(-means, kind="stable")
-    means, toxic = means[order], toxic[order]
-    hits = np.cumsum(toxic)
-    f1 = 2 * hits / (np.arange(1, len(toxic) + 1) + max(1, toxic.sum()))
+def threshold_of(means: np.ndarray, toxic: np.ndarray, weights: np.ndarray | None = None) -> tuple[float, float]:
+    """The mean ratio that parts the classes with the best F1, and the scale to score by.
+
+    ``weights`` are the rows that each one stands for.
+    """
+    weights = np.ones(len(means)) if weights is None else weights
+    order = np.lexsort((weights, -means))
+    means, toxic, weights = means[order], toxic[order], weights[order]
+    hits = np.cumsum(weights * toxic)
+    f1 = 2 * hits / (np.cumsum(weights) + max(1, hits[-1]))
     # Only between different values; of equal ones the highest.
     edge = np.append(means[1:] < means[:-1], True)
     best = int(np.where(edge, f1, -1).argmax())
@@ -144,8 +151,13 @@ def learn_toxicity(
 
     Rows with ``check`` give the threshold, the others the counts. Rows with a null in any
     of these columns teach nothing. Without rows of both classes all scores are 0.5 or less.
+    If the rows are a sample, ``weight`` is the number of rows that each stands for; the
+    threshold is that of their natural mix. Without toxic rows with ``check`` it is the
+    largest mean ratio of the others.
     """
     rows = rows.where("text IS NOT NULL AND toxic IN (0, 1)")
+    if "weight" not in rows.columns:
+        rows = rows.withColumn("weight", F.lit(1.0))
     ratios = word_ratios(sampled(rows.where("NOT check"), sample), toxic_share, least_count)
     model = Toxicity(ratios, 0.0, 1e-3)
     share = rows.sparkSession.sparkContext.broadcast(model)
@@ -153,18 +165,20 @@ def learn_toxicity(
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches, "text", 4 * MB):
             values = [share.value.mean_ratio(t) for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64()), part.column("toxic")], ["x", "toxic"])
-
-    # Both classes by one share here, so that the threshold is that of their natural mix.
-    checked = rows.where("check")
-    place = F.pmod(F.xxhash64("key", "text"), F.lit(1_000_000))
-    kept = checked.where(place < min(1.0, sample / max(1, checked.count())) * 1_000_000)
-    found = kept.select("text", "toxic").mapInArrow(means, "x double, toxic int").collect()
-    x = np.array([r[0] for r in found])
-    toxic = np.array([r[1] for r in found], bool)
-    if not ratios or not toxic.any() or toxic.all():
+            rest = [part.column(n) for n in ("toxic", "weight")]
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64()), *rest], ["x", "toxic", "weight"])
+
+    # Each class apart, so that a rare one is there; weights give back the natural mix.
+    kept = sampled(rows.where("check"), sample).select("text", "toxic", "weight")
+    found = kept.mapInArrow(means, "x double, toxic int, weight double").collect()
+    x, weights = (np.array([r[n] for r in found], float) for n in ("x", "weight"))
+    toxic = np.array([r["toxic"] for r in found], bool)
+    if not ratios or toxic.all():
         return Toxicity(ratios, 1e-3, 1e-3)
-    return Toxicity(ratios, *threshold_of(x, toxic))
+    if not toxic.any():
+        scale = max(1e-3, float(np.std(x)))
+        return Toxicity(ratios, max(0.0, float(x.max())) + 1e-3, scale)
+    return Toxicity(ratios, *threshold_of(x, toxic, weights))
 
 
 def score_toxicity(docs: DataFrame, model: Toxicity, text: str = "text") -> DataFrame:

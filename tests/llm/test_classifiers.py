@@ -12,7 +12,7 @@ from quizloom.llm import quality_crf
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.language_id import Languages, learn_trees, letter_grams, predict_language
 from quizloom.llm.quality_crf import FEATURES, Field, forward_backward, learn_quality, score_quality, text_features
-from quizloom.llm.queries import QUERIES
+from quizloom.llm.queries import QUERIES, labelled
 from quizloom.llm.toxicity_kn import Toxicity, learn_toxicity, score_toxicity, threshold_of
 
 SF = "/root/testdata/sf0.01"
@@ -188,6 +188,27 @@ def test_toxicity_finds_rare_words_and_spares_the_rest(spark):
     assert got[3]["score"] == got[4]["score"] == got[5]["score"]
 
 
+def test_threshold_where_toxic_labels_are_rare(spark, tmp_path):
+    rows = []
+    for i in range(4000):
+        toxic = int(i % 400 == 0)
+        rows.append((i, f"plain word{i % 9} words nasty" if toxic else f"plain word{i % 9} words here", toxic))
+    write_tables(spark, tmp_path, rows, "toxic")
+    docs = table(spark, str(tmp_path), "documents")
+    got = labelled(spark, str(tmp_path), docs, "toxic", 50)
+    at = {i: zlib.crc32(str(i).encode()) % 5 for i, _, _ in rows}
+    kept = got.where("check").collect()
+    assert sum(r["toxic"] for r in kept) == sum(t for i, _, t in rows if at[i] == 4) > 0
+    weights = sum(r["weight"] for r in kept if not r["toxic"])
+    assert weights == pytest.approx(sum(not t for i, _, t in rows if at[i] == 4), rel=0.5)
+    model = learn_toxicity(got, sample=50)
+    assert model.threshold > model.ratios[b"nasty"] / 10 and model.score(b"plain words nasty") >= 0.5
+    clean = learn_toxicity(got.where("NOT check OR toxic = 0"), sample=50)
+    assert all(clean.score(t.encode()) < 0.5 for _, t, toxic in rows if not toxic)
+    x, toxic = np.array([4.0, 3.0, 2.0, 1.0]), np.array([True, False, True, False])
+    assert threshold_of(x, toxic)[0] == 1.5 and threshold_of(x, toxic, np.array([1, 9.0, 1, 9]))[0] == 3.5
+
+
 def test_toxicity_without_labels(spark, docs, no_docs):
     none = learn_toxicity(spark.createDataFrame([], "key long, text binary, toxic int, check boolean"))
     assert all(r["predicted"] == 0 for r in score_toxicity(docs, none).collect())
