@@ -33,8 +33,8 @@ SAMPLE = 8000
 ORDINARY_DISCOUNT, TOXIC_DISCOUNT, SHARED_DISCOUNT = 0.75, 2.0, 0.5
 #: The share of a toxic text's words that comes from the toxic model.
 TOXIC_SHARE = 0.01
-#: Words with fewer occurrences in the sample say nothing.
-LEAST_COUNT = 3
+#: Words with fewer occurrences in the sample say nothing; at 1 discounts and shared counts alone decide.
+LEAST_COUNT = 1
 
 #: ASCII characters that are no letter or digit part words; A-Z become a-z.
 WORDS = bytes(

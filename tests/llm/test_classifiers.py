@@ -209,6 +209,16 @@ def test_threshold_where_toxic_labels_are_rare(spark, tmp_path):
     assert threshold_of(x, toxic)[0] == 1.5 and threshold_of(x, toxic, np.array([1, 9.0, 1, 9]))[0] == 3.5
 
 
+def test_words_seen_twice_in_toxic_texts_count(spark):
+    rows = []
+    for i in range(400):
+        toxic = int(i % 8 == 0)
+        words = ["plain", "words", f"word{i % 9}"] * 6 + ["nasty"] * 3 * toxic + ["vile"] * (2 * (i == 8))
+        rows.append((i, " ".join(words).encode(), toxic, i % 4 == 3 or i % 16 == 0))
+    model = learn_toxicity(spark.createDataFrame(rows, "key long, text binary, toxic int, check boolean"))
+    assert model.ratios[b"vile"] > max(0, model.ratios[b"plain"])
+
+
 def test_toxicity_without_labels(spark, docs, no_docs):
     none = learn_toxicity(spark.createDataFrame([], "key long, text binary, toxic int, check boolean"))
     assert all(r["predicted"] == 0 for r in score_toxicity(docs, none).collect())
