@@ -4,7 +4,8 @@ A mask samples some token positions of a short span and ignores the others, so t
 hash alike although tokens at ignored positions differ. Seeds of the benchmark and of the
 documents are joined on their hashes; around each hit the two texts are laid side by
 side, and an overlap counts if at least ``LEAST_SHARE`` of ``WINDOW`` tokens in a row are
-equal. Any such window with two substituted tokens has a seed of the first mask whole.
+equal. Any such window with two substituted tokens has a seed of the first mask whole;
+items of ``FEWEST`` to ``SHORT`` tokens get further masks where these two would miss one.
 
 Documents send only seeds that may be in the benchmark: a table of ``FILTER_BITS`` bits,
 the same size whatever the benchmark's, has a bit set for each benchmark seed. Hits
@@ -13,6 +14,7 @@ that lie close together travel as one row with their stretch of tokens.
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -31,6 +33,8 @@ MASKS = ((0, 1, 3, 6, 7), (0, 1, 2, 4, 5))
 #: Tokens that an overlap needs, or all tokens of a shorter item; the share that must be equal.
 WINDOW = 13
 LEAST_SHARE = 0.8
+#: Shorter items are in ordinary texts by chance and give no seed; items up to ``SHORT`` tokens may need more masks.
+FEWEST, SHORT = 4, 12
 FILTER_BITS = 24
 SLICES = 64
 
@@ -65,22 +69,54 @@ def seeds_at(tokens: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarr
     return total * np.uint64(0x9E3779B97F4A7C15)
 
 
-def bench_seeds(masks: tuple[tuple[int, ...], ...]):
+def uncovered(mask: tuple[int, ...], n: int, patterns: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+    """The substituted positions of ``n`` tokens that leave no seed of the mask whole."""
+    laid = [{start + at for at in mask} for start in range(n - mask[-1])]
+    return [p for p in patterns if not any(seed.isdisjoint(p) for seed in laid)]
+
+
+def short_masks(
+    masks: tuple[tuple[int, ...], ...], window: int, least: float
+) -> dict[int, list[tuple[int, ...]]]:
+    """For each short length the further masks, so that any allowed substitution leaves a seed whole."""
+    more: dict[int, list[tuple[int, ...]]] = {}
+    for n in range(FEWEST, min(window, SHORT) + 1):
+        equal = max(1, int(np.ceil(least * n - 1e-9)))
+        left = list(itertools.combinations(range(n), n - equal))
+        for mask in masks:
+            left = uncovered(mask, n, left)
+        size = min(len(masks[0]), equal)
+        tried = [(0, *rest) for rest in itertools.combinations(range(1, n), size - 1)]
+        more[n] = []
+        while left:
+            best = min(tried, key=lambda mask: len(uncovered(mask, n, left)))
+            more[n].append(best)
+            left = uncovered(best, n, left)
+    return more
+
+
+def bench_seeds(masks: list[tuple[int, ...]], always: int, short: dict[int, list[tuple[int, ...]]]):
+    """Items to their seeds: of the first ``always`` masks, and of those for the item's length."""
+
     def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes()
         for part, texts in pieces(batches, "text", MB):
-            rows: list[list] = [[], [], []]
+            rows: list[list] = [[], [], [], []]
             items = part.column("item").to_pylist()
             for item, text in zip(items, texts):
                 tokens = tokens_of(text, hashes)
+                mine = short.get(len(tokens), [])
                 for number, mask in enumerate(masks):
+                    if number >= always and mask not in mine:
+                        continue
                     found = seeds_at(tokens, mask, number).view(np.int64).tolist()
                     rows[0] += found
                     rows[1] += [item] * len(found)
                     rows[2] += range(len(found))
-            kinds = (pa.int64(), pa.int64(), pa.int32())
+                    rows[3] += [number] * len(found)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
             arrays = [pa.array(c, k) for c, k in zip(rows, kinds)]
-            yield pa.RecordBatch.from_arrays(arrays, ["seed", "item", "at"])
+            yield pa.RecordBatch.from_arrays(arrays, ["seed", "item", "at", "mask"])
 
     return seeds
 
@@ -121,8 +157,8 @@ def marked(table: np.ndarray, seeds: np.ndarray, bits: int) -> np.ndarray:
 STRETCH = "text_hash long, first int, tokens binary, seeds array<struct<seed: long, at: int>>"
 
 
-def stretches(share, masks, bits: int, window: int):
-    """Rows to stretches of tokens around seeds that pass the filter."""
+def stretches(share, masks: list[tuple[int, tuple[int, ...]]], bits: int, window: int):
+    """Rows to stretches of tokens around seeds of the numbered masks that pass the filter."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, hashes = share.value, Hashes()
@@ -136,7 +172,7 @@ def stretches(share, masks, bits: int, window: int):
             begins = starts_of(sizes)
             ends = begins + sizes
             at_all, seed_all = [], []
-            for number, mask in enumerate(masks):
+            for number, mask in masks:
                 seeds = seeds_at(flat, mask, number)
                 at = np.flatnonzero(marked(table, seeds, bits))
                 # The span must lie within one text.
@@ -234,7 +270,7 @@ def find_overlaps(
 
     Positions count the words of the document's text. An overlap is a run of windows of
     ``window`` words, or of all words of a shorter item, that agree with the item in a share
-    of ``least`` or more, word by word. Items too short for every mask are found in no
+    of ``least`` or more, word by word. Items of fewer than ``FEWEST`` words are found in no
     document; null texts have no words; a null item is reported as null.
     """
     rows = docs.select(
@@ -242,17 +278,23 @@ def find_overlaps(
     )
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).cast("binary").alias("text"))
     items = staged(items.where("text IS NOT NULL").withColumn("item_row", F.monotonically_increasing_id()), "items")
+    short = short_masks(masks, window, least)
+    more = sorted({mask for found in short.values() for mask in found} - set(masks))
+    numbered = [*masks, *more]
     seeds = staged(
         items.select(F.col("item_row").alias("item"), "text").mapInArrow(
-            bench_seeds(masks), "seed long, item long, at int"
+            bench_seeds(numbered, len(masks), short), "seed long, item long, at int, mask int"
         ),
         "benchmark-seeds",
     )
+    # Documents are laid under the masks that some item has.
+    used = {r["mask"] for r in seeds.select("mask").distinct().collect()}
+    laid = [(number, mask) for number, mask in enumerate(numbered) if number in used or number < len(masks)]
     share = docs.sparkSession.sparkContext.broadcast(seed_filter(seeds, bits))
     kind = rows.schema["key"].dataType
     found = staged(
         rows.mapInArrow(
-            stretches(share, masks, bits, window),
+            stretches(share, laid, bits, window),
             T.StructType([T.StructField("key", kind), *T.StructType.fromDDL(STRETCH).fields]),
         ).withColumn("stretch", F.monotonically_increasing_id()),
         "stretches",

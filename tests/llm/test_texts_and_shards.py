@@ -95,6 +95,23 @@ def test_every_window_with_two_substitutions_has_a_seed():
         assert any(np.isin(seeds_at(tokens, m, i), seeds_at(other, m, i)).any() for i, m in enumerate(MASKS))
 
 
+def test_short_items_are_found_whichever_words_differ(spark):
+    items, rows = [], []
+    for n in range(4, 13):
+        words = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        allowed = n - -(-8 * n // 10)
+        for bad in itertools.combinations(range(n), allowed):
+            text = " ".join("other" if i in bad else w for i, w in enumerate(words))
+            rows.append((len(rows), f"some words before {text} and some after", n))
+        text = " ".join("other" if i <= allowed else w for i, w in enumerate(words))
+        rows.append((len(rows), f"some words before {text} and some after", None))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, want long")
+    got = {r["doc_id"]: r["items"] for r in contaminated_documents(docs, benchmark).collect()}
+    assert got == {i: [] if n is None else [n] for i, _, n in rows}
+
+
 def test_overlaps_are_measured_along_the_diagonal():
     doc, item = np.arange(100, 140, dtype=np.uint64), np.arange(110, 125, dtype=np.uint64)
     assert overlap(doc, item, 10, 13, 0.8) == (10, 25)
