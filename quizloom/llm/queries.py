@@ -14,6 +14,7 @@ from quizloom.llm.embedding_lsh import near_vectors
 from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.line_dedup import dedup_lines
 from quizloom.llm.lm_scoring import score_texts
+from quizloom.llm.merkle_manifest import document_manifest
 from quizloom.llm.piece_tokenizer import encode_texts
 from quizloom.llm.quality_crf import learn_quality, score_quality
 from quizloom.llm.simhash_trie import near_duplicates
@@ -150,3 +151,77 @@ part AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT v.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, p.component_id, v.vec_id = p.component_id AS kept
 FROM v LEFT JOIN degree d ON d.a = v.vec_id JOIN part p ON p.a = v.vec_id
 """
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(table(spark, sf_dir, "documents"))
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned crc32 of a short ASCII text: bit by bit, -1 stands for a shift."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = (
+        "CASE WHEN e >= 0 THEN xor(a, e) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END"
+    )
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {steps}::BIGINT[]), lambda a, e: {step}), 4294967295)"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 5 = 0
+      THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS shown
+  FROM documents
+),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM l
+),
+up AS (
+  SELECT tree, 0 AS h, place AS pos, leaf AS digest, n FROM leaves
+  UNION ALL
+  SELECT tree, h + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 15) // 16
+  FROM up WHERE n > 1 GROUP BY tree, h, pos // 16
+),
+subroots AS (SELECT tree, h AS height, digest AS subroot, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS h, tree AS pos, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT h + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (max(n) + 15) // 16
+  FROM top WHERE n > 1 GROUP BY h, pos // 16
+),
+step AS (
+  SELECT leaves.tree, place, h AS s, u.pos, u.digest, u.pos = place // (16 ** h)::BIGINT AS own
+  FROM leaves JOIN up u ON u.tree = leaves.tree AND u.n > 1 AND u.pos // 16 = place // (16 ** (h + 1))::BIGINT
+  UNION ALL
+  SELECT leaves.tree, place, height + h, t.pos, t.digest, t.pos = leaves.tree // (16 ** h)::BIGINT
+  FROM leaves JOIN subroots USING (tree)
+    JOIN top t ON t.n > 1 AND t.pos // 16 = leaves.tree // (16 ** (h + 1))::BIGINT
+),
+fold AS (
+  SELECT tree, place, 0 AS s, coalesce(shown, leaf) AS digest FROM leaves
+  UNION ALL
+  SELECT f.tree, f.place, f.s + 1,
+    sha256(string_agg(CASE WHEN step.own THEN f.digest ELSE step.digest END, '' ORDER BY step.pos))
+  FROM fold f JOIN step ON step.tree = f.tree AND step.place = f.place AND step.s = f.s
+  GROUP BY f.tree, f.place, f.s
+),
+folded AS (SELECT tree, place, arg_max(digest, s) AS folded_root FROM fold GROUP BY tree, place),
+proof AS (
+  SELECT tree, place, string_agg(digest, '' ORDER BY s, pos) AS siblings FROM step WHERE NOT own GROUP BY tree, place
+)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
+  folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN folded USING (tree, place) LEFT JOIN proof USING (tree, place)
+  CROSS JOIN (SELECT digest AS root FROM top WHERE n = 1)
+"""
