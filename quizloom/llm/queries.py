@@ -11,6 +11,7 @@ from quizloom.llm import quality_crf, toxicity_kn
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.decontamination import contaminated_documents
 from quizloom.llm.embedding_lsh import near_vectors
+from quizloom.llm.hard_negatives import hard_negatives
 from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.line_dedup import dedup_lines
 from quizloom.llm.lm_scoring import score_texts
@@ -225,3 +226,36 @@ SELECT doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha2
 FROM leaves JOIN subroots USING (tree) JOIN folded USING (tree, place) LEFT JOIN proof USING (tree, place)
   CROSS JOIN (SELECT digest AS root FROM top WHERE n = 1)
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("vec_id")
+    label = F.when(key % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), anchor=key % 50 == 0, label=label)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pair AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 50 = 0
+),
+positive AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM pair WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+  (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INT AS rank
+FROM positive JOIN pair USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
