@@ -16,6 +16,7 @@ from quizloom.llm.language_id import learn_trees, predict_language
 from quizloom.llm.line_dedup import dedup_lines
 from quizloom.llm.lm_scoring import score_texts
 from quizloom.llm.merkle_manifest import document_manifest
+from quizloom.llm.order_minhash import fingerprint_edits
 from quizloom.llm.piece_tokenizer import encode_texts
 from quizloom.llm.quality_crf import learn_quality, score_quality
 from quizloom.llm.simhash_trie import near_duplicates
@@ -154,6 +155,11 @@ FROM v LEFT JOIN degree d ON d.a = v.vec_id JOIN part p ON p.a = v.vec_id
 """
 
 
+@query
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_manifest(table(spark, sf_dir, "documents"))
