@@ -215,11 +215,15 @@ def score_quality(docs: DataFrame, field: Field, text: str = "text", least: floa
     training as its score. Equal texts get equal scores, an empty table stays empty.
     """
     columns = [n for n in docs.columns if n not in ("score", "predicted")]
-    share = docs.sparkSession.sparkContext.broadcast(field)
+    # Plain values: broadcasts, unlike functions, are read by workers that may not have this module.
+    share = docs.sparkSession.sparkContext.broadcast(
+        (field.weights, field.pairs, field.mean, field.spread, float(field.prior))
+    )
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Field(*share.value)
         for part, texts in pieces(batches, text, CHUNK):
-            values = share.value.scores(texts)
+            values = known.scores(texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(n) for n in columns],

@@ -52,6 +52,10 @@ class Toxicity:
     def __init__(self, ratios: dict[bytes, float], threshold: float, scale: float):
         self.ratios, self.threshold, self.scale = ratios, threshold, scale
 
+    def values(self) -> tuple:
+        """What to broadcast: plain values, as workers may not have this module."""
+        return self.ratios, self.threshold, self.scale
+
     def mean_ratio(self, text: bytes) -> float:
         words = words_of(text)
         return sum(map(self.ratios.get, words, repeat(0.0))) / len(words) if words else 0.0
@@ -160,11 +164,12 @@ def learn_toxicity(
         rows = rows.withColumn("weight", F.lit(1.0))
     ratios = word_ratios(sampled(rows.where("NOT check"), sample), toxic_share, least_count)
     model = Toxicity(ratios, 0.0, 1e-3)
-    share = rows.sparkSession.sparkContext.broadcast(model)
+    share = rows.sparkSession.sparkContext.broadcast(model.values())
 
     def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Toxicity(*share.value)
         for part, texts in pieces(batches, "text", 4 * MB):
-            values = [share.value.mean_ratio(t) for t in texts]
+            values = [known.mean_ratio(t) for t in texts]
             rest = [part.column(n) for n in ("toxic", "weight")]
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64()), *rest], ["x", "toxic", "weight"])
 
@@ -188,11 +193,12 @@ def score_toxicity(docs: DataFrame, model: Toxicity, text: str = "text") -> Data
     equal scores, an empty table stays empty.
     """
     columns = [n for n in docs.columns if n not in ("score", "predicted")]
-    share = docs.sparkSession.sparkContext.broadcast(model)
+    share = docs.sparkSession.sparkContext.broadcast(model.values())
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Toxicity(*share.value)
         for part, texts in pieces(batches, text, 4 * MB):
-            values = [share.value.score(t) for t in texts]
+            values = [known.score(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(n) for n in columns],
