@@ -108,89 +108,137 @@ def chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found[::-1]
 
 
-def aligned(shared: list[tuple[list[int], list[int]]]) -> dict[int, int]:
+def aligned(shared: list[tuple[list[int], list[int]]], of_later: list[int], of_earlier: list[int]) -> dict[int, int]:
     """Places in the later document to places in the earlier one, from the places of each shared line.
 
+    ``of_later`` and ``of_earlier`` name the shared line at each place, negative if there is none.
     First the longest chain of lines that are unique in both, with the equal lines beside
     them, then the other unique lines, which have moved; then the same for repeated lines,
     taken in the order they occur.
     """
     match: dict[int, int] = {}
     taken: set[int] = set()
-    equal = {a: set(bs) for as_, bs in shared if len(as_) > 1 or len(bs) > 1 for a in as_}
+    unique = [len(as_) == len(bs) == 1 for as_, bs in shared]
 
     def take(pairs: list[tuple[int, int]]) -> None:
         fresh = [p for p in pairs if p[0] not in match and p[1] not in taken]
         match.update(fresh)
         taken.update(b for _, b in fresh)
         for step in (1, -1):
-            for a in [a for a, _ in fresh]:
+            for a, _ in fresh:
                 b = match[a]
-                while a + step in equal and b + step in equal[a + step]:
+                while True:
                     a, b = a + step, b + step
-                    if a in match or b in taken:
+                    if not (0 <= a < len(of_later) and 0 <= b < len(of_earlier)):
+                        break
+                    line = of_later[a]
+                    if line != of_earlier[b] or line < 0 or unique[line] or a in match or b in taken:
                         break
                     match[a] = b
                     taken.add(b)
 
-    once = sorted((a[0], b[0]) for a, b in shared if len(a) == len(b) == 1)
+    once = sorted((as_[0], bs[0]) for (as_, bs), one in zip(shared, unique) if one)
     take(chain(once))
     take(once)
     left = [
         p
-        for a, b in shared
-        for p in zip([x for x in a if x not in match], [x for x in b if x not in taken])
+        for as_, bs in shared
+        for p in zip([x for x in as_ if x not in match], [x for x in bs if x not in taken])
     ]
     take(chain(sorted(left)))
     take(left)
     return match
 
 
-def blocks_of(match: dict[int, int], words: np.ndarray, least: int) -> list[list[int]]:
+def blocks_of(match: dict[int, int], words: np.ndarray, least: int) -> list[range]:
     """Places that are neighbours in both documents, in blocks of ``least`` words or more."""
-    found: list[list[int]] = []
-    block: list[int] = []
-    for a in [*sorted(match), None]:
-        if block and (a is None or a != block[-1] + 1 or match[a] != match[block[-1]] + 1):
-            if words[block].sum() >= least:
-                found.append(block)
-            block = []
-        if a is not None:
-            block.append(a)
-    return found
+    if not match:
+        return []
+    places = np.array(sorted(match))
+    others = np.array([match[a] for a in places.tolist()])
+    ends = np.flatnonzero((np.diff(places) != 1) | (np.diff(others) != 1)) + 1
+    firsts = places[np.concatenate(([0], ends))]
+    lasts = places[np.concatenate((ends, [len(places)])) - 1]
+    before = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    return [range(a, b + 1) for a, b in zip(firsts.tolist(), lasts.tolist()) if before[b + 1] - before[a] >= least]
+
+
+class Windows:
+    """Finds where a run of a text's lines occurs again, by hashes of all runs of its length."""
+
+    def __init__(self, lines: np.ndarray, places: list[np.ndarray]):
+        self.lines, self.places = lines, places
+        # Sums of values times powers of an odd number, modulo 2^64; a run's is moved to the first power.
+        random_ = np.random.default_rng(5).integers(0, 1 << 63, len(places) + 1, np.uint64)
+        base = 0x9E3779B97F4A7C15
+        powers = np.full(len(lines) + 1, base, np.uint64)
+        back = np.full(len(lines) + 1, pow(base, -1, 1 << 64), np.uint64)
+        powers[0] = back[0] = 1
+        self.back = np.cumprod(back)
+        values = random_[lines] * np.cumprod(powers)[:-1]
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)))
+
+    def repeats(self, block: range) -> np.ndarray:
+        """The places where the lines of ``block`` begin, itself included; tried where its rarest line is."""
+        wanted = self.lines[block.start : block.stop]
+        rarest = int(np.argmin([len(self.places[n]) for n in wanted.tolist()]))
+        starts = self.places[wanted[rarest]] - rarest
+        starts = starts[(starts >= 0) & (starts + len(block) <= len(self.lines))]
+        hashes = (self.sums[starts + len(block)] - self.sums[starts]) * self.back[starts]
+        own = (self.sums[[block.stop]] - self.sums[[block.start]]) * self.back[[block.start]]
+        return starts[hashes == own]
 
 
 def common_places(shared: list[tuple[list[int], list[int]]], words: np.ndarray, least: int) -> list[int]:
     """All places of the later document to delete.
 
     A block goes wherever the later document repeats it. What is left is aligned with the
-    whole earlier document again, until no block is found.
+    whole earlier document again, until no block is found. Memory grows with the lines of
+    both, however often a line repeats.
     """
-    line_at = {a: line for line, (as_, _) in enumerate(shared) for a in as_}
-    gone: set[int] = set()
+    line_at = np.full(len(words), -1)
+    of_earlier = [-2] * (1 + max(b for _, bs in shared for b in bs))
+    for line, (as_, bs) in enumerate(shared):
+        line_at[as_] = line
+        for b in bs:
+            of_earlier[b] = line
+    windows = Windows(line_at, [np.array(as_) for as_, _ in shared])
+    gone = np.zeros(len(words), bool)
     while True:
-        rest = [([a for a in as_ if a not in gone], bs) for as_, bs in shared]
-        blocks = blocks_of(aligned([x for x in rest if x[0]]), words, least)
+        before = gone.copy()
+        rest = [([a for a in as_ if not before[a]], bs) for as_, bs in shared]
+        of_later = np.where(before, -1, line_at).tolist()
+        blocks = blocks_of(aligned(rest, of_later, of_earlier), words, least)
         if not blocks:
-            return sorted(gone)
+            return np.flatnonzero(gone).tolist()
+        seen = set()
         for block in blocks:
-            lines = [line_at[a] for a in block]
-            gone.update(block)
-            free = 0
-            for start in rest[lines[0]][0]:
-                places = range(start, start + len(lines))
-                if start >= free and all(line_at.get(a) == n for a, n in zip(places, lines)):
-                    if gone.isdisjoint(places):
-                        gone.update(places)
-                    free = places.stop
+            gone[block.start : block.stop] = True
+            lines = line_at[block.start : block.stop]
+            if lines.tobytes() in seen:
+                continue
+            seen.add(lines.tobytes())
+            starts = windows.repeats(block)
+            starts = starts[~before[starts]]
+            i = 0
+            while i < len(starts):
+                start = int(starts[i])
+                stop = start + len(block)
+                if (line_at[start:stop] == lines).all():
+                    if not gone[start:stop].any():
+                        gone[start:stop] = True
+                    i = int(np.searchsorted(starts, stop))
+                else:
+                    i += 1
 
 
 def aligner(least: int):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             docs, places = [], []
-            rows = zip(*(batch.column(n).to_pylist() for n in ("doc", "words", "shared")))
-            for doc, words, shared in rows:
+            for i in range(batch.num_rows):
+                # One pair at a time: a batch may hold many long documents.
+                doc, words, shared = (batch.column(n)[i].as_py() for n in ("doc", "words", "shared"))
                 found = common_places(
                     [(s["later_at"], s["at"]) for s in shared], np.frombuffer(words, np.int32), least
                 )

@@ -1,6 +1,7 @@
 """SimHash, vectors, components and line dedup against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.components import Forest, components
 from quizloom.llm.embedding_lsh import near_vectors
-from quizloom.llm.line_dedup import common_places, dedup_lines
+from quizloom.llm.line_dedup import chain, common_places, dedup_lines
 from quizloom.llm.simhash_trie import near_duplicates, one_of_each, self_join
 
 
@@ -199,3 +200,137 @@ def test_blocks_need_neighbours_in_both():
     assert common_places([([0], [5]), ([1], [7])], words, 10) == []
     assert common_places([([0, 2], [5]), ([1, 3], [6])], words, 10) == [0, 1, 2, 3]
     assert common_places([([0], [9]), ([1], [10]), ([2], [1]), ([3], [2])], words, 10) == [0, 1, 2, 3]
+
+
+def plain_places(later, earlier, words, least):
+    """The alignment with plain lists and sets, as its docstring has it."""
+    gone = set()
+    while True:
+        rest = {x: [i for i, y in enumerate(later) if y == x and i not in gone] for x in later if x in earlier}
+        others = {x: [i for i, y in enumerate(earlier) if y == x] for x in rest}
+        match = {}
+
+        def take(pairs):
+            fresh = [(a, b) for a, b in pairs if a not in match and b not in match.values()]
+            match.update(fresh)
+            for step in (1, -1):
+                for a, b in fresh:
+                    while True:
+                        a, b = a + step, b + step
+                        line = later[a] if 0 <= a < len(later) and a not in gone else None
+                        if line is None or not 0 <= b < len(earlier) or earlier[b] != line:
+                            break
+                        if len(rest[line]) == len(others[line]) == 1 or a in match or b in match.values():
+                            break
+                        match[a] = b
+
+        once = sorted((rest[x][0], others[x][0]) for x in rest if len(rest[x]) == len(others[x]) == 1)
+        take(chain(once))
+        take(once)
+        left = [
+            p
+            for x in rest
+            for p in zip([a for a in rest[x] if a not in match], [b for b in others[x] if b not in match.values()])
+        ]
+        take(chain(sorted(left)))
+        take(left)
+        blocks = []
+        for a in sorted(match):
+            if blocks and a == blocks[-1][-1] + 1 and match[a] == match[a - 1] + 1:
+                blocks[-1].append(a)
+            else:
+                blocks.append([a])
+        blocks = [b for b in blocks if sum(words[later[a]] for a in b) >= least]
+        if not blocks:
+            return gone
+        before = set(gone)
+        for block in blocks:
+            gone.update(block)
+            free = 0
+            for start in range(len(later) - len(block) + 1):
+                places = range(start, start + len(block))
+                same = [later[a] for a in places] == [later[a] for a in block]
+                if same and start >= free and start not in before:
+                    if gone.isdisjoint(places):
+                        gone.update(places)
+                    free = places.stop
+
+
+def plain_dedup(texts, least=10):
+    """Line dedup of texts in order, every pair of documents looked at."""
+    originals, found = [], []
+    for text in texts:
+        lines = text.split("\n")
+        if text in originals:
+            found.append("")
+            continue
+        originals.append(text)
+        gone = set()
+        for earlier in dict.fromkeys(holders_of(originals, least)):
+            words = {x: len(x.split()) for x in lines}
+            gone |= plain_places(lines, earlier.split("\n"), words, least)
+        found.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return found
+
+
+def runs(text, least):
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
+        run, n = [], 0
+        for x in lines[i:]:
+            n += len(x.split())
+            run += [x] if x.split() else []
+            if n >= least:
+                if line.split():
+                    yield tuple(run)
+                break
+
+
+def holders_of(originals, least):
+    """The first earlier holder of each run of the last text."""
+    for run in runs(originals[-1], least):
+        first = next(t for t in originals if run in set(runs(t, least)))
+        if first != originals[-1]:
+            yield first
+
+
+def test_line_dedup_equals_plain_version(spark):
+    random_ = random.Random(8)
+    kinds = ["", " ", *[f"line {i} of five words" for i in range(4)], *[" ".join([f"w{i}"] * 12) for i in range(3)]]
+    texts = []
+    for _ in range(60):
+        lines = [random_.choice(kinds) for _ in range(random_.randrange(1, 14))]
+        if texts and random_.random() < 0.5:
+            other = random_.choice(texts).split("\n")
+            at = random_.randrange(len(other))
+            lines[random_.randrange(len(lines)) :] = other[at : at + random_.randrange(1, 9)]
+        texts.append("\n".join(lines) or "x")
+    got = dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    want = plain_dedup(texts)
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == dict(enumerate(want))
+
+
+LONG = 100_000
+
+
+@pytest.mark.parametrize(
+    "line",
+    [
+        lambda i, side: 0 if i % 2 else (1 if i in (10, 12) else side * LONG + i),  # blank lines, two lines shared
+        lambda i, side: 0 if i % 2 else (i if i // 100 % 2 else side * LONG + i),  # blank lines, half shared
+        lambda i, side: 1,  # one line over and over
+        lambda i, side: i if side == 1 else i * 7919 % LONG,  # every line moved
+    ],
+)
+def test_long_documents_are_aligned_in_memory_of_their_size(line):
+    later, earlier = {}, {}
+    for i in range(LONG):
+        later.setdefault(line(i, 1), []).append(i)
+        earlier.setdefault(line(i, 2), []).append(i)
+    words = np.array([0 if line(i, 1) == 0 else 12 for i in range(LONG)], np.int32)
+    shared = [(later[x], earlier[x]) for x in later if x in earlier]
+    tracemalloc.start()
+    common_places(shared, words, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
