@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.decontamination import clean_documents
-from quizloom.llm.language_id import UNKNOWN, learn_trees, predict_language
+from quizloom.llm.language_id import UNKNOWN, is_foreign, learn_trees, predict_language, usual_bits
 from quizloom.llm.line_dedup import dedup_lines
 from quizloom.llm.piece_tokenizer import encode_texts
 from quizloom.llm.simhash_trie import one_of_each
@@ -26,11 +26,15 @@ LEAST_SURE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text is in one of the learned languages; ``lang`` becomes the predicted one.
 
-    Texts that are null, empty or without a letter go, and those of uncertain language.
+    Texts that are null, empty or without a letter go, those of uncertain language, and those that
+    no learned language codes nearly as short as its own training texts (foreign ones, gibberish).
     """
-    trees = learn_trees(docs, learn=~in_fold(F.col("doc_id"), 5))
-    sure = predict_language(docs, trees).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SURE))
-    return sure.withColumn("lang", F.col("lang_pred")).select(docs.columns)
+    learn = ~in_fold(F.col("doc_id"), 5)
+    trees = learn_trees(docs, learn=learn)
+    usual = usual_bits(predict_language(docs.where(learn & F.col("lang").isNotNull()).select("text"), trees))
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SURE) & ~is_foreign(usual)
+    kept = predict_language(docs, trees).where(known)
+    return kept.withColumn("lang", F.col("lang_pred")).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ Prediction is one pass over the texts without a shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,10 @@ BLOCK = MB // 16
 CHUNK = 4 * MB
 UNKNOWN = "und"
 TREE = ["lang", "grams", "counts"]
+#: A text is foreign to a language if its code takes so many spreads more bits a byte than the language's own
+#: texts on average, and more for short texts: so many bits over the root of the bytes.
+FAR, SHORT = 20, 12
+LEAST_SPREAD = 0.1
 
 #: Lower case for A-Z; what is no letter of a text's UTF-8 bytes is a blank.
 BLANK = 32
@@ -69,6 +74,14 @@ def letter_grams(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray
     return grams[inside[order:]], kept - order
 
 
+def stretches(text: bytes, order: int, most: int) -> Iterator[np.ndarray]:
+    """The grams of one text as ``letter_grams`` gives them, about ``most`` at a time."""
+    table = bytes(letter_table())
+    data = bytes([END]) * order + re.sub(b" +", b" ", text.translate(table)) + bytes([END])
+    for start in range(0, len(data) - order, most):
+        yield gram_keys(data[start : start + most + order], order)
+
+
 def has_letter(text: bytes) -> bool:
     if any(65 <= c <= 90 or 97 <= c <= 122 for c in text[:64]):
         return True
@@ -163,33 +176,50 @@ class Languages:
             sums[i] = np.add.reduceat(logs, begins)
         return sums
 
+    def text_lengths(self, texts: list[bytes], order: int, most: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+        """``code_lengths`` of whole texts, and how many bytes of each count; long ones by the stretch."""
+        sums, sizes = np.zeros((len(self.names), len(texts))), np.zeros(len(texts), np.int64)
+        short = [i for i, t in enumerate(texts) if len(t) <= most]
+        if short:
+            grams, sizes[short] = letter_grams([texts[i] for i in short], order)
+            sums[:, short] = self.code_lengths(grams, sizes[short])
+        for i, text in enumerate(texts):
+            if len(text) > most:
+                for grams in stretches(text, order, most):
+                    sums[:, i] += self.code_lengths(grams, np.array([len(grams)]))[:, 0]
+                    sizes[i] += len(grams)
+        return sums, sizes
+
 
 def predict_language(
-    docs: DataFrame, trees: dict[str, tuple[bytes, bytes]], text: str = "text", order: int = ORDER
+    docs: DataFrame, trees: dict[str, tuple[bytes, bytes]], text: str = "text", order: int = ORDER, most: int = CHUNK
 ) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, in place of columns of these names.
+    """``docs`` with ``lang_pred``, ``score``, ``code_bits`` and ``code_bytes``, in place of columns of these names.
 
     ``lang_pred`` is the language that codes the whole text shortest, the first by name
     in a tie; ``score`` is its posterior probability if all are equally likely before.
     A text that is null, empty or without a letter is ``und`` with score 0, and so is
-    every text if no language was learned. Equal rows get equal results.
+    every text if no language was learned. ``code_bits`` is how many bits a byte the text takes
+    in that language, and ``code_bytes`` how many bytes count, runs of other bytes than letters
+    as one; both are 0 for ``und``. Texts of more than ``most`` bytes are coded by the stretch.
+    Equal rows get equal results.
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(trees)
-    columns = [n for n in docs.columns if n not in ("lang_pred", "score")]
-    fields = [docs.schema[n] for n in columns]
-    schema = T.StructType(
-        [*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
+    added = T.StructType.fromDDL("lang_pred string, score double, code_bits double, code_bytes long")
+    columns = [n for n in docs.columns if n not in added.names]
+    schema = T.StructType([*[docs.schema[n] for n in columns], *added.fields])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = Languages(model.value, order) if model.value else None
         for part, texts in pieces(batches, text, CHUNK):
             known = [languages is not None and has_letter(t) for t in texts]
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+            bits, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
             rows = [i for i, k in enumerate(known) if k]
             if rows:
-                logs = languages.code_lengths(*letter_grams([texts[i] for i in rows], order))
+                logs, sizes[rows] = languages.text_lengths([texts[i] for i in rows], order, most)
+                bits[rows] = -logs.max(axis=0) / sizes[rows] / np.log(2)
                 best = logs.argmax(axis=0)
                 top = 1 / np.exp(logs - logs.max(axis=0)).sum(axis=0)
                 for i, b, s in zip(rows, best.tolist(), top.tolist()):
@@ -199,8 +229,31 @@ def predict_language(
                     *[part.column(n) for n in columns],
                     pa.array(names, pa.string()),
                     pa.array(scores, pa.float64()),
+                    pa.array(bits),
+                    pa.array(sizes),
                 ],
-                [*columns, "lang_pred", "score"],
+                [*columns, *added.names],
             )
 
     return docs.select(*columns).mapInArrow(predict, schema)
+
+
+def usual_bits(predicted: DataFrame) -> dict[str, tuple[float, float]]:
+    """The mean and spread of ``code_bits`` of each language's texts: one partial aggregate, a row a language."""
+    known = predicted.where(F.col("lang_pred") != UNKNOWN).groupBy("lang_pred")
+    found = known.agg(F.avg("code_bits").alias("mean"), F.stddev_pop("code_bits").alias("spread"))
+    return {r["lang_pred"]: (r["mean"], r["spread"]) for r in found.collect()}
+
+
+def is_foreign(usual: dict[str, tuple[float, float]], far: float = FAR, short: float = SHORT) -> Column:
+    """Whether a predicted text's code takes many more bits than the texts of its language usually do.
+
+    A text of a language that was never learned, or of letters at random, has some learned language
+    that codes it shortest, and by far; what tells it apart is that no language codes it short. A
+    language without usual bits has the highest limit of the others; without any, no text is foreign.
+    """
+    limits = {name: mean + far * max(spread, LEAST_SPREAD) for name, (mean, spread) in usual.items()}
+    limit = F.lit(max(limits.values(), default=float("inf")))
+    for name, most in limits.items():
+        limit = F.when(F.col("lang_pred") == name, most).otherwise(limit)
+    return F.col("code_bits") > limit + short / F.sqrt("code_bytes")

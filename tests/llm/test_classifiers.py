@@ -5,9 +5,10 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest_llm import as_sets
+from conftest_llm import SCHEMA, as_sets
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quizloom.llm import quality_crf
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.language_id import Languages, learn_trees, letter_grams, predict_language
@@ -52,7 +53,7 @@ def test_language_of_odd_texts(spark, docs, crowded, no_docs):
     trees = learn_trees(docs, learn=~in_fold(F.col("doc_id"), 5))
     assert sorted(trees) == ["en", "fr"]
     got = predict_language(docs, trees)
-    assert got.columns == [*docs.columns, "lang_pred", "score"]
+    assert got.columns == [*docs.columns, "lang_pred", "score", "code_bits", "code_bytes"]
     rows = {r["doc_id"]: r for r in got.collect()}
     for blank in (6, 7, 8, 9):
         assert (rows[blank]["lang_pred"], rows[blank]["score"]) == ("und", 0.0)
@@ -65,6 +66,32 @@ def test_language_of_odd_texts(spark, docs, crowded, no_docs):
     assert predict_language(no_docs, trees).count() == 0
 
 
+def test_long_texts_are_coded_by_the_stretch(spark, docs):
+    trees = learn_trees(docs, learn=F.lit(True))
+    whole = {r["doc_id"]: r for r in predict_language(docs, trees).where("doc_id < 17").collect()}
+    for r in predict_language(docs, trees, most=50).where("doc_id < 17").collect():
+        assert (r["lang_pred"], r["code_bytes"]) == (whole[r["doc_id"]]["lang_pred"], whole[r["doc_id"]]["code_bytes"])
+        assert r["code_bits"] == pytest.approx(whole[r["doc_id"]]["code_bits"], rel=1e-5)
+
+
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem.",
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "bcd fghj klmnpq rstv wxz zzqk pwrt bbd hgfq xcvb nmlk trw qps dfgh jklz xkcd bvnm wrtp qzxw",
+]
+
+
+def test_pipeline_rejects_languages_that_were_not_learned(spark):
+    docs = table(spark, SF, "documents")
+    odd = spark.createDataFrame([(-1 - i, t, None, "x", len(t)) for i, t in enumerate(FOREIGN)], SCHEMA)
+    rows = docs.select(odd.columns).union(odd)
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_id(spark, rows, SF).collect()}
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    assert not [k for k in kept if k < 0]
+    assert len(kept) >= 0.99 * len(truth)
+    assert sum(truth[k] == v for k, v in kept.items()) >= 0.97 * len(truth)
+
+
 def test_languages_of_few_long_texts_are_learned(spark):
     rows = [(i, f"lang{i} words of this language ".replace("i", "aeiou"[i % 5]) * 9000, f"l{i}") for i in range(8)]
     rows += [(100, "", "empty"), (101, None, "none")]
