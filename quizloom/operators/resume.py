@@ -1,15 +1,13 @@
 """Skip what is done: whole exams, and single pages."""
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.functions.payload import page_error
-from quizloom.schemas import PAGE_KEYS, PAGE_TABLE
+from quizloom.operators import hashed
+from quizloom.schemas import ARRIVED_PAGE, PAGE_KEYS
 from quizloom.staging import scratch, staged
-
-# Parts of the page and question tables. It must not change once they are written.
-BUCKETS = 64
+from quizloom.versions import newest, publish
 
 
 def finished_exams(outputs: DataFrame, fmt: str) -> DataFrame:
@@ -49,20 +47,23 @@ def with_cached_payload(pages: DataFrame, page_table: DataFrame) -> DataFrame:
     )
 
 
-def bucket_of(exam: Column) -> Column:
-    """The part of the page and question tables that holds an exam."""
-    return F.pmod(F.xxhash64(exam), F.lit(BUCKETS)).cast("int")
+def page_state(spark: SparkSession, path: str) -> tuple[int, dict]:
+    """The newest version of the page table at ``path`` and its state; 0 before the first append."""
+    version, state = newest(spark, path)
+    return version, state or hashed.empty()
+
 
+def read_page_table(
+    spark: SparkSession, path: str, buckets: list[int] | None = None, after: int = 0
+) -> DataFrame:
+    """The page table at ``path``, each key once; some of its buckets, or what arrived after a version.
 
-def read_page_table(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
-    """The page table at ``path`` or some of its buckets; empty before the first append."""
-    try:
-        rows = spark.read.schema(f"{PAGE_TABLE}, bucket int").parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], f"{PAGE_TABLE}, bucket int")
-    return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
+    Holds to the version that is newest now. ``arrived`` is the version that brought a row;
+    parts that hold no later one are not read.
+    """
+    _, state = page_state(spark, path)
+    rows = hashed.read(spark, state, path, ARRIVED_PAGE, buckets, after).drop("part")
+    return rows.where(F.col("arrived") > after) if after else rows
 
 
 def judged_pages(fresh: DataFrame) -> DataFrame:
@@ -82,29 +83,55 @@ def judged_pages(fresh: DataFrame) -> DataFrame:
 
 
 def append_new_pages(
-    fresh: DataFrame, path: str, quarantine: str | None = None, batch: int | str = 0
+    fresh: DataFrame,
+    path: str,
+    quarantine: str | None = None,
+    batch: int | str = 0,
+    rows_per_bucket: int = hashed.ROWS_PER_BUCKET,
+    most_parts: int = hashed.MOST_PARTS,
 ) -> None:
     """Add the good pages that the table at ``path`` doesn't hold yet; set aside what can't be stored.
 
     Only pages that decode are stored, so a later good page takes the place of a bad one.
     Rows with a reason go to ``<quarantine>/batch=<batch>`` as they came, with it; failed
-    pages go nowhere. The table is divided by ``bucket_of(exam)``, and only buckets that the
-    rows belong to are read. Running it again with the same rows and batch changes nothing.
+    pages go nowhere. Running it again with the same rows and batch changes nothing.
+
+    The table is divided by a linear hash of the exam: it grows by splitting one bucket after
+    another, and a bucket's parts are brought together when there are many. Of the buckets
+    that the rows belong to, keys are read only where a filter says that one may be known. A
+    new version is published when its rows are there, so readers see each key once throughout.
     """
     spark = fresh.sparkSession
+    exam = F.col("exam")
     with scratch(spark):
         judged = staged(judged_pages(fresh), "arrived")
-        good = (
-            judged.where("reason IS NULL AND NOT failed")
-            .groupBy(*PAGE_KEYS)
-            .agg(F.min("payload").alias("payload"))
-            .withColumn("bucket", bucket_of(F.col("exam")))
-        )
-        buckets = [r[0] for r in good.select("bucket").distinct().collect()]
-        known = read_page_table(spark, path, buckets).select(*PAGE_KEYS, "bucket")
-        new = good.join(known, [*PAGE_KEYS, "bucket"], "left_anti")
-        # Few files: a bucket's rows come together, but for those of a bucket too large for one task.
-        new.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(path)
+        good = judged.where("reason IS NULL AND NOT failed").groupBy(*PAGE_KEYS).agg(F.min("payload").alias("payload"))
+        version, state = page_state(spark, path)
+        if not state["buckets"]:
+            # An empty table starts with buckets enough.
+            state = hashed.with_buckets(state, -(-good.count() // rows_per_bucket))
+        good = good.withColumn("bucket", hashed.bucket_of(state, exam))
+        new = good
+        keys = judged.where("reason IS NULL AND NOT failed").select(*PAGE_KEYS)
+        held = hashed.maybe_known(spark, state, path, keys.withColumn("bucket", hashed.bucket_of(state, exam)), PAGE_KEYS)
+        if held:
+            known = hashed.read(spark, hashed.of_parts(state, held), path, ARRIVED_PAGE)
+            new = good.join(known.select(*PAGE_KEYS, "bucket"), [*PAGE_KEYS, "bucket"], "left_anti")
+        rows = new.withColumn("arrived", F.lit(version + 1).cast("long"))
+        counts, slots = hashed.write_part(rows, path, version + 1, PAGE_KEYS)
+        if counts:
+            state = hashed.added(state, counts, version + 1, slots)
+            publish(spark, path, version + 1, state)
+            arranged = hashed.arranged(
+                spark, state, path, ARRIVED_PAGE, "exam", version + 2, PAGE_KEYS, rows_per_bucket, most_parts
+            )
+            if arranged != state:
+                publish(spark, path, version + 2, arranged)
         bad = judged.where("reason IS NOT NULL")
         if quarantine is not None:
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch}")
+
+
+def drop_old_pages(spark: SparkSession, path: str) -> None:
+    """Delete what the newest version of the page table doesn't hold. No reader may be at work on an older one."""
+    hashed.drop_unnamed(spark, page_state(spark, path)[1], path)

@@ -539,6 +539,54 @@ def append_pages(spark, sf_dir):
     return resume.read_page_table(spark, path).select("exam", "doc_kind", "page", statement)
 
 
+@query(
+    f"""
+    SELECT 'user-' || user_id AS exam, 'prova' AS doc_kind, event_id::int AS page, event_type AS statement
+    FROM events WHERE {STORED_SQL}
+    """
+)
+def page_table_growth(spark, sf_dir):
+    """The page table after its buckets have doubled by splits and their parts were brought together."""
+    path = staging_path(spark, "growing-pages")
+    fresh = arriving_pages(spark, sf_dir)
+    each = fresh.count() // 20 + 1
+    for n in range(3):
+        arrived = fresh.where(F.pmod(F.xxhash64("page"), F.lit(2)) == 0) if n == 0 else fresh
+        resume.append_new_pages(arrived, path, rows_per_bucket=each, most_parts=1)
+    resume.drop_old_pages(spark, path)
+    statement = F.get_json_object("payload", "$.questoes[0].enunciado").alias("statement")
+    return resume.read_page_table(spark, path).select("exam", "doc_kind", "page", statement)
+
+
+@query(
+    """
+    WITH e AS (SELECT *, json_extract_string(props, '$.k')::bigint AS k, event_id % 97 = 5 AS late FROM events)
+    SELECT 'user-' || user_id AS exam_source, k AS question_number,
+        string_agg(event_type, ' ' ORDER BY event_id) AS statement,
+        bool_or(bool_or(late)) OVER (PARTITION BY user_id) AS rebuilt
+    FROM e GROUP BY user_id, k
+    """
+)
+def late_pages(spark, sf_dir):
+    """Late pages join what their exams' questions were stitched from; no other exam is written again."""
+    base = staging_path(spark, "late-pages")
+    payload_of = """concat('{"questoes":[{"numero":', get_json_object(props, '$.k'), ',"enunciado":"', event_type, '"}]}')"""
+    pages = table(spark, sf_dir, "events").select(
+        F.expr("concat('user-', user_id)").alias("exam"),
+        F.lit("prova").alias("doc_kind"),
+        F.col("event_id").cast("int").alias("page"),
+        F.expr(payload_of).alias("payload"),
+        F.lit(False).alias("failed"),
+    )
+    late = F.col("page") % 97 == 5
+    for arrived in (pages.where(~late), pages.where(late)):
+        resume.append_new_pages(arrived, f"{base}/pages")
+        ingest.refresh_questions(spark, f"{base}/pages", f"{base}/questions")
+    build, _ = ingest.question_state(spark, f"{base}/questions")
+    rows = ingest.built_questions(spark, f"{base}/questions")
+    return rows.select("exam_source", "question_number", "statement", (F.col("build") == build).alias("rebuilt"))
+
+
 def write_files(rows):
     """Write each row's ``content`` to its ``path``, from the executors."""
 

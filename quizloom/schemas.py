@@ -34,5 +34,15 @@ MANIFEST_JSON = "map<string,struct<prova_url:string,gabarito_url:string>>"
 PAGE_KEYS = ["exam", "doc_kind", "page"]
 PAGE_TABLE = "exam string, doc_kind string, page int, payload string"
 
-# The note a build of the question table leaves on each bucket it holds.
-BUILT_BUCKET = "bucket int, pages long"
+# The same with the version of the table that brought the row.
+ARRIVED_PAGE = f"{PAGE_TABLE}, arrived bigint"
+
+# Parts of a question that arrived together, or an answer to one: what a question is stitched from.
+PIECES = "array<struct<page:int,pos:int,enunciado:string>>"
+PARTIAL = (
+    f"exam string, numero bigint, pieces {PIECES}, alternativas {ALTERNATIVES_IN}, page int, pos int, resposta string"
+)
+
+# A finished question with the number of the build that made it, and the builds of an exam.
+BUILT_QUESTION = f"{QUESTION}, build bigint"
+BUILT_EXAM = "exam string, build bigint"

@@ -1,14 +1,16 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from quizloom.operators import manifest, report, resume, usage
+from quizloom.operators import hashed, manifest, report, resume, usage
 from quizloom.plans import builds
 from quizloom.schemas import PAGE_TABLE
 from quizloom.sources.files import question_dataset, raw_blocks
 from quizloom.staging import staging_root
 from quizloom.streaming import ingest
+from quizloom.versions import publish
 
 OUTPUTS = [("a", "jsonl"), ("b", "csv"), ("c", "jsonl"), ("c", "csv"), ("c", "csv")]
 
@@ -78,17 +80,96 @@ def test_page_table(spark, tmp_path):
     assert "Aggregate" not in cached._jdf.queryExecution().executedPlan().toString()
 
 
+def parts_read(rows):
+    """(part, bucket) of the files behind ``rows``."""
+    return {tuple(int(x.split("=")[1]) for x in f.split("/")[-3:-1]) for f in rows.inputFiles()}
+
+
 def test_only_buckets_at_hand_are_read(spark, tmp_path):
     path = str(tmp_path / "pages")
     resume.append_new_pages(fresh(spark, *[page(f"e{n}", 1, question_page((1, "x"))) for n in range(40)]), path)
-    plan = resume.read_page_table(spark, path, [3, 5])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert parts_read(resume.read_page_table(spark, path, [3, 5])) == {(1, 3), (1, 5)}
+    assert resume.read_page_table(spark, path, [3, 5]).where("bucket NOT IN (3, 5)").isEmpty()
+
+
+# As many as a run takes; with 50 the bounds hold as well.
+APPENDS = 15
+
+
+def test_page_table_grows(spark, tmp_path):
+    path, keys = str(tmp_path / "pages"), set()
+    for n in range(APPENDS):
+        new = {(f"e{n * 7 % 60}", n), (f"e{n}", 100 + n), ("hot", n)}
+        keys |= new
+        # Each append brings known keys too.
+        known = sorted(keys)[:3]
+        rows = [page(e, p, question_page((1, "x"))) for e, p in sorted(new) + known]
+        resume.append_new_pages(fresh(spark, *rows).coalesce(1), path, rows_per_bucket=4, most_parts=3)
+        if n % 7 == 0 or n == APPENDS - 1:
+            found = [(r.exam, r.page) for r in resume.read_page_table(spark, path).collect()]
+            assert sorted(found) == sorted(keys)
+    _, state = resume.page_state(spark, path)
+    assert hashed.bucket_count(state) == -(-len(keys) // 4) > hashed.BASE
+    assert all(len(b["parts"]) <= 4 for b in state["buckets"].values())
+    assert hashed.total_rows(state) == len(keys)
+    files = resume.read_page_table(spark, path).inputFiles()
+    assert len(files) <= 5 * hashed.bucket_count(state)
+    rows = resume.read_page_table(spark, path)
+    assert rows.where(F.col("bucket") != hashed.bucket_of(state, F.col("exam"))).isEmpty()
+    resume.drop_old_pages(spark, path)
+    assert sorted((r.exam, r.page) for r in resume.read_page_table(spark, path).collect()) == sorted(keys)
+    assert sorted(f.removeprefix("file://") for f in files) == sorted(map(str, (tmp_path / "pages").glob("rows/*/*/*.parquet")))
+
+
+def test_filters_name_all_that_is_known(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "pages")
+    resume.append_new_pages(fresh(spark, *[page("a", n, question_page((1, "x"))) for n in range(300)]), path)
+    _, state = resume.page_state(spark, path)
+
+    def held(*pages):
+        rows = spark.createDataFrame([("a", "prova", n) for n in pages], "exam string, doc_kind string, page int")
+        rows = rows.withColumn("bucket", hashed.bucket_of(state, F.col("exam")))
+        return hashed.maybe_known(spark, state, path, rows, ["exam", "doc_kind", "page"])
+
+    assert all(held(n) for n in range(0, 300, 60)) and held(5000, 17)
+    # New keys read none of the table's; some would if the filter were a guess.
+    assert held(*range(1000, 1040)) == []
+    # A filter that knows everything costs a read and changes nothing.
+    monkeypatch.setattr(hashed, "FILTER_BITS", 1)
+    monkeypatch.setattr(hashed, "SLOT", 8)
+    small = str(tmp_path / "small")
+    for _ in range(2):
+        resume.append_new_pages(fresh(spark, *[page("a", n, question_page((1, "x"))) for n in range(300)]), small)
+        assert resume.read_page_table(spark, small).count() == 300
+
+
+def test_a_step_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "pages")
+    resume.append_new_pages(fresh(spark, page("a", 1, question_page((1, "x")))), path)
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    more = fresh(spark, page("a", 2, question_page((2, "y"))), page("b", 1, question_page((1, "z"))))
+    with monkeypatch.context() as patched:
+        patched.setattr(resume, "publish", die)
+        with pytest.raises(RuntimeError):
+            resume.append_new_pages(more, path)
+    assert resume.read_page_table(spark, path).count() == 1
+    resume.append_new_pages(more, path)
+    assert resume.read_page_table(spark, path).count() == 3
+    with pytest.raises(FileExistsError):
+        publish(spark, path, 1, {})
 
 
 def question_page(*questions):
     return json.dumps({"questoes": [{"numero": n, "enunciado": t} for n, t in questions]})
 
 
+def answer_page(*answers):
+    return json.dumps({"respostas": [{"numero": n, "resposta": a} for n, a in answers]})
+
+
 def test_ingest(spark, tmp_path):
     drops, pages, questions, checkpoint = (
         str(tmp_path / name) for name in ("drops", "pages", "questions", "checkpoint")
@@ -99,24 +180,67 @@ def test_ingest(spark, tmp_path):
             fresh(spark, *arrived).coalesce(1).write.mode("append").json(drops)
         ingest.ingest_new_pages(spark, drops, pages, checkpoint)
         ingest.refresh_questions(spark, pages, questions)
-        current = ingest.current_questions(spark, questions).collect()
-        ingest.drop_superseded(spark, questions)
-        assert sorted(map(tuple, ingest.current_questions(spark, questions).collect())) == sorted(map(tuple, current))
-        return {r.id: r.statement for r in current}, spark.read.parquet(pages).count()
+        current = ingest.current_questions(spark, questions).drop("alternatives")
+        built = builds.page_questions(resume.read_page_table(spark, pages)).select(current.columns)
+        assert sorted(map(str, current.collect())) == sorted(map(str, built.collect()))
+        rows = current.collect()
+        return {r.id: (r.statement, r.correct_answer) for r in rows}, resume.read_page_table(spark, pages).count()
 
     first = step(
         page("a", 1, question_page((1, "start"))),
         page("a", 3, "", failed=True),
         page("b", 1, question_page((1, "only"))),
+        page("b", 2, answer_page((1, "C")), kind="gabarito"),
+    )
+    assert first == ({"a-001": ("start", None), "b-001": ("only", "C")}, 3)
+    version, _ = ingest.question_state(spark, questions)
+    assert step() == first and ingest.question_state(spark, questions)[0] == version
+    later = step(
+        page("a", 3, question_page((2, "new"))),
+        page("a", 2, question_page((1, "end"))),
+        page("a", 9, answer_page((1, "B"), (1, "A")), kind="gabarito"),
     )
-    assert first == ({"a-001": "start", "b-001": "only"}, 2)
-    assert step() == first
-    later = step(page("a", 3, question_page((2, "new"))), page("a", 2, question_page((1, "end"))))
-    assert later == ({"a-001": "start end", "a-002": "new", "b-001": "only"}, 4)
-    # The step without news made no build; the last one only the bucket of "a".
-    built = spark.read.parquet(f"{questions}/buckets").where("build = 2")
-    a_bucket = spark.range(1).select(resume.bucket_of(F.lit("a"))).first()[0]
-    assert [r.bucket for r in built.collect()] == [a_bucket]
+    assert later == ({"a-001": ("start end", "B"), "a-002": ("new", None), "b-001": ("only", "C")}, 6)
+    # The late pages wrote their own exam only, from its own partials.
+    build, state = ingest.question_state(spark, questions)
+    written = spark.read.parquet(f"{questions}/questions/rows/part={build}")
+    assert {r.exam_source for r in written.collect()} == {"a"}
+    exam = spark.createDataFrame([("a",)], "exam string")
+    bucket = exam.select(hashed.bucket_of(state["partials"], F.col("exam"))).first()[0]
+    assert {b for _, b in parts_read(ingest.touched_partials(spark, questions, state, exam))} == {bucket}
+    ingest.drop_superseded(spark, questions)
+    assert step() == later
+    _, state = ingest.question_state(spark, questions)
+    assert hashed.total_rows(state["questions"]) == 3
+
+
+def test_partials_merge_to_the_full_build(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "MOST_PIECES", 2)
+    path, questions, random_ = str(tmp_path / "pages"), str(tmp_path / "questions"), random.Random(6)
+
+    def options(n):
+        return [{"letra": "ABCDE"[i], "texto": f"o{random_.randrange(9)}"} for i in range(n)]
+
+    arriving = []
+    for exam in range(6):
+        for number in range(1, 9):
+            found = [
+                {"numero": random_.randrange(4), "enunciado": f"p{number}.{i}", "alternativas": options(random_.randrange(4))}
+                for i in range(random_.randrange(4))
+            ]
+            arriving.append(page(f"e{exam}", number, json.dumps({"questoes": found})))
+            arriving.append(page(f"e{exam}", number, answer_page((random_.randrange(4), "ABCDE"[number % 5])), kind="gabarito"))
+    random_.shuffle(arriving)
+    for start in range(0, len(arriving), 32):
+        resume.append_new_pages(fresh(spark, *arriving[start : start + 32]), path)
+        ingest.refresh_questions(spark, path, questions)
+        current = ingest.current_questions(spark, questions)
+        built = builds.page_questions(resume.read_page_table(spark, path)).select(current.columns)
+        assert sorted(map(str, current.collect())) == sorted(map(str, built.collect()))
+        if start == 32:
+            ingest.arrange_questions(spark, questions, rows_per_bucket=5, most_parts=1)
+    _, state = ingest.question_state(spark, questions)
+    assert hashed.bucket_count(state["partials"]) > hashed.BASE
 
 
 def test_bad_lines_are_set_aside(spark, tmp_path):
