@@ -27,6 +27,16 @@ def link_extract(spark, sf_dir):
     return links.link_rows(page_links(spark, sf_dir)).drop("url")
 
 
+@query(LINKS_SQL + "SELECT page_id, pos, trim(text) AS text, href FROM l")
+def link_markup(spark, sf_dir):
+    """The same links from harder markup: a quoted ``>``, repeated attributes, anchors in scripts and comments."""
+    hidden = """concat('<!-- <a href="/no">x</a> > --><script>"<a href=/no>", 1 < 2, "</a>"</script>', html)"""
+    harder = """replace(html_, '<a href="', '<a title="a > b" data-href=\\'/no\\' HREF=/first href="')"""
+    pages = table(spark, sf_dir, "pages").withColumn("html_", F.expr(hidden))
+    pages = pages.withColumn("html", F.expr(harder)).drop("html_")
+    return links.link_rows(links.with_links(pages, needle="")).drop("url")
+
+
 @query(
     LINKS_SQL
     + """SELECT page_id, pos, root || href AS url FROM l

@@ -1,3 +1,6 @@
+import random
+from html.parser import HTMLParser
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,6 +32,14 @@ def found(spark, page, needle=".pdf"):
         ('<!-- <a href="/a.pdf">x</a> --><a href="/b.pdf">y</a>', [("y", "/b.pdf")]),
         ('<a data-href="/a.pdf">x</a><abbr href="/b.pdf">y</abbr>', []),
         ('<a href="/a.pdf?x=1&amp;y=2">P&aacute;dr&#227;o &#x26; &unknown; &amp;amp;</a>', [("Pádrão & &unknown; &amp;", "/a.pdf?x=1&y=2")]),
+        ('<a title="a>b" href="c.pdf">z</a>', [("z", "c.pdf")]),
+        ("<a title='>' href=c.pdf x=\">\">z</a>", [("z", "c.pdf")]),
+        ('<a href="a.html" href="b.pdf">z</a><a href="b.pdf" HREF=a.html>y</a>', [("z", "b.pdf")]),
+        ('<script>"<a href=a.pdf>x</a>"</script><style><a href=b.pdf></a></style><a href=c.pdf>z</a>', [("z", "c.pdf")]),
+        ('<a href=a.pdf>x<script>1 < 2 &amp;</script>y<!-- > </a> -->z</a>', [("x 1 < 2 &amp; y z", "a.pdf")]),
+        ('<a href="a.pdf"/>x</a><a href=b.pdf/>y</a><a href=c.pdf>z<a name=w />', [("", "a.pdf"), ("y", "b.pdf/"), ("z", "c.pdf")]),
+        ("<a href>x</a><a href=>y</a>< a href=b.pdf>z</a><a href=c.pdf", []),
+        ('<a href="a&amp;b.pdf">1 < 2</a>', [("1  <  2", "a&b.pdf")]),
         ("no links", []),
         ("", []),
     ],
@@ -37,6 +48,70 @@ def test_links(spark, page, expected):
     assert found(spark, page) == expected
 
 
+class Plain(HTMLParser):
+    """Links by Python's own parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.links, self.href, self.text = [], None, []
+
+    def handle_starttag(self, tag, attrs):
+        href = dict(attrs).get("href") if tag == "a" else None
+        if href and ".pdf" in href.lower():
+            self.href, self.text = href, []
+
+    def handle_data(self, data):
+        self.text.append(data)
+
+    def handle_endtag(self, tag):
+        if tag == "a" and self.href is not None:
+            self.links.append((" ".join(self.text).strip(), self.href))
+            self.href = None
+
+
+def markup(random_):
+    quoted = lambda x: random_.choice([f'"{x}"', f"'{x}'"])
+    attribute = lambda: random_.choice(
+        [
+            f"href={quoted(random_.choice(['a.pdf', 'b.PDF?x=1&amp;y', 'c.html', '>.pdf', ' d.pdf ']))}",
+            f"href={random_.choice(['e.pdf', 'f.html', 'g.pdf/'])}",
+            f"HREF = {quoted('h.pdf')}",
+            f"title={quoted('a > b <i>')}",
+            f"data-href={quoted('x.pdf')}",
+            "disabled",
+            "class=x",
+        ]
+    )
+    gap = lambda: random_.choice([" ", "\n", "  ", "\t"])
+    opening = lambda tag: f"<{tag}" + "".join(gap() + attribute() for _ in range(random_.randrange(4))) + random_.choice(["", " ", " /"]) + ">"  # noqa: E731, E501
+    pieces = [
+        lambda: opening(random_.choice(["a", "A", "a", "abbr", "b"])),
+        lambda: random_.choice(["</a>", "</A>", "</a >", "</abbr>", "</b>"]),
+        lambda: "<!-- " + opening("a") + random_.choice(["</a>", ">", "--"]) + " -->",
+        lambda: random_.choice(["<script>", '<script type="x>y">']) + opening("a") + " 1 < 2 &amp; </a></script>",
+        lambda: "<style>" + opening("a") + "</style >",
+        lambda: random_.choice(["<!DOCTYPE html>", "<?php a ?>", "text", "two words", "&amp;", "1 < 2", "\n", "&eacute;!"]),
+    ]
+    return "".join(random_.choice(pieces)() for _ in range(random_.randrange(1, 14)))
+
+
+def test_random_markup_equals_the_parser(spark):
+    random_ = random.Random(12)
+    pages = [markup(random_) for _ in range(1500)]
+    frame = spark.createDataFrame(list(enumerate(pages)), "n int, html string")
+    got = frame.select("n", html.links(F.col("html")).alias("links")).collect()
+    for n, found_links in got:
+        plain = Plain()
+        plain.feed(pages[n])
+        assert [(r.text, r.href) for r in found_links] == plain.links, pages[n]
+
+
+def test_long_tags_and_pages(spark):
+    attributes = " ".join(f'x{i}="a > {i}"' for i in range(20_000))
+    page = f'<a {attributes} href="a.pdf">z</a>' + "<!--" + "x" * 500_000 + "-->" + "<b>" * 3000 + anchors(("t", "b.pdf"))
+    assert found(spark, page) == [("z", "a.pdf"), ("t", "b.pdf")]
+
+
 def test_order_and_any_href(spark):
     page = "".join(f'<a href="/{n}.html">t{n}</a>\n' for n in range(30))
     assert found(spark, page, "") == [(f"t{n}", f"/{n}.html") for n in range(30)]
