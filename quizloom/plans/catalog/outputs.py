@@ -20,6 +20,7 @@ from quizloom.plans.catalog.assembly import benchmark_blocks
 from quizloom.plans.catalog.registry import lines_as_alternatives, query, table
 from quizloom.schemas import ALTERNATIVES, EXAM_QUESTION
 from quizloom.sinks.export import CSV_READ, export, export_per_exam
+from quizloom.sinks.published import drop_old_versions, publish_dataset, read_published
 from quizloom.sources.files import question_dataset
 from quizloom.staging import staging_path
 
@@ -116,6 +117,26 @@ def export_both(spark, sf_dir):
     )
 
 
+@query(f"SELECT 1 AS version, * FROM ({ROWS_SQL}) WHERE source_format = 'en' UNION ALL SELECT 2, * FROM ({ROWS_SQL})")
+def export_versions(spark, sf_dir):
+    """A dataset published twice: the first version stays readable beside the second."""
+    root, rows = staging_path(spark, "published"), finished_rows(spark, sf_dir)
+    publish_dataset(rows.where("metadata:source_format::string = 'en'"), root)
+    publish_dataset(rows, root, "both")
+    drop_old_versions(spark, root, keep=2)
+    first = read_published(spark, root, version=1).select(F.lit(1).alias("version"), *comparable())
+    return first.unionByName(read_published(spark, root).select(F.lit(2).alias("version"), *comparable()))
+
+
+@query(f"SELECT * FROM ({ROWS_SQL}) WHERE question_number BETWEEN 17 AND 23 AND exam_source = 'src3'")
+def export_range(spark, sf_dir):
+    """One exam's numbers of a range, from the parts of the export that may hold them."""
+    root = staging_path(spark, "indexed")
+    order = [F.col("exam_source"), F.col("question_number"), F.col("id")]
+    publish_dataset(finished_rows(spark, sf_dir), root, order=order)
+    return read_published(spark, root, numbers=(17, 23), exam="src3").select(*comparable())
+
+
 @query(f"SELECT exam_source AS folder, * FROM ({ROWS_SQL})")
 def export_per_edition(spark, sf_dir):
     """Rows and the folder each was written to."""

@@ -162,8 +162,8 @@ def page_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return page_files(spark, folder).where("reason IS NULL").select("exam", "doc_kind", "page", "payload")
 
 
-def question_dataset(spark: SparkSession, path: str) -> DataFrame:
-    """A JSONL dataset, checked as strictly as page payloads.
+def question_dataset(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A JSONL dataset, or some of its files, checked as strictly as page payloads.
 
     Blank lines are skipped. A line that is no object, lacks a required field or has one
     of another type stops the read, and so does text after the object. Numbers may come as
