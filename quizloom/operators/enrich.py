@@ -60,18 +60,56 @@ def set_dated_edition(
     )
 
 
-def ranges_by_edition(ranges: DataFrame) -> DataFrame:
-    """``edition, ranges`` with the ranges of an edition in list order.
+#: Blocks of 1, 2, 4 ... numbers, up to 2^62; numbers beyond it, or below -2^62, are in no range.
+LEVELS = 63
 
-    Equal ranges are folded first, so a list holds each (start, end) once.
+
+def _blocks(start: Column, end: Column) -> Column:
+    """``array<struct<level, block>>``: the fewest blocks of 2^level numbers that make up start to end.
+
+    At each level at most the first and the last block are left over, those that don't pair up
+    to a block of the next one. An empty range has none.
     """
-    distinct = ranges.groupBy("edition", "start_q", "end_q").agg(
-        F.min(F.struct("ord", "label")).alias("first")
-    )
-    entry = F.struct("first.ord", "start_q", "end_q", "first.label")
-    return distinct.groupBy("edition").agg(
-        F.array_sort(F.collect_list(entry)).alias("ranges")
-    )
+
+    def left_over(level: Column) -> Column:
+        within = F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1
+        # The first block that starts in the range, and the one behind the last that ends in it.
+        first = F.call_function("shiftright", start, level) + (start.bitwiseAND(within) != 0).cast("long")
+        stop = F.call_function("shiftright", end, level) + (end.bitwiseAND(within) == within).cast("long")
+        odd = lambda x: x.bitwiseAND(F.lit(1)) == 1
+        block = lambda x: F.struct(level.alias("level"), x.alias("block"))
+        return F.array_compact(
+            F.array(F.when((first < stop) & odd(first), block(first)), F.when((first < stop) & odd(stop), block(stop - 1)))
+        )
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), left_over))
+
+
+def range_blocks(ranges: DataFrame) -> DataFrame:
+    """``edition, level, block, first``: the first range in list order that holds all of a block.
+
+    A range becomes at most two blocks a level, a row each, so no cell and no group grows with
+    an edition's ranges.
+    """
+    entry = F.struct("ord", "start_q", "end_q", "label")
+    most = F.lit(1 << (LEVELS - 1))
+    cut = _blocks(F.greatest("start_q", -most), F.least("end_q", most))
+    known = ranges.where("start_q IS NOT NULL AND end_q IS NOT NULL")
+    blocks = known.select("edition", entry.alias("entry"), F.inline(cut))
+    return blocks.groupBy("edition", "level", "block").agg(F.min("entry").alias("first"))
+
+
+def range_labels(points: DataFrame, ranges: DataFrame) -> DataFrame:
+    """``edition, number, hit``: the label of the first range that holds each of the distinct ``points``.
+
+    A number lies in one block of each level, and every range that holds it has one of them.
+    """
+    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level")
+    asked = points.select("edition", "number", level)
+    asked = asked.withColumn("block", F.call_function("shiftright", F.col("number").cast("long"), F.col("level")))
+    found = asked.join(range_blocks(ranges), ["edition", "level", "block"])
+    first = found.groupBy("edition", "number").agg(F.min("first").alias("first"))
+    return first.select("edition", "number", F.nullif("first.label", F.lit("")).alias("hit"))
 
 
 def label_by_range(
@@ -83,19 +121,20 @@ def label_by_range(
 ) -> DataFrame:
     """Label from the first range of the edition that holds the question number.
 
-    The range table joins as one row per edition, so no row of ``rows`` is ever
-    multiplied. Without a hit, or with edition 0 or empty, a label already there
-    stays. Spark broadcasts the table only if its measured size allows it.
+    The distinct (edition, number) are looked up, by joins on equal blocks, and each row meets
+    its own one: no row of ``rows`` is ever multiplied, and an edition may have any number of
+    ranges. Of ``rows`` the lookup reads these two columns. Without a hit, or with edition 0 or
+    empty, a label already there stays.
     """
-    lookup = ranges_by_edition(ranges).withColumnRenamed("edition", "_edition")
     usable = ~F.col(edition).cast("string").isin("", "0")
-    joined = rows.join(lookup, usable & (F.col(edition) == F.col("_edition")), "left")
-    hits = F.filter(
-        "ranges", lambda r: (r["start_q"] <= F.col(number)) & (F.col(number) <= r["end_q"])
+    points = rows.where(usable).select(F.col(edition).alias("edition"), F.col(number).alias("number")).distinct()
+    hits = range_labels(points, ranges).select(
+        F.col("edition").alias("_edition"), F.col("number").alias("_number"), F.col("hit").alias("_hit")
     )
-    hit = F.nullif(F.get(hits, F.lit(0))["label"], F.lit(""))
-    kept = F.coalesce(hit, F.col(label)) if label in rows.columns else hit
-    return joined.withColumn(label, kept).drop("_edition", "ranges")
+    same = usable & (F.col(edition) == F.col("_edition")) & (F.col(number) == F.col("_number"))
+    joined = rows.join(hits, same, "left")
+    kept = F.coalesce(F.col("_hit"), F.col(label)) if label in rows.columns else F.col("_hit")
+    return joined.withColumn(label, kept).drop("_edition", "_number", "_hit")
 
 
 def pack_metadata(rows: DataFrame, keys: list[str]) -> DataFrame:

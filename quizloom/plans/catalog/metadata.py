@@ -130,3 +130,32 @@ def range_lookup(spark, sf_dir):
         F.expr("if(p_partkey % 2 = 0, 'KEPT', null)").alias("area"),
     )
     return enrich.label_by_range(rows, ranges)
+
+
+@query(
+    """
+    WITH ranges AS (
+        SELECT o_orderkey AS ord, o_orderkey - o_custkey % 700 AS s, o_orderkey + o_custkey % 500 - 90 AS e,
+            o_orderpriority AS label FROM orders),
+    hits AS (
+        SELECT c_custkey, arg_min(label, ord) AS hit FROM customer JOIN ranges ON c_custkey BETWEEN s AND e GROUP BY ALL)
+    SELECT c_custkey, 'all' AS edition, c_custkey AS question_number, coalesce(hit, c_mktsegment) AS area
+    FROM customer LEFT JOIN hits USING (c_custkey)
+    """
+)
+def range_lookup_overlaps(spark, sf_dir):
+    """Every order a range of one edition, many over one another and some empty; the first in list order wins."""
+    ranges = table(spark, sf_dir, "orders").select(
+        F.lit("all").alias("edition"),
+        F.col("o_orderkey").alias("ord"),
+        F.expr("o_orderkey - o_custkey % 700").alias("start_q"),
+        F.expr("o_orderkey + o_custkey % 500 - 90").alias("end_q"),
+        F.col("o_orderpriority").alias("label"),
+    )
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.lit("all").alias("edition"),
+        F.col("c_custkey").alias("question_number"),
+        F.col("c_mktsegment").alias("area"),
+    )
+    return enrich.label_by_range(rows, ranges)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,46 @@ def test_ranges_without_previous_label(spark):
     assert {tuple(r) for r in found} == {("20241", 1, "CIVIL"), ("20241", 3, None), ("", 1, None)}
 
 
+def first_ranges(ranges, points):
+    """The label of the first range that holds each point, one after another."""
+    found = {}
+    for _, start, end, label in sorted(ranges):
+        for x in points:
+            if x not in found and start <= x <= end:
+                found[x] = label
+    return found
+
+
+def test_ranges_equal_a_plain_search(spark):
+    random_ = random.Random(2)
+    edges = [0, 1, -1, 2**31 - 1, -(2**31), 2**62, -(2**62)]
+    ranges = []
+    for i in range(400):
+        start = random_.choice([random_.randrange(-300, 300), random_.choice(edges)])
+        end = random_.choice([min(start + random_.randrange(-3, 200), 2**62), random_.choice(edges)])
+        ranges.append((random_.randrange(100_000) * 1000 + i, start, end, f"r{i}"))
+    points = sorted({*range(-320, 520, 3), *edges})
+    frame = spark.createDataFrame([("e", *r) for r in ranges], "edition string, ord long, start_q long, end_q long, label string")
+    rows = spark.createDataFrame([("e", x) for x in points], "edition string, question_number long")
+    got = {r.question_number: r.area for r in enrich.label_by_range(rows, frame).collect()}
+    want = first_ranges(ranges, points)
+    assert got == {x: want.get(x) for x in points}
+
+
+def test_an_edition_of_many_ranges(spark):
+    n = 100_000
+    ranges = spark.range(n).select(
+        F.lit("e").alias("edition"), (F.lit(n) - F.col("id")).alias("ord"), F.col("id").alias("start_q"),
+        (F.col("id") + F.col("id") % 1000).alias("end_q"), F.col("id").cast("string").alias("label"),
+    )
+    rows = spark.range(0, n, 997).select(F.lit("e").alias("edition"), F.col("id").alias("question_number"))
+    frame = enrich.label_by_range(rows, ranges)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+    # The first in the list is the one that starts last.
+    assert all(r.area == str(r.question_number) for r in frame.collect())
+
+
 def test_pack_metadata(spark):
     rows = spark.createDataFrame([(1, None, 25)], "n int, area string, edition int")
     packed = enrich.pack_metadata(rows, ["area", "edition"])
