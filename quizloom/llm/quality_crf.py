@@ -190,8 +190,8 @@ def learn_quality(
     share = F.lit(0.0)
     for label, n in sizes.items():
         share = F.when(F.col("quality") == label, min(1.0, sample / n)).otherwise(share)
-    place = F.pmod(F.xxhash64("key", "text"), F.lit(1_000_000))
-    taken = rows.where(place < share * 1_000_000).select("quality", "text")
+    place = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 52))
+    taken = rows.where(place < share * (1 << 52)).select("quality", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in pieces(batches, "text", CHUNK):

@@ -52,8 +52,8 @@ def labelled(spark: SparkSession, sf_dir: str, docs: DataFrame, label: str, samp
     for r in sizes:
         here = (F.col(label) == r[label]) & (F.col("check") == r["check"])
         share = F.when(here, min(1.0, sample / r["count"])).otherwise(share)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    labels = labels.where(place < share * 1_000_000).withColumn("weight", 1 / share)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 52))
+    labels = labels.where(place < share * (1 << 52)).withColumn("weight", 1 / share)
     chosen = staged(labels, "label-sample")
     return docs.join(chosen, "doc_id").select(
         F.col("doc_id").alias("key"), F.col("text").cast("binary").alias("text"), label, "check", "weight"
@@ -110,6 +110,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_best_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same texts by the best sum of scores, which the given model's library doesn't take."""
+    return encode_texts(table(spark, sf_dir, "documents"), by_score=True)
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -74,8 +74,8 @@ def sampled(rows: DataFrame, most: int) -> DataFrame:
     share = F.lit(1.0)
     for toxic, n in sizes.items():
         share = F.when(F.col("toxic") == toxic, min(1.0, most / n)).otherwise(share)
-    place = F.pmod(F.xxhash64("key", "text"), F.lit(1_000_000))
-    return rows.where(place < share * 1_000_000).withColumn("weight", F.col("weight") / share)
+    place = F.pmod(F.xxhash64("key", "text"), F.lit(1 << 52))
+    return rows.where(place < share * (1 << 52)).withColumn("weight", F.col("weight") / share)
 
 
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -87,6 +87,29 @@ def test_a_unigram_model_gets_the_best_sum(model):
         assert sum(score[p] for p in encoder.best(word)) == pytest.approx(best(word))
 
 
+def test_best_sums_of_whole_texts(spark, docs, model):
+    score = {model.texts[i]: model.scores[i] for i in model.normal}
+
+    def best(text):
+        """The best sum of scores that ends at each place, over all pieces; other characters are bytes."""
+        total = [0.0]
+        for end in range(1, len(text) + 1):
+            ways = [total[a] + score[text[a:end]] for a in range(max(0, end - 24), end) if text[a:end] in score]
+            total.append(max(ways) if ways else total[-1] if text[end - 1] not in known else float("-inf"))
+        return total[-1]
+
+    known = {c for piece in score for c in piece}
+    texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id <> 13 AND doc_id <> 18").collect()}
+    rows = encode_texts(docs, by_score=True).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        if r["doc_id"] in texts:
+            text = texts[r["doc_id"]] or ""
+            marked = "▁" + text.replace(" ", "▁") if text else ""
+            assert r["score"] == pytest.approx(best(marked), rel=1e-9), text[:50]
+            assert r["round_trip"] == ("▁" not in text) and r["n_tokens"] == len(r["ids"])
+
+
 def test_every_window_with_two_substitutions_has_a_seed():
     tokens = np.arange(1, WINDOW + 1, dtype=np.uint64)
     for bad in itertools.combinations(range(WINDOW), 2):
