@@ -5,7 +5,8 @@ hash alike although tokens at ignored positions differ. Seeds of the benchmark a
 documents are joined on their hashes; around each hit the two texts are laid side by
 side, and an overlap counts if at least ``LEAST_SHARE`` of ``WINDOW`` tokens in a row are
 equal. Any such window with two substituted tokens has a seed of the first mask whole;
-items of ``FEWEST`` to ``SHORT`` tokens get further masks where these two would miss one.
+items of ``FEWEST`` to ``SHORT`` tokens get further masks where these two would miss one, and
+items of fewer tokens have one seed, of all their tokens, which only whole texts are held against.
 
 Documents send only seeds that may be in the benchmark: a table of ``FILTER_BITS`` bits,
 the same size whatever the benchmark's, has a bit set for each benchmark seed. Hits
@@ -33,8 +34,10 @@ MASKS = ((0, 1, 3, 6, 7), (0, 1, 2, 4, 5))
 #: Tokens that an overlap needs, or all tokens of a shorter item; the share that must be equal.
 WINDOW = 13
 LEAST_SHARE = 0.8
-#: Shorter items are in ordinary texts by chance and give no seed; items up to ``SHORT`` tokens may need more masks.
+#: Shorter items are in ordinary texts by chance, so a text must be one; items up to ``SHORT`` tokens may need more masks.
 FEWEST, SHORT = 4, 12
+#: Number of the mask of a whole text of one token; of two tokens the next one, and so on.
+WHOLE = 1000
 FILTER_BITS = 24
 SLICES = 64
 
@@ -69,6 +72,11 @@ def seeds_at(tokens: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarr
     return total * np.uint64(0x9E3779B97F4A7C15)
 
 
+def whole_seed(tokens: np.ndarray, n: int) -> np.ndarray:
+    """The hash of ``n`` tokens in a row at each position, as the seed of a whole text."""
+    return seeds_at(tokens, tuple(range(n)), WHOLE + n)
+
+
 def uncovered(mask: tuple[int, ...], n: int, patterns: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
     """The substituted positions of ``n`` tokens that leave no seed of the mask whole."""
     laid = [{start + at for at in mask} for start in range(n - mask[-1])]
@@ -105,6 +113,12 @@ def bench_seeds(masks: list[tuple[int, ...]], always: int, short: dict[int, list
             items = part.column("item").to_pylist()
             for item, text in zip(items, texts):
                 tokens = tokens_of(text, hashes)
+                if 0 < len(tokens) < FEWEST:
+                    rows[0] += whole_seed(tokens, len(tokens)).view(np.int64).tolist()
+                    rows[1].append(item)
+                    rows[2].append(0)
+                    rows[3].append(WHOLE + len(tokens))
+                    continue
                 mine = short.get(len(tokens), [])
                 for number, mask in enumerate(masks):
                     if number >= always and mask not in mine:
@@ -157,8 +171,11 @@ def marked(table: np.ndarray, seeds: np.ndarray, bits: int) -> np.ndarray:
 STRETCH = "text_hash long, first int, tokens binary, seeds array<struct<seed: long, at: int>>"
 
 
-def stretches(share, masks: list[tuple[int, tuple[int, ...]]], bits: int, window: int):
-    """Rows to stretches of tokens around seeds of the numbered masks that pass the filter."""
+def stretches(share, masks: list[tuple[int, tuple[int, ...]]], wholes: list[int], bits: int, window: int):
+    """Rows to stretches of tokens around seeds that pass the filter.
+
+    Seeds are those of the numbered masks, and of texts of as many tokens as ``wholes`` names.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, hashes = share.value, Hashes()
@@ -179,6 +196,12 @@ def stretches(share, masks: list[tuple[int, tuple[int, ...]]], bits: int, window
                 at = at[at + mask[-1] < ends[owner[at]]]
                 at_all.append(at)
                 seed_all.append(seeds[at])
+            for n in wholes:
+                at = begins[sizes == n]
+                seeds = whole_seed(flat, n)[at]
+                passed = marked(table, seeds, bits)
+                at_all.append(at[passed])
+                seed_all.append(seeds[passed])
             at, seed = np.concatenate(at_all), np.concatenate(seed_all)
             if not len(at):
                 continue
@@ -270,8 +293,9 @@ def find_overlaps(
 
     Positions count the words of the document's text. An overlap is a run of windows of
     ``window`` words, or of all words of a shorter item, that agree with the item in a share
-    of ``least`` or more, word by word. Items of fewer than ``FEWEST`` words are found in no
-    document; null texts have no words; a null item is reported as null.
+    of ``least`` or more, word by word. Items of fewer than ``FEWEST`` words are found in the
+    documents that hold the same words and no others; null texts and items without words
+    overlap nothing; a null item is reported as null.
     """
     rows = docs.select(
         F.col(key).alias("key"), F.col(text).cast("binary").alias("text"), text_hash(text).alias("text_hash")
@@ -290,11 +314,12 @@ def find_overlaps(
     # Documents are laid under the masks that some item has.
     used = {r["mask"] for r in seeds.select("mask").distinct().collect()}
     laid = [(number, mask) for number, mask in enumerate(numbered) if number in used or number < len(masks)]
+    wholes = [n for n in range(1, FEWEST) if WHOLE + n in used]
     share = docs.sparkSession.sparkContext.broadcast(seed_filter(seeds, bits))
     kind = rows.schema["key"].dataType
     found = staged(
         rows.mapInArrow(
-            stretches(share, laid, bits, window),
+            stretches(share, laid, wholes, bits, window),
             T.StructType([T.StructField("key", kind), *T.StructType.fromDDL(STRETCH).fields]),
         ).withColumn("stretch", F.monotonically_increasing_id()),
         "stretches",

@@ -1,7 +1,10 @@
 """Language, quality and toxicity: held-out accuracy and exact small cases."""
 
 import itertools
+import math
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,7 +12,7 @@ from conftest_llm import SCHEMA, as_sets
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quizloom.llm import quality_crf
+from quizloom.llm import quality_crf, toxicity_kn
 from quizloom.llm.common import in_fold, table
 from quizloom.llm.language_id import Languages, learn_trees, letter_grams, predict_language
 from quizloom.llm.quality_crf import FEATURES, Field, forward_backward, learn_quality, score_quality, text_features
@@ -253,3 +256,32 @@ def test_toxicity_without_labels(spark, docs, no_docs):
     threshold, _ = threshold_of(np.array([0.5, 0.4, 0.1, 0.1]), np.array([True, True, False, False]))
     assert 0.1 < threshold < 0.4
     assert Toxicity({}, 1.0, 1e-9).score(b"x") < 0.5
+
+
+def test_word_ratios_equal_a_plain_model(spark):
+    """Discounted counts of each class over continuation counts of both, word by word."""
+    random_ = random.Random(3)
+    words = [f"w{i}" for i in range(30)]
+    rows = [
+        (n, " ".join(random_.choice(words[: 30 if toxic else 20]) for _ in range(random_.randrange(1, 25))).encode(), toxic)
+        for n, toxic in enumerate([0, 1, 0, 0, 1] * 12)
+    ]
+    counts, follows = {0: Counter(), 1: Counter()}, {}
+    for _, text, toxic in rows:
+        found = text.split()
+        counts[toxic].update(found)
+        for before, word in zip([b"", *found], found):
+            follows.setdefault(word, set()).add(before)
+    contexts = sum(map(len, follows.values()))
+    discount = {0: toxicity_kn.ORDINARY_DISCOUNT, 1: toxicity_kn.TOXIC_DISCOUNT}
+
+    def likelihood(word, toxic):
+        shared = max(len(follows[word]) - toxicity_kn.SHARED_DISCOUNT, toxicity_kn.SHARED_DISCOUNT) / contexts
+        left = sum(min(n, discount[toxic]) for n in counts[toxic].values())
+        return (max(counts[toxic][word] - discount[toxic], 0) + left * shared) / sum(counts[toxic].values())
+
+    sample = spark.createDataFrame(rows, "key long, text binary, toxic int").repartition(3)
+    got = toxicity_kn.word_ratios(sample, 0.01, 1)
+    assert got.keys() == follows.keys()
+    for word, ratio in got.items():
+        assert ratio == pytest.approx(math.log(0.99 + 0.01 * likelihood(word, 1) / likelihood(word, 0)))
