@@ -26,7 +26,7 @@ ORDER = 3
 SAMPLE = 4 * MB
 #: Longer texts are cut into blocks of so many bytes, each in the sample or not.
 BLOCK = MB // 16
-CHUNK = 4 * MB
+CHUNK = 2 * MB
 UNKNOWN = "und"
 TREE = ["lang", "grams", "counts"]
 #: A text is foreign to a language if its code takes so many spreads more bits a byte than the language's own
