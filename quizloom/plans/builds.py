@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quizloom.fixed_values import DATED_SERIES, EXAM_KIND, KEY_KIND, NUMBERED_SERIES
 from quizloom.functions.payload import decode_answers, decode_questions, good_pages
 from quizloom.operators import assemble, enrich, ordering, rawtext, report, resume
-from quizloom.schemas import EXAM_QUESTION_COLUMNS
+from quizloom.schemas import ANSWERS_IN, EXAM_QUESTION_COLUMNS, QUESTIONS_IN
 from quizloom.sinks.export import export_per_exam, formats, write_per_exam, write_sorted
 from quizloom.staging import scratch, staged, staged_with_row
 
@@ -15,6 +15,20 @@ DATED_KEYS = ["edition", "year", "semester", "reapplication", "source_format", "
 CORE_COLUMNS = EXAM_QUESTION_COLUMNS[:-1]
 
 
+def decoded_pages(page_table: DataFrame) -> DataFrame:
+    """``exam, doc_kind, page, questoes, respostas, error`` of every page: the lists of its kind, or why it is bad.
+
+    Payloads are dear to parse; whoever needs more than one figure of them stages this.
+    """
+    exam_pages = decode_questions(page_table.where(F.col("doc_kind") == EXAM_KIND))
+    key_pages = decode_answers(page_table.where(F.col("doc_kind") == KEY_KIND))
+    columns = ["exam", "doc_kind", "page", "questoes", "respostas", "error"]
+    return (
+        exam_pages.withColumn("respostas", F.lit(None).cast(ANSWERS_IN)).select(*columns)
+        .unionByName(key_pages.withColumn("questoes", F.lit(None).cast(QUESTIONS_IN)).select(*columns))
+    )
+
+
 def page_questions(page_table: DataFrame, nullified: DataFrame | None = None) -> DataFrame:
     """Questions of the exams in a page table, with answers, without metadata.
 
@@ -27,6 +41,11 @@ def page_questions(page_table: DataFrame, nullified: DataFrame | None = None) ->
         assemble.explode_questions(good_pages(decode_questions(exam_pages))), "question-parts"
     )
     answers = assemble.explode_answers(good_pages(decode_answers(key_pages)))
+    return assembled_questions(parts, answers, nullified)
+
+
+def assembled_questions(parts: DataFrame, answers: DataFrame, nullified: DataFrame | None = None) -> DataFrame:
+    """Questions from the parts of pages and the answers of keys."""
     return assemble.join_answers(
         assemble.merge_split_questions(parts), assemble.collect_answers(answers), nullified
     )
@@ -34,20 +53,17 @@ def page_questions(page_table: DataFrame, nullified: DataFrame | None = None) ->
 
 def page_outcomes(page_table: DataFrame) -> DataFrame:
     """``exam, doc_kind, page, failed, found``: did the page decode, and into how much."""
+    return outcomes_of(decoded_pages(page_table))
 
-    def outcome(decoded: DataFrame, name: str) -> DataFrame:
-        return decoded.select(
-            "exam",
-            "doc_kind",
-            "page",
-            F.col("error").isNotNull().alias("failed"),
-            F.coalesce(F.size(name), F.lit(0)).alias("found"),
-        )
 
-    exam_pages = page_table.where(F.col("doc_kind") == EXAM_KIND)
-    key_pages = page_table.where(F.col("doc_kind") == KEY_KIND)
-    return outcome(decode_questions(exam_pages), "questoes").unionByName(
-        outcome(decode_answers(key_pages), "respostas")
+def outcomes_of(decoded: DataFrame) -> DataFrame:
+    """``page_outcomes`` of decoded pages."""
+    return decoded.select(
+        "exam",
+        "doc_kind",
+        "page",
+        F.col("error").isNotNull().alias("failed"),
+        F.coalesce(F.size("questoes"), F.size("respostas"), F.lit(0)).alias("found"),
     )
 
 
@@ -180,12 +196,15 @@ def run_exams(
     exams = pairs.select("exam").distinct()
     pending = staged(resume.pending_exams(exams, outputs, fmt, force), "pending-exams")
     pages = page_table.join(pending, "exam", "left_semi")
-    readable = page_outcomes(pages.where(F.col("doc_kind") == EXAM_KIND))
+    # Every payload is parsed once, for the errors and for the questions.
+    decoded = staged(decoded_pages(pages), "decoded-pages")
+    readable = outcomes_of(decoded.where(F.col("doc_kind") == EXAM_KIND))
     readable = readable.groupBy("exam").agg(F.count_if(~F.col("failed")).alias("good"))
     error = F.when(F.col("good").isNull(), "no pages").when(F.col("good") == 0, "no readable page")
     judged = staged(pending.join(readable, "exam", "left").select("exam", error.alias("error")), "run-errors")
     failed = judged.where("error IS NOT NULL")
     with scratch(spark):
-        rows = page_questions(pages.join(failed, "exam", "left_anti"))
+        good = decoded.drop("error").join(failed, "exam", "left_anti")
+        rows = assembled_questions(assemble.explode_questions(good), assemble.explode_answers(good))
         export_per_exam(finished(numbered_series_rows(None, rows), NUMBERED_KEYS), folder, fmt)
     return report.run_status(exams, exams.join(pending, "exam", "left_anti"), failed)
