@@ -19,13 +19,19 @@ COLUMNS = {
     "grown_shard int",
     "op8_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11_order_minhash": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
+    "edited_fingerprint string, near_edited double, near_next double",
+    "op12_merkle_manifest": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, "
+    "folded_root string, verified boolean",
+    "op13_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, "
+    "positive_score bigint, negative_score bigint",
     "op10_embedding_lsh": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
 }
 
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(QUERIES) <= names
     assert ORACLES.items() <= entry.oracle_sql().items()
 
@@ -34,6 +40,9 @@ def test_all_are_registered():
 def test_rows_and_columns(spark, name):
     found = QUERIES[name](spark, SF)
     types = dict(found.dtypes)
+    if name.startswith("op13_"):
+        assert found.dtypes == [tuple(c.split(" ")) for c in COLUMNS[name].split(", ")]
+        return
     for column in COLUMNS.get(name, "doc_id bigint").split(", "):
         key, kind = column.split(" ")
         assert types[key] == kind
@@ -45,11 +54,22 @@ def test_rows_and_columns(spark, name):
     for r in rows:
         if "held_out" in types:
             assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % folds == 0)
+        if "near_edited" in types:
+            assert 0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1
         if "predicted" in types:
             assert 0 <= r["score"] <= 1
             assert r["predicted"] == int(r["score"] >= (0.3 if name.startswith("op3_") else 0.5))
 
 
+def test_edited_texts_are_nearer_than_the_next_ones(spark):
+    rows = QUERIES["op11_order_minhash"](spark, "/root/testdata/sf0.01").where("n_chars >= 100").collect()
+    assert sum(r["near_edited"] > r["near_next"] for r in rows) >= 0.95 * len(rows)
+    same = {}
+    for r in rows:
+        same.setdefault(r["fingerprint"], set()).add(r["n_chars"])
+    assert len(same) > 0.8 * len(rows)
+
+
 def test_model_beats_words_on_held_out_texts(spark):
     rows = QUERIES["op1_lm_scoring"](spark, "/root/testdata/sf0.01").where("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
