@@ -7,7 +7,7 @@ from quizloom.functions.payload import page_error
 from quizloom.operators import hashed
 from quizloom.schemas import ARRIVED_PAGE, PAGE_KEYS
 from quizloom.staging import scratch, staged
-from quizloom.versions import newest, publish
+from quizloom.versions import forget, newest, publish
 
 
 def finished_exams(outputs: DataFrame, fmt: str) -> DataFrame:
@@ -134,4 +134,6 @@ def append_new_pages(
 
 def drop_old_pages(spark: SparkSession, path: str) -> None:
     """Delete what the newest version of the page table doesn't hold. No reader may be at work on an older one."""
-    hashed.drop_unnamed(spark, page_state(spark, path)[1], path)
+    version, state = page_state(spark, path)
+    forget(spark, path, version)
+    hashed.drop_unnamed(spark, state, path)

@@ -15,7 +15,7 @@ from quizloom.operators import assemble, hashed
 from quizloom.operators.resume import append_new_pages, page_state, read_page_table
 from quizloom.schemas import ALTERNATIVES_IN, BUILT_EXAM, BUILT_QUESTION, PAGE_TABLE, PARTIAL, PIECES
 from quizloom.staging import scratch, staged
-from quizloom.versions import newest, publish
+from quizloom.versions import forget, newest, publish
 
 #: Parts of a question that one partial stitch holds at most.
 MOST_PIECES = 10_000
@@ -189,6 +189,7 @@ def arrange_questions(
 def drop_superseded(spark: SparkSession, question_table: str) -> None:
     """Leave out the rows of older builds and delete the parts that held them. No reader may be at work on them."""
     arrange_questions(spark, question_table, most_parts=1)
-    _, state = question_state(spark, question_table)
+    version, state = question_state(spark, question_table)
+    forget(spark, question_table, version)
     for name in TABLES:
         hashed.drop_unnamed(spark, state[name], f"{question_table}/{name}")
