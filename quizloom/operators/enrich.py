@@ -64,25 +64,44 @@ def set_dated_edition(
 LEVELS = 63
 
 
-def _blocks(start: Column, end: Column) -> Column:
-    """``array<struct<level, block>>``: the fewest blocks of 2^level numbers that make up start to end.
+def _blocks(ranges: DataFrame) -> DataFrame:
+    """``edition, entry, level, block``: the fewest blocks of 2^level numbers that make up each range.
 
     At each level at most the first and the last block are left over, those that don't pair up
-    to a block of the next one. An empty range has none.
+    to a block of the next one. An empty range has none, and no block is wider than its range.
     """
+    most = F.lit(1 << (LEVELS - 1))
+    known = ranges.where("start_q IS NOT NULL AND end_q IS NOT NULL").select(
+        "edition",
+        F.struct("ord", "start_q", "end_q", "label").alias("entry"),
+        F.greatest("start_q", -most).alias("start"),
+        F.least("end_q", most).alias("end"),
+    )
+    # Half the width: that of the widest ranges is no BIGINT.
+    half = F.greatest(F.shiftright("end", 1) - F.shiftright("start", 1), F.lit(0).cast("long")) + 1
+    top = F.least(F.length(F.bin(half)), F.lit(LEVELS - 1))
+    levels = known.select("*", F.explode(F.sequence(F.lit(0), top)).alias("level"))
+    within = _bit(F.col("level")) - 1
+    # The first block that starts in the range, and the one behind the last that ends in it.
+    levels = levels.withColumns(
+        {
+            "first": _block(F.col("start")) + (F.col("start").bitwiseAND(within) != 0).cast("long"),
+            "stop": _block(F.col("end")) + (F.col("end").bitwiseAND(within) == within).cast("long"),
+        }
+    )
+    odd = lambda x: x.bitwiseAND(F.lit(1)) == 1
+    left_over = F.array(F.when(odd(F.col("first")), F.col("first")), F.when(odd(F.col("stop")), F.col("stop") - 1))
+    blocks = levels.where("first < stop").select("edition", "entry", "level", F.explode(left_over).alias("block"))
+    return blocks.where("block IS NOT NULL")
 
-    def left_over(level: Column) -> Column:
-        within = F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1
-        # The first block that starts in the range, and the one behind the last that ends in it.
-        first = F.call_function("shiftright", start, level) + (start.bitwiseAND(within) != 0).cast("long")
-        stop = F.call_function("shiftright", end, level) + (end.bitwiseAND(within) == within).cast("long")
-        odd = lambda x: x.bitwiseAND(F.lit(1)) == 1
-        block = lambda x: F.struct(level.alias("level"), x.alias("block"))
-        return F.array_compact(
-            F.array(F.when((first < stop) & odd(first), block(first)), F.when((first < stop) & odd(stop), block(stop - 1)))
-        )
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), left_over))
+def _bit(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), level)
+
+
+def _block(number: Column) -> Column:
+    """The block of the row's ``level`` that holds a number."""
+    return F.call_function("shiftright", number.cast("long"), F.col("level"))
 
 
 def range_blocks(ranges: DataFrame) -> DataFrame:
@@ -91,23 +110,29 @@ def range_blocks(ranges: DataFrame) -> DataFrame:
     A range becomes at most two blocks a level, a row each, so no cell and no group grows with
     an edition's ranges.
     """
-    entry = F.struct("ord", "start_q", "end_q", "label")
-    most = F.lit(1 << (LEVELS - 1))
-    cut = _blocks(F.greatest("start_q", -most), F.least("end_q", most))
-    known = ranges.where("start_q IS NOT NULL AND end_q IS NOT NULL")
-    blocks = known.select("edition", entry.alias("entry"), F.inline(cut))
-    return blocks.groupBy("edition", "level", "block").agg(F.min("entry").alias("first"))
+    return _blocks(ranges).groupBy("edition", "level", "block").agg(F.min("entry").alias("first"))
+
+
+def used_levels(ranges: DataFrame) -> DataFrame:
+    """One row with ``levels``: bit i is set if some range has a block of level i."""
+    none = F.lit(0).cast("long")
+    return _blocks(ranges).agg(F.coalesce(F.bit_or(_bit(F.col("level"))), none).alias("levels"))
 
 
 def range_labels(points: DataFrame, ranges: DataFrame) -> DataFrame:
     """``edition, number, hit``: the label of the first range that holds each of the distinct ``points``.
 
     A number lies in one block of each level, and every range that holds it has one of them.
+    Asked are the levels of which some range has a block. Both sides are shuffled: Spark takes
+    the points for as small as their table, although each comes once a level, and would
+    send them all through the driver.
     """
-    level = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 1))).alias("level")
-    asked = points.select("edition", "number", level)
-    asked = asked.withColumn("block", F.call_function("shiftright", F.col("number").cast("long"), F.col("level")))
-    found = asked.join(range_blocks(ranges), ["edition", "level", "block"])
+    used = F.filter(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda x: _bit(x).bitwiseAND(F.col("levels")) != 0)
+    # One row.
+    levels = F.broadcast(used_levels(ranges).select(used.alias("levels")))
+    asked = points.crossJoin(levels).select("edition", "number", F.explode("levels").alias("level"))
+    asked = asked.withColumn("block", _block(F.col("number")))
+    found = asked.hint("merge").join(range_blocks(ranges), ["edition", "level", "block"])
     first = found.groupBy("edition", "number").agg(F.min("first").alias("first"))
     return first.select("edition", "number", F.nullif("first.label", F.lit("")).alias("hit"))
 

@@ -133,6 +133,23 @@ def test_an_edition_of_many_ranges(spark):
     assert all(r.area == str(r.question_number) for r in frame.collect())
 
 
+def test_no_points_go_through_the_driver(spark, tmp_path):
+    """A table small by its file is not broadcast once a level; what is, is the row of the levels in use."""
+    path = str(tmp_path / "numbers")
+    spark.range(20_000).select(F.lit("e").alias("edition"), F.col("id").alias("question_number")).write.parquet(path)
+    ranges = spark.range(300).select(
+        F.lit("e").alias("edition"), F.col("id").alias("ord"), (F.col("id") * 50).alias("start_q"),
+        (F.col("id") * 50 + 99).alias("end_q"), F.col("id").cast("string").alias("label"),
+    )
+    points = spark.read.parquet(path).select("edition", F.col("question_number").alias("number")).distinct()
+    found = enrich.range_labels(points, ranges)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {r.number: r.hit for r in found.collect()} == {x: str(max(0, x // 50 - 1)) for x in range(300 * 50 + 50)}
+    assert enrich.used_levels(ranges).first()[0] < 1 << 7
+    assert enrich.used_levels(ranges.limit(0)).first()[0] == 0
+
+
 def test_pack_metadata(spark):
     rows = spark.createDataFrame([(1, None, 25)], "n int, area string, edition int")
     packed = enrich.pack_metadata(rows, ["area", "edition"])
