@@ -132,8 +132,6 @@ class Encoder(dict):
         self.known = re.compile(f"([{re.escape(known)}]+)")
         self.parts: dict[str, bytes] = {}
         self.decoder = Decoder(model)
-        # Of such characters only, a text is cut into pieces that spell it out.
-        self.usual = re.compile(f"[ \\n{re.escape(known.replace(BLANK, ''))}]*")
         self.apart = all(PARTS.fullmatch(piece) for piece in used)
         self.lines = "\n" not in known
 
@@ -164,9 +162,7 @@ class Encoder(dict):
         return ids
 
     def comes_back(self, text: str, ids: bytes) -> bool:
-        """Whether decoding the ids of ``text`` gives it; tried if it has characters that are in no piece."""
-        if self.usual.fullmatch(text):
-            return True
+        """Whether decoding the ids of ``text`` gives it."""
         return self.decoder.decode(np.frombuffer(ids, np.int32).tolist()) == text
 
     def unit(self, text: str) -> list[int]:

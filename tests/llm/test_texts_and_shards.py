@@ -69,6 +69,15 @@ def test_very_long_words(model):
     assert len(encoder) == 0
 
 
+def test_every_text_is_decoded(model):
+    """A round trip is tried on the ids at hand, of ordinary texts too."""
+    encoder = Encoder(model)
+    for text in ("the cat sat", "two\nlines", "ação, 1234", ""):
+        assert encoder.comes_back(text, encoder.encode(text))
+        assert not encoder.comes_back(text, encoder.encode("another text"))
+    assert not encoder.comes_back("the cat sat", encoder.encode("the cat sat")[:-4])
+
+
 def test_a_unigram_model_gets_the_best_sum(model):
     other = Model.__new__(Model)
     other.__dict__ = {k: v for k, v in model.__dict__.items() if k != "_encoder"} | {"kind": UNIGRAM, "halves": {}}
