@@ -7,7 +7,7 @@ from quizloom.functions.rows import rows_of_list
 from quizloom.operators import rawtext as parsing
 from quizloom.plans.catalog.registry import query, table
 from quizloom.sources.files import raw_blocks
-from quizloom.staging import staging_path
+from quizloom.staging import staged, staging_path
 
 STEM = "concat(2000 + doc_id % 20, '-', lpad(cast(doc_id % 25 + 1 as string), 2, '0'), if(doc_id % 3 = 0, 'a', ''))"
 
@@ -37,7 +37,7 @@ PARSED_SQL = """
 """
 
 
-def parsed_columns(rows):
+def parsed_columns(rows, *more):
     alternative = F.col("alternatives")
     return rows.select(
         "stem",
@@ -51,6 +51,7 @@ def parsed_columns(rows):
         F.size(alternative).alias("n_alternatives"),
         F.get(alternative, F.lit(0))["text"].alias("first_text"),
         F.md5(F.get(alternative, F.lit(1))["text"]).alias("second_md5"),
+        *more,
     )
 
 
@@ -133,7 +134,10 @@ def raw_text_files(spark, sf_dir):
     small.conf.set("spark.sql.files.maxPartitionBytes", "500k")
     small.conf.set("spark.sql.files.openCostInBytes", "0")
     parsed = parsing.parse_blocks(raw_blocks(small, folder, stem_from="folder"))
-    good = parsed_columns(parsing.good_questions(parsed))
+    # Parsed once for both; of the texts only those of rejected blocks are kept.
+    rejected = F.when(F.col("reason").isNotNull(), F.col("block")).alias("block")
+    parsed = staged(parsed_columns(parsed, "reason", rejected), "raw-parsed")
+    good = parsing.good_questions(parsed)
     bad = parsing.rejected_blocks(parsed).select("stem", "reason", F.md5("block").alias("statement_md5"))
     return good.unionByName(bad, allowMissingColumns=True)
 

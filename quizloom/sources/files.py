@@ -53,32 +53,69 @@ def _raw_lines(spark: SparkSession, folder: str) -> DataFrame:
 SPLIT = ["file_path", "split_start"]
 
 
-def _after():
-    """The lines of a split after each one, the next one last."""
-    return Window.partitionBy(*SPLIT).orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
+def _pieces(lines: DataFrame) -> DataFrame:
+    """What of a block one split holds: ``SPLIT, openers_after, opened, pending, first, piece``.
 
-
-def _marked(lines: DataFrame) -> DataFrame:
-    """Adds ``opens``: the line begins a block.
-
-    The number may come on a later line, after blank ones, maybe in the next split.
+    A line opens a block if its number is on it, or on the next line with text. A line that waits
+    for its number at the end of a split, the last one with text there, is ``pending``: it
+    begins a piece of its own. ``first`` tells of the piece's first line with text whether a number
+    begins it. All of it is done where the split's lines are, in one shuffle.
     """
     # Backwards, so that a frame grows row by row; one that shrinks is computed anew for each row.
-    later = Window.partitionBy("file_path").orderBy(F.desc("split_start")).rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*SPLIT).orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, -1)
     # Of lines with text, whether they begin with a number.
-    numbered = F.when(F.col("value").rlike(r"(?U)\S"), F.col("value").rlike(r"(?U)\A\s*\d"))
-    lines = lines.withColumn("numbered", numbered)
-    # One row per split.
-    next_text = (
-        lines.groupBy(*SPLIT)
-        .agg(F.min_by("numbered", F.when(F.col("numbered").isNotNull(), F.col("seq"))).alias("first"))
-        .select(*SPLIT, F.last("first", ignorenulls=True).over(later).alias("next_text"))
+    numbered = lambda x: (x.rlike(r"(?U)\S"), x.rlike(r"(?U)\A\s*\d"))
+    # The start of a line tells it as well, unless it is blank, and is read faster.
+    start, named = F.left("value", F.lit(32)), F.startswith("value", F.lit("Questão"))
+    lines = lines.withColumns(
+        {
+            "numbered": F.when(*numbered(start)).when(*numbered(F.col("value"))),
+            "headed": named & F.col("value").rlike(r"(?U)\AQuestão\s+\d"),
+            "bare": named & F.col("value").rlike(r"(?U)\AQuestão\s*\z"),
+        }
+    ).withColumn("following", F.last("numbered", ignorenulls=True).over(after))
+    lines = lines.withColumns(
+        {
+            "pending": F.col("bare") & F.col("following").isNull(),
+            "opener": F.col("headed") | (F.col("bare") & F.coalesce("following", F.lit(True))),
+        }
+    ).withColumn("openers_after", F.count_if("opener").over(after))
+    in_order = F.transform(F.sort_array(F.collect_list(F.struct("seq", "value"))), lambda x: x["value"])
+    return lines.groupBy(*SPLIT, "openers_after").agg(
+        F.bool_or("opener").alias("opened"),
+        F.bool_or("pending").alias("pending"),
+        F.min(F.when(F.col("numbered").isNotNull(), F.struct("seq", "numbered"))).alias("first"),
+        F.array_join(in_order, "\n").alias("piece"),
+    )
+
+
+def _splits(pieces: DataFrame) -> DataFrame:
+    """One row per split: ``SPLIT, openers, holds, opened_here, carried``.
+
+    ``openers`` counts the pending one, ``holds`` says whether that opens a block, ``opened_here``
+    are the blocks that begin in the split, and ``carried`` is the block open where it begins.
+    """
+    in_file = Window.partitionBy("file_path")
+    later = in_file.orderBy(F.desc("split_start")).rowsBetween(Window.unboundedPreceding, -1)
+    before = in_file.orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = (
+        pieces.groupBy(*SPLIT)
+        .agg(
+            F.max(F.col("openers_after") + F.col("opened").cast("int")).alias("openers"),
+            F.bool_or("pending").alias("pending"),
+            F.min("first")["numbered"].alias("first"),
+        )
+        .withColumn("next_text", F.last("first", ignorenulls=True).over(later))
     )
-    following = F.coalesce(F.last("numbered", ignorenulls=True).over(_after()), F.col("next_text"), F.lit(False))
-    opens = F.col("value").rlike(r"(?U)\AQuestão\s+\d") | (
-        F.col("value").rlike(r"(?U)\AQuestão\s*\z") & following
+    holds = F.col("pending") & F.coalesce("next_text", F.lit(False))
+    lost = (F.col("pending") & ~F.col("holds")).cast("int")
+    splits = splits.withColumn("holds", holds).withColumn("opened_here", F.col("openers") - lost)
+    open_block = F.when(
+        F.col("opened_here") > 0, F.struct("split_start", F.col("opened_here").cast("long").alias("block_no"))
     )
-    return lines.join(next_text, SPLIT).withColumn("opens", opens).drop("next_text", "numbered")
+    none_yet = F.struct(F.lit(0).cast("long").alias("split_start"), F.lit(0).cast("long").alias("block_no"))
+    carried = F.coalesce(F.last(open_block, ignorenulls=True).over(before), none_yet)
+    return splits.select(*SPLIT, "openers", "holds", "opened_here", carried.alias("carried"))
 
 
 def raw_blocks(spark: SparkSession, folder: str, stem_from: str = "file") -> DataFrame:
@@ -97,37 +134,22 @@ def raw_blocks(spark: SparkSession, folder: str, stem_from: str = "file") -> Dat
         stem = F.regexp_extract("file_path", r"([^/=]+)/[^/]+\z", 1)
     else:
         raise ValueError(f"unknown stem source {stem_from!r}")
-    # Read twice below.
-    marked = staged(_marked(_raw_lines(spark, folder)), "raw-lines")
-    before = (
-        Window.partitionBy("file_path")
-        .orderBy("split_start")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # Read three times below: without the texts, and each text once.
+    pieces = staged(_pieces(_raw_lines(spark, folder)), "raw-pieces")
+    # A row per split, as many as the tasks that the driver plans to read them.
+    placed = pieces.join(F.broadcast(_splits(pieces)), SPLIT).withColumn(
+        "n", F.col("openers") - F.col("openers_after") - (F.col("pending") & ~F.col("holds")).cast("int")
     )
-    # One row per split: the block open where it begins, by its split and number there.
-    open_block = F.when(F.col("n") > 0, F.struct("split_start", F.col("n").alias("block_no")))
-    none_yet = F.struct(F.lit(0).cast("long").alias("split_start"), F.lit(0).cast("long").alias("block_no"))
-    carried = (
-        marked.groupBy(*SPLIT)
-        .agg(F.count_if("opens").alias("n"))
-        .select(
-            *SPLIT,
-            F.col("n").alias("opened"),
-            F.coalesce(F.last(open_block, ignorenulls=True).over(before), none_yet).alias("carried"),
-        )
-    )
-    owned = (
-        marked.withColumn("opened_after", F.count_if("opens").over(_after()))
-        .join(carried, SPLIT)
-        .withColumn("n", F.col("opened") - F.col("opened_after"))
-        .withColumn(
-            "owner",
-            F.when(F.col("n") > 0, F.struct("split_start", F.col("n").alias("block_no"))).otherwise(F.col("carried")),
-        )
+    # A block that ends in its split is one piece; only those at the borders meet others.
+    whole = (F.col("n") > 0) & (F.col("n") < F.col("opened_here"))
+    owner = F.when(F.col("n") > 0, F.struct("split_start", F.col("n").cast("long").alias("block_no"))).otherwise(F.col("carried"))
+    placed = placed.select(
+        "file_path", "split_start", "openers_after", owner.alias("owner"), whole.alias("whole"), F.col("piece").alias("block")
     )
-    line = F.struct("split_start", "seq", "value")
-    in_order = F.transform(F.array_sort(F.collect_list(line)), lambda x: x["value"])
-    blocks = owned.groupBy("file_path", "owner").agg(F.array_join(in_order, "\n").alias("block"))
+    part = F.struct("split_start", F.negative("openers_after").alias("place"), "block")
+    in_order = F.transform(F.sort_array(F.collect_list(part)), lambda x: x["block"])
+    joined = placed.where("NOT whole").groupBy("file_path", "owner").agg(F.array_join(in_order, "\n").alias("block"))
+    blocks = placed.where("whole").select("file_path", "owner", "block").unionByName(joined)
     return blocks.select(stem.alias("stem"), "file_path", "owner.*", "block")
 
 

@@ -209,3 +209,16 @@ def test_files_give_the_blocks_of_their_texts(spark, tmp_path, size):
 
 def test_empty_folder(spark, tmp_path):
     assert raw_blocks(spark, str(tmp_path)).collect() == []
+
+
+def test_files_are_parsed_once(spark, tmp_path):
+    """Good and rejected blocks come from one parse, and only pieces at the borders of splits are shuffled again."""
+    from quizloom.plans.catalog import QUERIES
+
+    rows = spark.range(40).select(
+        F.col("id").alias("doc_id"), F.concat_ws("\n", F.lit("one"), F.lit(""), F.col("id").cast("string")).alias("text")
+    )
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["raw_text_files"](spark, str(tmp_path))
+    assert "regexp_replace" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.where("reason IS NULL").count() == 80 and found.where("reason IS NOT NULL").count() == 42
