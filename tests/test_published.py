@@ -102,3 +102,14 @@ def test_empty_dataset(spark, tmp_path):
     root = str(tmp_path / "set")
     publish_dataset(rows(spark, 0), root)
     assert read_published(spark, root).collect() == []
+
+
+def test_publishing_writes_no_table_on_the_way(spark, tmp_path, monkeypatch):
+    """The rows are kept by the executors, not written once more before they are sorted."""
+    from quizloom import staging
+
+    monkeypatch.setattr(staging, "staged", lambda *_: pytest.fail("a table was written"))
+    path = str(tmp_path / "published")
+    assert publish_dataset(rows(spark, 20), path, "both") == 1
+    assert read_published(spark, path).count() == 20
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
