@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quizloom.schemas import EXAM_QUESTION
-from quizloom.sinks.export import CSV_READ, export, export_per_exam, formats
+from quizloom.sinks.export import CSV_READ, PACKED, export, export_per_exam, formats
 from quizloom.sources.files import question_dataset
 from quizloom.staging import removed
 from quizloom.versions import forget, newest, publish, state_of, subfolders, versions
@@ -45,19 +45,19 @@ def publish_dataset(
     """Write ``rows`` as the next version of the dataset at ``root``; returns its number.
 
     Sorted by ``order``, by default number and id, as ``export`` does, and by exam with
-    ``per_exam``. Older versions stay until ``drop_old_versions``.
+    ``per_exam``. Older versions stay until ``drop_old_versions``, so parts are gzip files.
     """
     spark = rows.sparkSession
     version = newest(spark, root)[0] + 1
     folder = f"{root.rstrip('/')}/data/v={version}"
     # A job that died may have left a part of this number.
     removed(spark, folder)
-    export(rows, f"{folder}/all", fmt, order)
+    export(rows, f"{folder}/all", fmt, order, **PACKED)
     for one in formats(fmt):
         index = part_index(spark, f"{folder}/all.{one}", one)
         index.coalesce(1).sortWithinPartitions("file").write.parquet(f"{folder}/index-{one}")
     if per_exam:
-        export_per_exam(rows, folder, fmt)
+        export_per_exam(rows, folder, fmt, **PACKED)
     publish(spark, root, version, {"folder": f"data/v={version}", "formats": formats(fmt), "per_exam": per_exam})
     return version
 

@@ -1,8 +1,11 @@
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
 from quizloom.schemas import EXAM_QUESTION_COLUMNS
 from quizloom.sinks import published
+from quizloom.sinks.export import export
 from quizloom.sinks.published import drop_old_versions, publish_dataset, published_files, read_published
 from quizloom.versions import versions
 
@@ -113,3 +116,55 @@ def test_publishing_writes_no_table_on_the_way(spark, tmp_path, monkeypatch):
     assert publish_dataset(rows(spark, 20), path, "both") == 1
     assert read_published(spark, path).count() == 20
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
+
+
+@pytest.mark.parametrize("fmt", ["jsonl", "csv"])
+def test_parts_are_gzip_files_of_the_same_lines(spark, tmp_path, fmt):
+    """Published parts hold what an export holds, in the same order, in far fewer bytes."""
+    root, wanted = str(tmp_path / "set"), rows(spark, 400, "a text that comes again and again, " * 20).repartition(5)
+    publish_dataset(wanted, root, "both", per_exam=True)
+    export(wanted, str(tmp_path / "plain"), "both")
+    plain = [p.read_bytes() for p in sorted((tmp_path / f"plain.{fmt}").glob("part-*"))]
+    parts = sorted((tmp_path / "set" / "data" / "v=1" / f"all.{fmt}").glob("part-*"))
+    assert [p.name.split("-c000.")[1] for p in parts] == [f"{'json' if fmt == 'jsonl' else 'csv'}.gz"] * len(parts)
+    lines = [b"".join(texts).splitlines() for texts in (plain, [gzip.decompress(p.read_bytes()) for p in parts])]
+    header = lines[0][0] if fmt == "csv" else None
+    assert [x for x in lines[0] if x != header] == [x for x in lines[1] if x != header]
+    assert sum(p.stat().st_size for p in parts) < sum(map(len, plain)) / 3
+    assert len(published_files(spark, root, fmt)) == len(parts)
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "set" / "data" / "v=1" / "per-edition").rglob("part-*"))
+
+
+def test_plain_versions_are_read_beside_packed_ones(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "set")
+    with monkeypatch.context() as patched:
+        patched.setattr(published, "PACKED", {})
+        publish_dataset(rows(spark, 30), root, "both")
+    publish_dataset(rows(spark, 50), root, "both")
+    assert not any(f.endswith(".gz") for f in published_files(spark, root, version=1))
+    assert all(f.endswith(".gz") for f in published_files(spark, root))
+    for version, n in ((1, 30), (2, 50)):
+        assert numbers(read_published(spark, root, numbers=(7, 99), version=version)) == list(range(7, n))
+
+
+def test_executors_keep_no_rows_in_memory(spark, tmp_path, monkeypatch):
+    """One format is written without keeping rows; for two, the sorted ones are kept on disk alone."""
+    from quizloom.sinks import export as sink
+
+    kept, held, levels, write = [], sink.held, [], sink._write
+
+    def watched(frame):
+        kept.append(frame)
+        return held(frame)
+
+    def seen(frame, *args, **options):
+        levels.append((frame.storageLevel.useMemory, frame.storageLevel.useDisk))
+        write(frame, *args, **options)
+
+    monkeypatch.setattr(sink, "held", watched)
+    monkeypatch.setattr(sink, "_write", seen)
+    publish_dataset(rows(spark, 20), str(tmp_path / "one"))
+    assert not kept and levels == [(False, False)]
+    publish_dataset(rows(spark, 20), str(tmp_path / "two"), "both")
+    assert len(kept) == 1 and levels[1:] == [(False, True)] * 2
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()
