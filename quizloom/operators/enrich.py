@@ -129,8 +129,8 @@ def range_labels(points: DataFrame, ranges: DataFrame) -> DataFrame:
     """
     used = F.filter(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda x: _bit(x).bitwiseAND(F.col("levels")) != 0)
     # One row.
-    levels = F.broadcast(used_levels(ranges).select(used.alias("levels")))
-    asked = points.crossJoin(levels).select("edition", "number", F.explode("levels").alias("level"))
+    levels = used_levels(ranges).select(used).scalar()
+    asked = points.select("edition", "number", F.explode(levels).alias("level"))
     asked = asked.withColumn("block", _block(F.col("number")))
     found = asked.hint("merge").join(range_blocks(ranges), ["edition", "level", "block"])
     first = found.groupBy("edition", "number").agg(F.min("first").alias("first"))
